@@ -54,7 +54,7 @@ r AS (SELECT shop_id, sum(refund_amount) AS amount, count(DISTINCT order_id) AS
 o AS (SELECT shop_id, count(order_id) AS n FROM ord WHERE status >= 2 AND {span('pay_time', DAY, DAY)} GROUP BY 1)
 SELECT DATE '{DAY}' AS refund_date, '{DAY}' AS refund_date_to_string, shop_id, {money('r.amount')} AS pay_actual_total,
        {whole('r.n')} AS refund_count, {whole('o.n')} AS pay_order_count,
-       CASE WHEN coalesce(r.n, 0) > 0 AND coalesce(o.n, 0) = 0 THEN CAST(100 AS DECIMAL(24,4))
+       CASE WHEN coalesce(r.n, 0) > 0 AND coalesce(o.n, 0) = 0 THEN CAST(100 AS DECIMAL(18,4))
             ELSE {ratio('r.n', 'o.n', 4, 100)} END AS refund_rate, DATE '{DAY}' AS stat_date
 FROM r FULL JOIN o USING (shop_id)
 """)

@@ -91,9 +91,9 @@ def ratio(num: str, den: str, places: int, times: int = 1) -> str:
     unit = "1" if places == 0 else "0." + "0" * (places - 1) + "1"
     units = f"({n} * {2 * times * 10**places} + {d}) // (2 * {d})"
     return (
-        f"CASE WHEN coalesce({den}, 0) > 0 THEN CAST(CAST({units} AS DECIMAL(20,0)) * "
-        f"CAST({unit} AS DECIMAL({places + 1},{places})) AS DECIMAL(24,{places})) "
-        f"ELSE CAST(0 AS DECIMAL(24,{places})) END"
+        f"CASE WHEN coalesce({den}, 0) > 0 THEN CAST(CAST({units} AS DECIMAL(15,0)) * "
+        f"CAST({unit} AS DECIMAL({places + 1},{places})) AS DECIMAL(18,{places})) "
+        f"ELSE CAST(0 AS DECIMAL(18,{places})) END"
     )
 
 

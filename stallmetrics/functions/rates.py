@@ -2,7 +2,7 @@
 
 Double division rounds differently from engine to engine (``201 / 20000 * 100`` is either 1.01 or 1.00 at two
 places), so every ratio is computed as ``(2·scaled + d) div (2·d)``: exact, rounded half up, 0 on a zero
-denominator. Numerators and denominators are counts or money and are taken to be non-negative.
+denominator. Inputs are taken to be non-negative.
 """
 
 from __future__ import annotations
@@ -17,18 +17,28 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def safe_ratio(num: Column | str, den: Column | str, places: int, times: int = 1) -> Column:
-    """``num / den * times`` rounded half up to ``places``; 0 when ``den`` is 0 or NULL."""
-    num = F.coalesce(_col(num), F.lit(0)).cast("decimal(24,2)")
-    den = F.coalesce(_col(den), F.lit(0)).cast("decimal(24,2)")
-    # money has two decimals, so both sides times 100 are whole numbers
-    scaled = (num * F.lit(2 * 100 * times * 10**places)).cast("decimal(38,0)")
-    whole_den = (den * F.lit(100)).cast("decimal(26,0)")
-    units = F.call_function("div", scaled + whole_den, whole_den * F.lit(2))
-    ratio = units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
-    return F.when(den > 0, ratio).otherwise(F.lit(0)).cast(f"decimal(24,{places})")
+def _guarded(scaled: Column, den: Column, places: int) -> Column:
+    """Quotient of two whole numbers, the first already scaled by twice the unit."""
+    units = F.call_function("div", scaled + den, den * 2)
+    # 15 digits times the unit stay within 18, which Spark keeps in one machine word
+    ratio = units.cast("decimal(15,0)") * F.lit(Decimal(1).scaleb(-places))
+    return F.when(den > 0, ratio).otherwise(F.lit(0)).cast(f"decimal(18,{places})")
+
+
+def count_ratio(num: Column | str, den: Column | str, places: int, times: int = 1) -> Column:
+    """``num / den * times`` of two counts, rounded half up to ``places``; 0 when ``den`` is 0 or NULL."""
+    num, den = (F.coalesce(_col(c), F.lit(0)).cast("bigint") for c in (num, den))
+    return _guarded(num * F.lit(2 * times * 10**places), den, places)
+
+
+def money_ratio(num: Column | str, den: Column | str, places: int, times: int = 1) -> Column:
+    """The same where either side is money (two decimals)."""
+    num, den = (F.coalesce(_col(c), F.lit(0)).cast("decimal(20,2)") for c in (num, den))
+    # in hundredths both sides are whole numbers
+    scaled = (num * F.lit(2 * 100 * times * 10**places)).cast("decimal(36,0)")
+    return _guarded(scaled, (den * F.lit(100)).cast("decimal(24,0)"), places)
 
 
 def percent(num: Column | str, den: Column | str, places: int = 2) -> Column:
-    """``num / den`` in percent."""
-    return safe_ratio(num, den, places, times=100)
+    """One count in percent of another."""
+    return count_ratio(num, den, places, times=100)

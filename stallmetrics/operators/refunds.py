@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallmetrics.functions.casts import MONEY
+from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.trade import item_side
 
 # Refund scope and state codes.
@@ -15,6 +17,13 @@ WHOLE_ORDER = 1
 SINGLE_ITEM = 2
 SUCCEEDED = 5
 
+# stands for "no order" in join keys; no order has this id
+NO_ORDER = -(2**63)
+
+REFUND_FACT = [
+    "refund_id", "order_id", "order_item_id", "user_id", "refund_type", "return_money_sts", "refund_amount",
+    "apply_time",
+]
 _LINE = ["prod_id", "item_shop_id", "refund_id", "user_id", "return_money_sts", "item_total", "refund_amount"]
 
 
@@ -37,48 +46,71 @@ def order_refunds(
     )
 
 
-def refund_metrics(
+def refunded_lines(refunds: DataFrame, lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Refunds joined to the order lines of their order.
+
+    The lines' key is made never NULL, so the join adds no filter to them and a plan that reads the same lines
+    elsewhere can share their shuffle. Refunds without an order match nothing.
+    """
+    mine = lines.drop("user_id", "order_number").withColumnRenamed("order_id", "_line_order")
+    asked = refunds.filter(F.col("order_id") != NO_ORDER)
+    return asked.join(mine, asked["order_id"] == F.coalesce("_line_order", F.lit(NO_ORDER))).select(
+        *carry, *_LINE, "refund_type"
+    )
+
+
+def refund_rows(
     lines: DataFrame, keys: Sequence[str], amount: str = "refund_amount", count: str = "distinct"
 ) -> DataFrame:
-    """Requested and successful refunds, people and amount per key.
+    """Additive requested and successful refunds, people and amount: one row per key and user or refund.
 
     ``amount`` is the refund's own amount or the item's total. ``count`` is ``distinct`` (refund ids) or ``rows``.
     """
     ok = F.coalesce(F.col("return_money_sts") == SUCCEEDED, F.lit(False))
     money = F.when(ok, F.col(amount))
     if count == "rows":
-        ids = F.array(F.struct(F.lit("user").alias("kind"), F.col("user_id").cast("string").alias("id")))
-        tally = {"refund_num": F.sum("_rows"), "refund_success_num": F.sum("_ok_rows")}
-        counted = lines.select(*keys, ok.alias("_ok"), money.alias("_amt"), F.inline(ids))
-    else:
-        # each row becomes one row per kind of id, so one grouping makes all distinct counts
-        ids = F.array(
-            F.struct(
-                F.lit("refund").alias("kind"), F.col("refund_id").alias("id"), money.alias("_amt"),
-            ),
-            F.struct(
-                F.lit("user").alias("kind"), F.col("user_id").cast("string").alias("id"),
-                F.lit(None).cast("decimal(18,2)").alias("_amt"),
-            ),
+        people = lines.select(*keys, "user_id", ok.alias("_ok"), money.alias("_amt")).groupBy(*keys, "user_id").agg(
+            F.count(F.lit(1)).alias("refund_num"),
+            F.count_if("_ok").alias("refund_success_num"),
+            F.sum("_amt").cast(MONEY).alias("refund_success_amount"),
+        )
+        known = F.col("user_id").isNotNull()
+        return people.select(
+            *keys, "refund_num", one_if(known).alias("refund_person"), "refund_success_num",
+            one_if(known & (F.col("refund_success_num") > 0)).alias("refund_success_person"),
+            "refund_success_amount",
         )
-        is_refund = (F.col("kind") == "refund") & F.col("id").isNotNull()
-        tally = {
-            "refund_num": F.count_if(is_refund), "refund_success_num": F.count_if(is_refund & F.col("_ok")),
-        }
-        counted = lines.select(*keys, ok.alias("_ok"), F.inline(ids))
-    per_id = counted.groupBy(*keys, "kind", "id").agg(
-        F.bool_or("_ok").alias("_ok"),
-        F.sum("_amt").alias("_amt"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if("_ok").alias("_ok_rows"),
+    # each line becomes one row per kind of id, so a single grouping serves all four distinct counts
+    ids = F.array(
+        F.struct(F.lit(True).alias("_is_refund"), F.col("refund_id").alias("_id"), money.alias("_amt")),
+        F.struct(
+            F.lit(False).alias("_is_refund"), F.col("user_id").cast("string").alias("_id"), F.lit(None).cast(MONEY).alias("_amt"),
+        ),
     )
-    is_user = (F.col("kind") == "user") & F.col("id").isNotNull()
-    return per_id.groupBy(*keys).agg(
-        tally["refund_num"].alias("refund_num"),
-        F.count_if(is_user).alias("refund_person"),
-        tally["refund_success_num"].alias("refund_success_num"),
-        F.count_if(is_user & F.col("_ok")).alias("refund_success_person"),
-        F.coalesce(F.sum("_amt"), F.lit(0)).cast("decimal(18,2)").alias("refund_success_amount"),
+    per_id = lines.select(*keys, ok.alias("_ok"), F.inline(ids)).groupBy(*keys, "_is_refund", "_id").agg(
+        F.bool_or("_ok").alias("_ok"), F.sum("_amt").cast(MONEY).alias("refund_success_amount")
+    )
+    refund = F.col("_is_refund") & F.col("_id").isNotNull()
+    user = ~F.col("_is_refund") & F.col("_id").isNotNull()
+    return per_id.select(
+        *keys,
+        one_if(refund).alias("refund_num"),
+        one_if(user).alias("refund_person"),
+        one_if(refund & F.col("_ok")).alias("refund_success_num"),
+        one_if(user & F.col("_ok")).alias("refund_success_person"),
+        "refund_success_amount",
+    )
+
+
+def refund_metrics(lines: DataFrame, keys: Sequence[str], amount: str = "refund_amount", count: str = "distinct") -> DataFrame:
+    """Requested and successful refunds, people and amount per key."""
+    return stack_measures(keys, refund_rows(lines, keys, amount, count))
+
+
+def shop_refund_rows(refunds: DataFrame, keys: Sequence[str], amount: str, orders: str) -> DataFrame:
+    """Additive refunded money and distinct refunded orders: one row per key and order."""
+    return refunds.groupBy(*keys, "order_id").agg(F.sum("refund_amount").cast(MONEY).alias(amount)).select(
+        *keys, amount, one_if(F.col("order_id").isNotNull()).alias(orders)
     )
 
 

@@ -13,18 +13,28 @@ from stallmetrics.operators.catalog import first_per_key
 
 
 def stack_measures(keys: Sequence[str], *frames: DataFrame) -> DataFrame:
-    """Every key any frame holds, with all measures side by side and 0 where a frame lacks the key.
+    """Every key any frame holds, with all measures side by side and 0 where nothing was measured.
 
-    Each frame is unique on ``keys``. Rows are stacked and folded by one grouping, which replaces the union of
-    keys and one outer join per frame.
+    Measures are additive: a frame may hold several rows per key (one per user, client or refund, each carrying 1
+    for itself) and they are summed here. Stacking the rows and folding them once replaces a union of keys, one
+    outer join per frame, and the last grouping of every frame.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    measures = [c for c in stacked.columns if c not in keys]
+    types = dict(stacked.dtypes)
+    measures = [c for c in types if c not in keys]
     return stacked.groupBy(*keys).agg(
-        *[F.coalesce(F.max(c), F.lit(0).cast(stacked.schema[c].dataType)).alias(c) for c in measures]
+        *[
+            F.coalesce(F.sum(c), F.lit(0)).cast(types[c] if types[c].startswith("decimal") else "bigint").alias(c)
+            for c in measures
+        ]
     )
 
 
+def one_if(test: Column) -> Column:
+    """1 where the test holds, else 0: a row's share in an additive count."""
+    return F.when(test, 1).otherwise(0)
+
+
 # Status filter -> product statuses it admits (None: every status above -1).
 STATUS_FILTERS: Mapping[int, int | None] = {0: None, 1: 1, 2: 0, 3: 3}
 

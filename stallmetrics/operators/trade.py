@@ -1,7 +1,7 @@
 """Order and payment steps.
 
 Distinct users are counted in two levels: rows are first folded per (key, user), then per key. The first level
-spreads a hot product over its users, and several conditional user counts need no row expansion.
+spreads a hot product or shop over its users, and several conditional user counts need no row expansion.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallmetrics.functions.casts import MONEY
+from stallmetrics.operators.shaping import one_if, stack_measures
+
 ORDER_FACT = ["order_id", "order_number", "user_id", "shop_id", "create_time", "pay_time", "is_paid", "actual_total"]
 ITEM_FACT = ["order_item_id", "order_number", "prod_id", "shop_id", "prod_count", "actual_total", "rec_time"]
 
@@ -44,10 +47,10 @@ def distinct_order_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     return lines.distinct()
 
 
-def trade_metrics(
+def trade_rows(
     lines: DataFrame, keys: Sequence[str], paid: Column, placed: Column | None = None
 ) -> DataFrame:
-    """Users, items and amount of placed and of paid lines per key, in one pass.
+    """Additive users, items and amount of placed and of paid lines: one row per key and user.
 
     ``placed`` and ``paid`` say which lines count as ordered and as paid.
     """
@@ -59,43 +62,42 @@ def trade_metrics(
     per_user = flagged.groupBy(*keys, "user_id").agg(
         F.bool_or("_placed").alias("_placed"),
         F.bool_or("_paid").alias("_paid"),
-        F.sum(F.when(F.col("_placed"), F.col("prod_count"))).alias("_n"),
-        F.sum(F.when(F.col("_placed"), F.col("item_total"))).alias("_amt"),
-        F.sum(F.when(F.col("_paid"), F.col("prod_count"))).alias("_paid_n"),
-        F.sum(F.when(F.col("_paid"), F.col("item_total"))).alias("_paid_amt"),
+        F.sum(F.when(F.col("_placed"), F.col("prod_count"))).alias("place_order_num"),
+        F.sum(F.when(F.col("_placed"), F.col("item_total"))).cast(MONEY).alias("place_order_amount"),
+        F.sum(F.when(F.col("_paid"), F.col("prod_count"))).alias("pay_num"),
+        F.sum(F.when(F.col("_paid"), F.col("item_total"))).cast(MONEY).alias("pay_amount"),
     )
     known = F.col("user_id").isNotNull()
-    return per_user.groupBy(*keys).agg(
-        F.count_if(F.col("_placed") & known).alias("place_order_person"),
-        F.count_if(F.col("_paid") & known).alias("pay_person"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("place_order_num"),
-        F.coalesce(F.sum("_paid_n"), F.lit(0)).alias("pay_num"),
-        F.coalesce(F.sum("_amt"), F.lit(0)).cast("decimal(18,2)").alias("place_order_amount"),
-        F.coalesce(F.sum("_paid_amt"), F.lit(0)).cast("decimal(18,2)").alias("pay_amount"),
+    return per_user.select(
+        *keys,
+        one_if(F.col("_placed") & known).alias("place_order_person"),
+        one_if(F.col("_paid") & known).alias("pay_person"),
+        "place_order_num", "pay_num", "place_order_amount", "pay_amount",
     )
 
 
-def order_metrics(
-    orders: DataFrame, keys: Sequence[str], flags: dict[str, Column], amount: str = "actual_total"
-) -> DataFrame:
-    """Order rows, distinct users and amount per key for each flagged subset, in one pass.
+def trade_metrics(lines: DataFrame, keys: Sequence[str], paid: Column, placed: Column | None = None) -> DataFrame:
+    """Users, items and amount of placed and of paid lines per key, in one pass."""
+    return stack_measures(keys, trade_rows(lines, keys, paid, placed))
+
+
+def order_rows(orders: DataFrame, keys: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """Additive order rows, users and amount for each flagged subset: one row per key and user.
 
     A flag named ``x`` yields ``x_orders``, ``x_users`` and ``x_amount``.
     """
     marked = orders.select(
-        *keys, "user_id", amount, *[F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in flags.items()]
+        *keys, "user_id", "actual_total", *[F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in flags.items()]
     )
-    first, second = [], []
-    known = F.col("user_id").isNotNull()
+    sums, measures = [], []
     for name in flags:
         flag = F.col(f"_{name}")
-        first += [
+        sums += [
             F.count_if(flag).alias(f"{name}_orders"),
-            F.sum(F.when(flag, F.col(amount))).alias(f"{name}_amount"),
+            F.sum(F.when(flag, F.col("actual_total"))).cast(MONEY).alias(f"{name}_amount"),
         ]
-        second += [
-            F.sum(f"{name}_orders").alias(f"{name}_orders"),
-            F.count_if((F.col(f"{name}_orders") > 0) & known).alias(f"{name}_users"),
-            F.coalesce(F.sum(f"{name}_amount"), F.lit(0)).cast("decimal(18,2)").alias(f"{name}_amount"),
+        measures += [
+            f"{name}_orders", f"{name}_amount",
+            one_if((F.col(f"{name}_orders") > 0) & F.col("user_id").isNotNull()).alias(f"{name}_users"),
         ]
-    return marked.groupBy(*keys, "user_id").agg(*first).groupBy(*keys).agg(*second)
+    return marked.groupBy(*keys, "user_id").agg(*sums).select(*keys, *measures)

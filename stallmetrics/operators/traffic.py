@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow
+from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.windows import WIN, inside_days, tag_windows
 
 # What the log calls an exposure, and a screen view.
@@ -30,19 +31,23 @@ def exposures(app_log: DataFrame, windows: Sequence[ReportWindow], need_shop: bo
     return tag_windows(seen, windows, lambda w: inside_days("dt", w))
 
 
-def exposure_by(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Exposures and distinct clients per key."""
-    return events.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("expose"), F.count_distinct("cid").alias("expose_person_num")
+def exposure_rows(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Additive exposure measures: one row per key and client."""
+    return events.groupBy(*keys, "cid").agg(F.count(F.lit(1)).alias("expose")).select(
+        *keys, "expose", one_if(F.col("cid").isNotNull()).alias("expose_person_num")
     )
 
 
 def exposure_by_product_shop(app_log, windows, need_shop: bool = True) -> DataFrame:
-    return exposure_by(exposures(app_log, windows, need_shop), [WIN, "prod_id", "shop_id"])
+    """Exposures and distinct clients per product and shop."""
+    keys = [WIN, "prod_id", "shop_id"]
+    return stack_measures(keys, exposure_rows(exposures(app_log, windows, need_shop), keys))
 
 
 def exposure_by_product(app_log, windows) -> DataFrame:
-    return exposure_by(exposures(app_log, windows, need_shop=False), [WIN, "prod_id"])
+    """Exposures and distinct clients per product, blank products left out."""
+    keys = [WIN, "prod_id"]
+    return stack_measures(keys, exposure_rows(exposures(app_log, windows, need_shop=False), keys))
 
 
 def visitors_by_shop(app_log, windows) -> DataFrame:
@@ -58,11 +63,23 @@ def share_visits_by_shop(app_log, windows) -> DataFrame:
     )
 
 
-def shop_traffic(events: DataFrame) -> DataFrame:
-    """All shop-level traffic measures in one pass over tagged exposures."""
-    return events.groupBy(WIN, "shop_id").agg(
-        F.count(F.lit(1)).alias("expose"),
-        F.count_distinct("prod_id").alias("visited_prod"),
-        F.count_distinct("cid").alias("visitor"),
-        F.count_if(F.coalesce(is_share_open(), F.lit(False))).alias("share_visit"),
+def shop_traffic_rows(events: DataFrame) -> DataFrame:
+    """Additive shop-level traffic in one pass over tagged exposures: one row per shop and product or client."""
+    ids = F.array(
+        F.struct(F.lit(True).alias("_is_prod"), F.col("prod_id").cast("string").alias("_id")),
+        F.struct(F.lit(False).alias("_is_prod"), F.col("cid").alias("_id")),
+    )
+    shared = F.coalesce(is_share_open(), F.lit(False))
+    is_prod, known = F.col("_is_prod"), F.col("_id").isNotNull()
+    return (
+        events.select(WIN, "shop_id", shared.alias("_shared"), F.inline(ids))
+        .groupBy(WIN, "shop_id", "_is_prod", "_id")
+        .agg(F.count(F.lit(1)).alias("_n"), F.count_if("_shared").alias("_shares"))
+        .select(
+            WIN, "shop_id",
+            F.when(is_prod, F.col("_n")).alias("expose"),
+            one_if(is_prod & known).alias("visited_prod"),
+            one_if(~is_prod & known).alias("visitor"),
+            F.when(is_prod, F.col("_shares")).alias("share_visit"),
+        )
     )

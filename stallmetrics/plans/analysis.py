@@ -23,7 +23,15 @@ from stallmetrics.operators.catalog import (
     merged_shops,
     one_name_per_shop,
 )
-from stallmetrics.operators.refunds import SINGLE_ITEM, WHOLE_ORDER, item_refunds, order_refunds, refund_metrics
+from stallmetrics.operators.refunds import (
+    REFUND_FACT,
+    SINGLE_ITEM,
+    WHOLE_ORDER,
+    item_refunds,
+    order_refunds,
+    refund_rows,
+    refunded_lines,
+)
 from stallmetrics.operators.shaping import (
     MEASURES_WITHOUT_EXPOSURE,
     STATUS_FILTERS,
@@ -31,8 +39,8 @@ from stallmetrics.operators.shaping import (
     stack_measures,
     status_fanout,
 )
-from stallmetrics.operators.trade import ORDER_FACT, dedup_exact_rows, distinct_order_lines, order_lines, trade_metrics
-from stallmetrics.operators.traffic import exposure_by_product, exposure_by_product_shop
+from stallmetrics.operators.trade import dedup_exact_rows, distinct_order_lines, order_lines, trade_rows
+from stallmetrics.operators.traffic import exposure_rows, exposures
 from stallmetrics.operators.windows import WIN, any_window, inside, per_window, tag_windows, window_value
 
 _MERCHANT = [WIN, "prod_id", "shop_id"]
@@ -73,32 +81,28 @@ def merchant_analysis(
     gives its full amount to every item of the order.
     """
     created = orders.filter(any_window(windows, lambda w: inside("create_time", w)))
-    lines = tag_windows(distinct_order_lines(created, items), windows, lambda w: inside("create_time", w))
-    trade = trade_metrics(
+    order_items = distinct_order_lines(created, items)
+    lines = tag_windows(order_items, windows, lambda w: inside("create_time", w))
+    trade = trade_rows(
         lines, _MERCHANT, paid=F.col("is_paid") & per_window(windows, lambda w: inside("pay_time", w))
     )
 
-    refund_fact = [
-        "refund_id", "order_id", "order_item_id", "user_id", "refund_type", "return_money_sts", "refund_amount",
-        "apply_time",
-    ]
     asked = tag_windows(
-        dedup_exact_rows(refunds.filter(any_window(windows, lambda w: inside("apply_time", w))), refund_fact),
+        dedup_exact_rows(refunds.filter(any_window(windows, lambda w: inside("apply_time", w))), REFUND_FACT),
         windows, lambda w: inside("apply_time", w),
     )
     single = item_refunds(asked.filter(F.col("refund_type") == SINGLE_ITEM), items, [WIN])
-    order_keys = dedup_exact_rows(created, ORDER_FACT).select("order_id", "order_number", "create_time")
-    whole = order_refunds(
-        asked.filter(F.col("refund_type") == WHOLE_ORDER), order_keys, items, [WIN, "create_time"]
-    ).filter(per_window(windows, lambda w: inside("create_time", w))).drop("create_time")
-    # refund ids are counted distinctly, but money is summed once per refund of a product
+    # the order lines of above again: the never-NULL key keeps them the same shuffle, read a second time
+    whole = refunded_lines(asked.filter(F.col("refund_type") == WHOLE_ORDER), order_items, [WIN, "create_time"]).filter(
+        per_window(windows, lambda w: inside("create_time", w))
+    )
+    # a refund counts once per product, however many of its items the order holds
     refund_cols = [WIN, "prod_id", "item_shop_id", "refund_id", "user_id", "return_money_sts", "refund_amount"]
     attributed = dedup_exact_rows(single, refund_cols).unionByName(dedup_exact_rows(whole, refund_cols))
-    back = refund_metrics(_keyed(attributed, _MERCHANT), _MERCHANT)
+    back = refund_rows(_keyed(attributed, _MERCHANT), _MERCHANT)
+    seen = exposure_rows(exposures(app_log, windows, need_shop=False), _MERCHANT)
 
-    facts = drop_all_zero(
-        stack_measures(_MERCHANT, exposure_by_product_shop(app_log, windows, need_shop=False), trade, back)
-    )
+    facts = drop_all_zero(stack_measures(_MERCHANT, seen, trade, back))
     described = (
         latest_product(products)
         .join(facts, ["prod_id", "shop_id"])
@@ -133,8 +137,9 @@ def merchant_analysis_today(
     orders, items, refunds = orders_inc.filter(on_day), items_inc.filter(on_day), refunds_inc.filter(on_day)
 
     placed, paid = inside("create_time", window), F.col("is_paid") & inside("pay_time", window)
-    lines = order_lines(orders.filter(placed | paid), items).withColumn(WIN, F.lit(0))
-    trade = trade_metrics(lines, _MERCHANT, paid=paid, placed=placed).drop(WIN)
+    lines = order_lines(orders.filter(placed | paid), items)
+    keys = ["prod_id", "shop_id"]
+    trade = trade_rows(lines, keys, paid=paid, placed=placed)
 
     asked = refunds.filter(inside("apply_time", window))
     single = item_refunds(asked.filter(F.col("refund_type") == SINGLE_ITEM), items)
@@ -142,9 +147,8 @@ def merchant_analysis_today(
         asked.filter(F.col("refund_type") == WHOLE_ORDER),
         orders.filter(placed).select("order_id", "order_number"), items,
     )
-    keys = ["prod_id", "shop_id"]
-    back = refund_metrics(_keyed(single.unionByName(whole), keys), keys)
-    seen = exposure_by_product_shop(app_log, [window], need_shop=False).drop(WIN)
+    back = refund_rows(_keyed(single.unionByName(whole), keys), keys)
+    seen = exposure_rows(exposures(app_log, [window], need_shop=False), keys)
 
     facts = drop_all_zero(stack_measures(keys, seen, trade, back))
     described = (
@@ -187,7 +191,7 @@ def platform_analysis(
     touched = orders.filter(any_window(windows, _created_or_paid))
     lines = tag_windows(order_lines(touched, items), windows, _created_or_paid)
     placed = per_window(windows, lambda w: inside("create_time", w))
-    trade = trade_metrics(lines, _PLATFORM, paid=placed & F.col("is_paid"), placed=placed)
+    trade = trade_rows(lines, _PLATFORM, paid=placed & F.col("is_paid"), placed=placed)
 
     asked = tag_windows(refunds, windows, lambda w: inside("apply_time", w))
     single = item_refunds(asked, items, [WIN])
@@ -196,15 +200,16 @@ def platform_analysis(
     counted = single.withColumn("_own", F.col("refund_type") == SINGLE_ITEM).unionByName(
         whole.withColumn("_own", F.col("refund_type") == WHOLE_ORDER)
     ).withColumn("_own", F.coalesce("_own", F.lit(False)))
-    back = refund_metrics(counted.filter("_own"), _PLATFORM, amount="item_total", count="rows")
+    back = refund_rows(counted.filter("_own"), _PLATFORM, amount="item_total", count="rows")
     marked = counted.filter(~F.col("_own")).select(*_PLATFORM).distinct()
 
     cards = latest_product(products, ["prod_id"])
-    seen = exposure_by_product_shop(app_log, windows, need_shop=False).withColumnRenamed("shop_id", "_at")
+    seen = exposure_rows(exposures(app_log, windows, need_shop=False), _MERCHANT).withColumnRenamed("shop_id", "_at")
     at_home = F.col("_at") == F.col("shop_id")
-    at_own_shop = seen.join(cards.select("prod_id", "shop_id"), "prod_id").groupBy(*_PLATFORM).agg(
-        F.max(F.when(at_home, F.col("expose"))).alias("expose"),
-        F.max(F.when(at_home, F.col("expose_person_num"))).alias("expose_person_num"),
+    at_own_shop = seen.join(cards.select("prod_id", "shop_id"), "prod_id").select(
+        *_PLATFORM,
+        F.when(at_home, F.col("expose")).alias("expose"),
+        F.when(at_home, F.col("expose_person_num")).alias("expose_person_num"),
     )
     facts = stack_measures(_PLATFORM, at_own_shop, trade, back, marked)
     described = cards.join(facts, "prod_id").join(one_name_per_shop(shops), "shop_id", "left")
@@ -240,7 +245,7 @@ def platform_analysis_today(
     on_day = F.col("dt") == F.lit(day)
     items, orders = items_inc.filter(on_day), orders_inc.filter(on_day)
     lines = order_lines(orders.filter(inside("create_time", window)), items)
-    trade = trade_metrics(lines, ["prod_id"], paid=F.col("is_paid"))
+    trade = trade_rows(lines, ["prod_id"], paid=F.col("is_paid"))
 
     until = ReportWindow(window.start, window.end, window.tag, day, end_open=True)
     asked = refunds_inc.filter(on_day & inside("apply_time", until))
@@ -248,8 +253,8 @@ def platform_analysis_today(
     whole = order_refunds(
         asked.filter(F.col("refund_type") == WHOLE_ORDER), orders.select("order_id", "order_number"), items
     )
-    back = refund_metrics(single.unionByName(whole), ["prod_id"], amount="item_total")
-    seen = exposure_by_product(app_log, [whole_day(day)]).drop(WIN)
+    back = refund_rows(single.unionByName(whole), ["prod_id"], amount="item_total")
+    seen = exposure_rows(exposures(app_log, [whole_day(day)], need_shop=False), ["prod_id"])
 
     facts = stack_measures(["prod_id"], seen, trade, back).filter(
         (F.col("place_order_person") > 0) | (F.col("pay_person") > 0) | (F.col("refund_num") > 0)

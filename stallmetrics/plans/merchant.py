@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow, intraday_window, whole_day
-from stallmetrics.functions.rates import percent, safe_ratio
-from stallmetrics.operators.refunds import SUCCEEDED
-from stallmetrics.operators.shaping import stack_measures
-from stallmetrics.operators.trade import order_metrics
+from stallmetrics.functions.casts import MONEY
+from stallmetrics.functions.rates import money_ratio, percent
+from stallmetrics.operators.refunds import SUCCEEDED, shop_refund_rows
+from stallmetrics.operators.shaping import one_if, stack_measures
+from stallmetrics.operators.trade import order_rows
 from stallmetrics.operators.windows import WIN, any_window, inside, tag_windows, window_value
 
 # quotients the reports leave unrounded are kept to this many places
@@ -26,7 +27,7 @@ def _with_shop(df: DataFrame) -> DataFrame:
 def _refund_sums(refunds: DataFrame, flags: dict) -> DataFrame:
     """Successful refund amount per shop for each flagged subset."""
     aggs = [
-        F.coalesce(F.sum(F.when(flag, F.col("refund_amount"))), F.lit(0)).cast("decimal(18,2)").alias(name)
+        F.coalesce(F.sum(F.when(flag, F.col("refund_amount"))), F.lit(0)).cast(MONEY).alias(name)
         for name, flag in flags.items()
     ]
     return refunds.groupBy("shop_id").agg(*aggs)
@@ -39,13 +40,13 @@ def _succeeded(refunds: DataFrame) -> DataFrame:
 def paid_by_shop(orders: DataFrame, day: date) -> DataFrame:
     """Paid amount, payers, orders and unit price per shop for one day's partition."""
     paid = orders.filter(F.col("is_paid") & (F.col("dt") == F.lit(day)) & inside("pay_time", whole_day(day)))
-    totals = order_metrics(paid, ["shop_id"], {"pay": F.lit(True)})
+    totals = stack_measures(["shop_id"], order_rows(paid, ["shop_id"], {"pay": F.lit(True)}))
     return totals.select(
         "shop_id",
         F.col("pay_amount").alias("payActualTotal"),
         F.col("pay_users").alias("payUserCount"),
         F.col("pay_orders").alias("payOrderCount"),
-        safe_ratio("pay_amount", "pay_users", _UNROUNDED).alias("onePrice"),
+        money_ratio("pay_amount", "pay_users", _UNROUNDED).alias("onePrice"),
     ).orderBy(F.desc("payActualTotal"))
 
 
@@ -63,7 +64,7 @@ def hourly_gmv(orders_inc: DataFrame, as_of: datetime) -> DataFrame:
         )
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            F.sum("actual_total").cast("decimal(18,2)").alias("pay_actual_total"),
+            F.sum("actual_total").cast(MONEY).alias("pay_actual_total"),
         )
         .withColumn("stat_date", F.lit(window.stat_date))
         .orderBy("order_date", "hour_of_day", "shop_id")
@@ -75,7 +76,7 @@ def daily_order_pay(orders: DataFrame, refunds: DataFrame, as_of: datetime) -> D
     today, yesterday = whole_day(as_of.date()), whole_day(as_of.date() - timedelta(days=1))
     both = [today, yesterday]
     paid = _with_shop(orders).filter(F.col("is_paid") & any_window(both, lambda w: inside("pay_time", w)))
-    sales = order_metrics(
+    sales = order_rows(
         paid, ["shop_id"], {"now": inside("pay_time", today), "prev": inside("pay_time", yesterday)}
     )
     back = _refund_sums(
@@ -87,12 +88,12 @@ def daily_order_pay(orders: DataFrame, refunds: DataFrame, as_of: datetime) -> D
         F.col("now_amount").alias("pay_actual_total"),
         F.col("now_users").alias("pay_user_count"),
         F.col("now_orders").alias("pay_order_count"),
-        safe_ratio("now_amount", "now_users", _UNROUNDED).alias("one_price"),
+        money_ratio("now_amount", "now_users", _UNROUNDED).alias("one_price"),
         F.col("now_refund").alias("refund"),
         F.col("prev_amount").alias("yesterday_pay_actual_total"),
         F.col("prev_users").alias("yesterday_pay_user_count"),
         F.col("prev_orders").alias("yesterday_pay_order_count"),
-        safe_ratio("prev_amount", "prev_users", _UNROUNDED).alias("yesterday_one_price"),
+        money_ratio("prev_amount", "prev_users", _UNROUNDED).alias("yesterday_one_price"),
         F.col("prev_refund").alias("yesterday_refund"),
         F.lit(as_of.date()).alias("stat_date"),
     ).orderBy("shop_id")
@@ -105,13 +106,13 @@ def order_pay_agg(orders: DataFrame, as_of: datetime) -> DataFrame:
     month = ReportWindow(today.start.replace(day=1), today.end, today.tag, today.stat_date)
     paid = _with_shop(orders).filter(F.col("is_paid") & inside("pay_time", month))
     on_day = inside("pay_time", today)
-    day_sum = F.sum(F.when(on_day, F.col("actual_total"))).cast("decimal(18,2)")
+    day_sum = F.sum(F.when(on_day, F.col("actual_total"))).cast(MONEY)
     return (
         paid.groupBy("shop_id")
         .agg(
             F.count_if(on_day).alias("pay_order_count"),
             day_sum.alias("pay_actual_total"),
-            F.sum("actual_total").cast("decimal(18,2)").alias("month_to_date_amount"),
+            F.sum("actual_total").cast(MONEY).alias("month_to_date_amount"),
         )
         .filter(F.col("pay_order_count") > 0)
         .select(
@@ -128,11 +129,8 @@ def order_pay_agg(orders: DataFrame, as_of: datetime) -> DataFrame:
 def refund_stats(orders: DataFrame, refunds: DataFrame, as_of: datetime) -> DataFrame:
     """Today's successful refunds against orders paid today; the rate is 100 when there are refunds but no orders."""
     today = whole_day(as_of.date())
-    back = (
-        _succeeded(refunds).filter(inside("refund_time", today)).groupBy("shop_id").agg(
-            F.sum("refund_amount").cast("decimal(18,2)").alias("pay_actual_total"),
-            F.count_distinct("order_id").alias("refund_count"),
-        )
+    back = shop_refund_rows(
+        _succeeded(refunds).filter(inside("refund_time", today)), ["shop_id"], "pay_actual_total", "refund_count"
     )
     sold = (
         _with_shop(orders).filter((F.col("status") >= 2) & inside("pay_time", today))
@@ -143,7 +141,7 @@ def refund_stats(orders: DataFrame, refunds: DataFrame, as_of: datetime) -> Data
         F.lit(as_of.date()).alias("refund_date"),
         F.lit(f"{as_of:%Y-%m-%d}").alias("refund_date_to_string"),
         "shop_id", "pay_actual_total", "refund_count", "pay_order_count",
-        F.when(only_refunds, F.lit(100).cast("decimal(24,4)"))
+        F.when(only_refunds, F.lit(100).cast("decimal(18,4)"))
         .otherwise(percent("refund_count", "pay_order_count", 4)).alias("refund_rate"),
         F.lit(as_of.date()).alias("stat_date"),
     ).orderBy("shop_id")
@@ -163,35 +161,26 @@ def comprehensive(
     )
     keys = [WIN, "shop_id"]
     first = tagged.groupBy(*keys, "user_id").agg(
-        F.count(F.lit(1)).alias("o_n"),
-        F.sum("actual_total").alias("o_amt"),
-        F.sum("_pieces").alias("o_pcs"),
-        F.count_if("is_paid").alias("p_n"),
-        F.sum(F.when(F.col("is_paid"), F.col("actual_total"))).alias("p_amt"),
-        F.sum(F.when(F.col("is_paid"), F.col("_pieces"))).alias("p_pcs"),
+        F.count(F.lit(1)).alias("order_nums"),
+        F.sum("actual_total").cast(MONEY).alias("order_amount"),
+        F.sum("_pieces").alias("product_nums"),
+        F.count_if("is_paid").alias("pay_order_nums"),
+        F.sum(F.when(F.col("is_paid"), F.col("actual_total"))).cast(MONEY).alias("pay_amount"),
+        F.sum(F.when(F.col("is_paid"), F.col("_pieces"))).alias("pay_product_nums"),
     )
     known = F.col("user_id").isNotNull()
-    sales = first.groupBy(*keys).agg(
-        F.sum("o_n").alias("order_nums"),
-        F.count_if(known).alias("user_nums"),
-        F.coalesce(F.sum("o_amt"), F.lit(0)).cast("decimal(18,2)").alias("order_amount"),
-        F.coalesce(F.sum("o_pcs"), F.lit(0)).alias("product_nums"),
-        F.sum("p_n").alias("pay_order_nums"),
-        F.count_if(known & (F.col("p_n") > 0)).alias("pay_user_nums"),
-        F.coalesce(F.sum("p_amt"), F.lit(0)).cast("decimal(18,2)").alias("pay_amount"),
-        F.coalesce(F.sum("p_pcs"), F.lit(0)).alias("pay_product_nums"),
+    sales = first.select(
+        *keys, "order_nums", "order_amount", "product_nums", "pay_order_nums", "pay_amount", "pay_product_nums",
+        one_if(known).alias("user_nums"),
+        one_if(known & (F.col("pay_order_nums") > 0)).alias("pay_user_nums"),
     )
-    back = (
-        tag_windows(_succeeded(refunds), windows, lambda w: inside("refund_time", w))
-        .groupBy(*keys)
-        .agg(
-            F.sum("refund_amount").cast("decimal(18,2)").alias("refund_amount"),
-            F.count_distinct("order_id").alias("refund_order_nums"),
-        )
+    back = shop_refund_rows(
+        tag_windows(_succeeded(refunds), windows, lambda w: inside("refund_time", w)), keys,
+        "refund_amount", "refund_order_nums",
     )
     return stack_measures(keys, sales, back).select(
         "shop_id",
-        safe_ratio("pay_amount", "pay_user_nums", 2).alias("customer_unit_price"),
+        money_ratio("pay_amount", "pay_user_nums", 2).alias("customer_unit_price"),
         F.col("pay_amount").alias("total_transaction_amount"),
         "order_amount", "user_nums", "order_nums", "product_nums",
         "pay_amount", "pay_user_nums", "pay_order_nums", "pay_product_nums",
@@ -210,7 +199,7 @@ def paid_by_window(orders: DataFrame, windows: Sequence[ReportWindow], ts: str =
     tagged = tag_windows(paid, windows, lambda w: inside(ts, w))
     totals = tagged.groupBy(WIN, "shop_id").agg(
         F.count(F.lit(1)).alias("pay_order_count"),
-        F.sum("actual_total").cast("decimal(18,2)").alias("pay_actual_total"),
+        F.sum("actual_total").cast(MONEY).alias("pay_actual_total"),
     )
     return totals.select(
         "shop_id", "pay_order_count", "pay_actual_total",
@@ -227,7 +216,7 @@ def paid_by_day(orders: DataFrame) -> DataFrame:
     paid = _with_shop(orders).filter(F.col("is_paid") & F.col("pay_time").isNotNull())
     return paid.groupBy("shop_id", F.to_date("pay_time").alias("stat_date")).agg(
         F.count(F.lit(1)).alias("pay_order_count"),
-        F.sum("actual_total").cast("decimal(18,2)").alias("pay_actual_total"),
+        F.sum("actual_total").cast(MONEY).alias("pay_actual_total"),
     )
 
 

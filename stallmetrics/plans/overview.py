@@ -9,31 +9,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow, whole_day
-from stallmetrics.operators.shaping import stack_measures
-from stallmetrics.operators.traffic import exposures, shop_traffic
+from stallmetrics.operators.shaping import one_if, stack_measures
+from stallmetrics.operators.traffic import exposures, shop_traffic_rows
 from stallmetrics.operators.windows import WIN, any_window, inside, tag_windows, window_value
 
 _KEYS = [WIN, "shop_id"]
 
 
 def _sales(orders: DataFrame, items: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
-    """Distinct products, ordered and paid pieces per shop; orders without items count as orders only."""
+    """Additive products, ordered and paid pieces: one row per shop and product (NULL for orders without items)."""
     placed = orders.filter(any_window(windows, lambda w: inside("create_time", w))).select(
         "order_number", "shop_id", "is_paid", "create_time"
     )
     lines = placed.join(items.select("order_number", "prod_id", "prod_count", F.lit(1).alias("_item")), "order_number", "left")
     tagged = tag_windows(lines, windows, lambda w: inside("create_time", w))
     per_product = tagged.groupBy(*_KEYS, "prod_id").agg(
-        F.sum("prod_count").alias("_n"),
-        F.sum(F.when(F.col("is_paid"), F.col("prod_count"))).alias("_paid_n"),
+        F.sum("prod_count").alias("order_num"),
+        F.sum(F.when(F.col("is_paid"), F.col("prod_count"))).alias("pay_num"),
         F.count("_item").alias("_lines"),
     )
-    return per_product.groupBy(*_KEYS).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("order_num"),
-        F.coalesce(F.sum("_paid_n"), F.lit(0)).alias("pay_num"),
-        F.count("prod_id").alias("dynamic_sale"),
-        F.sum("_lines").alias("_lines"),
-        F.lit(1).alias("_ordered"),
+    return per_product.select(
+        *_KEYS, "order_num", "pay_num", "_lines", F.lit(1).alias("_ordered"),
+        one_if(F.col("prod_id").isNotNull()).alias("dynamic_sale"),
     )
 
 
@@ -56,7 +53,7 @@ def period_overview(
         _KEYS,
         _sales(with_shop, items, windows).drop("_lines", "_ordered"),
         _new_products(products, windows),
-        shop_traffic(exposures(app_log, windows)).drop("share_visit"),
+        shop_traffic_rows(exposures(app_log, windows)).drop("share_visit"),
     )
     return stacked.select(
         "shop_id", "order_num", "pay_num", "dynamic_sale", "new_prod", "visited_prod", "expose",
@@ -90,7 +87,7 @@ def daily_overview(
     return _daily(
         _sales(orders, items, windows),
         _new_products(products, windows),
-        shop_traffic(exposures(app_log, windows)),
+        shop_traffic_rows(exposures(app_log, windows)),
         windows,
         need_items=False,
     )
@@ -104,7 +101,7 @@ def intraday_overview(
     return _daily(
         _sales(orders_inc.filter(on_day), items_inc.filter(on_day), [window]),
         _new_products(products_inc.filter(on_day), [window], ~F.col("is_deleted")),
-        shop_traffic(exposures(app_log, [whole_day(window.stat_date)])),
+        shop_traffic_rows(exposures(app_log, [whole_day(window.stat_date)])),
         [window],
         need_items=True,
     )

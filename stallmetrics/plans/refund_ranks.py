@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import month_back_window
 from stallmetrics.functions.labels import UNKNOWN_PRODUCT, refund_reason_label
-from stallmetrics.functions.rates import percent
+from stallmetrics.functions.rates import money_ratio
 from stallmetrics.operators.refunds import SINGLE_ITEM, SUCCEEDED, WHOLE_ORDER
 from stallmetrics.operators.windows import inside
 
@@ -102,6 +102,6 @@ def reason_rank(
     total = F.sum("pay_actual_total").over(Window.partitionBy("shop_id"))
     return by_reason.withColumn("_total", total).filter(F.col("buyer_reason").isNotNull()).select(
         "buyer_reason", "refund_prod_name", "refund_count", "pay_actual_total",
-        percent("pay_actual_total", "_total", 1).alias("percent_amount"),
+        money_ratio("pay_actual_total", "_total", 1, times=100).alias("percent_amount"),
         "pic", "shop_id", F.lit(as_of.date()).alias("stat_date"),
     ).orderBy(F.desc("refund_count"), F.desc("pay_actual_total"))

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow
-from stallmetrics.functions.rates import safe_ratio
+from stallmetrics.functions.rates import count_ratio
 from stallmetrics.operators.catalog import latest_product, one_name_per_shop
 from stallmetrics.operators.ranking import rank_in_group
-from stallmetrics.operators.shaping import stack_measures
-from stallmetrics.operators.traffic import exposure_by_product_shop
+from stallmetrics.operators.shaping import one_if, stack_measures
+from stallmetrics.operators.traffic import exposure_rows, exposures
 from stallmetrics.operators.windows import WIN, any_window, inside, tag_windows, window_value
 
 
@@ -53,15 +53,15 @@ def visitor_conversion(
 ) -> DataFrame:
     """Visitors, ordering users (paid or not) and their ratio per product and shop, ranked by visitors in the shop."""
     keys = [WIN, "prod_id", "shop_id"]
-    visitors = exposure_by_product_shop(app_log, windows).select(
+    visitors = exposure_rows(exposures(app_log, windows), keys).select(
         *keys, F.col("expose_person_num").alias("visitor_num")
     )
     recorded = items.filter(any_window(windows, lambda w: inside("rec_time", w))).select(
         "order_number", "prod_id", "user_id", "rec_time"
     )
     lines = recorded.join(orders.select("order_number", "shop_id"), "order_number")
-    buyers = tag_windows(lines, windows, lambda w: inside("rec_time", w)).groupBy(*keys).agg(
-        F.count_distinct("user_id").alias("pay_user_count")
+    buyers = tag_windows(lines, windows, lambda w: inside("rec_time", w)).select(*keys, "user_id").distinct().select(
+        *keys, one_if(F.col("user_id").isNotNull()).alias("pay_user_count")
     )
     active = stack_measures(keys, visitors, buyers).filter(
         (F.col("visitor_num") > 0) | (F.col("pay_user_count") > 0)
@@ -70,7 +70,7 @@ def visitor_conversion(
     ranked = rank_in_group(named.join(active, ["prod_id", "shop_id"]), [WIN, "shop_id"], "visitor_num", "prod_id")
     return ranked.join(one_name_per_shop(shops), "shop_id", "left").select(
         "prod_id", "shop_id", "shop_name", "prod_name", "pic", "visitor_num",
-        safe_ratio("pay_user_count", "visitor_num", 4).alias("visitor_to_pay_rate"),
+        count_ratio("pay_user_count", "visitor_num", 4).alias("visitor_to_pay_rate"),
         "pay_user_count", "rank_num",
         window_value(windows, lambda w: w.tag).alias("time_period"),
         window_value(windows, lambda w: w.stat_date).alias("stat_date"),

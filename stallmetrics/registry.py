@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions import calendar as cal
 from stallmetrics.functions.labels import product_status_label, refund_reason_label
-from stallmetrics.functions.rates import percent, safe_ratio
+from stallmetrics.functions.rates import count_ratio, money_ratio, percent
 from stallmetrics.operators import catalog, refunds as rf, shaping, trade, traffic
 from stallmetrics.operators.windows import WIN, inside
 from stallmetrics.plans import analysis, labels_expand, merchant, overview, refund_ranks, sales
@@ -358,8 +358,8 @@ def _(t):
         "shop_id",
         percent("paid", "orders").alias("paid_percent"),
         percent("orders", "few", 1).alias("orders_per_few_percent"),
-        safe_ratio("few", "paid", 4).alias("few_ratio"),
-        safe_ratio("amount", "paid", 2).alias("amount_per_paid"),
+        count_ratio("few", "paid", 4).alias("few_ratio"),
+        money_ratio("amount", "paid", 2).alias("amount_per_paid"),
     )
 
 

@@ -11,7 +11,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # joins switch from sorting to hashing where the shuffled side turns out this small per task
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

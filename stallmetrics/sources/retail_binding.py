@@ -15,6 +15,17 @@ from stallmetrics.functions.casts import MONEY
 from stallmetrics.sources.marketplace import Marketplace
 
 
+# declared, so that building a query reads no file
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
 def _january(days: Column) -> Column:
     return F.date_add(F.lit("2024-01-01").cast("date"), days.cast("int"))
 
@@ -31,7 +42,16 @@ class RetailTables:
         self._folder = folder.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._spark.read.schema(_SCHEMAS[name]).parquet(f"{self._folder}/{name}.parquet")
+
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        """Item rows. A table of one file is read by one task, so such a (small) table is spread over the cores by
+        the key it is joined on; larger tables are read in parallel anyway and stay as they are."""
+        rows = self._read("lineitem")
+        if len(rows.inputFiles()) > 1:
+            return rows
+        return rows.repartition("l_orderkey")
 
     @cached_property
     def _headers(self) -> DataFrame:
@@ -49,7 +69,7 @@ class RetailTables:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return self._read("lineitem").join(self._headers, "l_orderkey")
+        return self._lineitem.join(self._headers, "l_orderkey")
 
     @staticmethod
     def _order_number() -> Column:
@@ -147,7 +167,7 @@ class RetailTables:
     def products(self) -> DataFrame:
         """One version per item row, dated by its ship date."""
         created = _january(F.col("l_partkey") % 30)
-        return self._read("lineitem").join(self._part_names, "l_partkey").select(
+        return self._lineitem.join(self._part_names, "l_partkey").select(
             F.col("l_partkey").alias("prod_id"),
             F.col("l_suppkey").alias("shop_id"),
             F.col("p_name").alias("prod_name"),
