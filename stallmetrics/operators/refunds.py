@@ -17,9 +17,6 @@ WHOLE_ORDER = 1
 SINGLE_ITEM = 2
 SUCCEEDED = 5
 
-# stands for "no order" in join keys; no order has this id
-NO_ORDER = -(2**63)
-
 REFUND_FACT = [
     "refund_id", "order_id", "order_item_id", "user_id", "refund_type", "return_money_sts", "refund_amount",
     "apply_time",
@@ -47,16 +44,8 @@ def order_refunds(
 
 
 def refunded_lines(refunds: DataFrame, lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Refunds joined to the order lines of their order.
-
-    The lines' key is made never NULL, so the join adds no filter to them and a plan that reads the same lines
-    elsewhere can share their shuffle. Refunds without an order match nothing.
-    """
-    mine = lines.drop("user_id", "order_number").withColumnRenamed("order_id", "_line_order")
-    asked = refunds.filter(F.col("order_id") != NO_ORDER)
-    return asked.join(mine, asked["order_id"] == F.coalesce("_line_order", F.lit(NO_ORDER))).select(
-        *carry, *_LINE, "refund_type"
-    )
+    """Refunds joined to the order lines of their order."""
+    return refunds.join(lines.drop("user_id", "order_number"), "order_id").select(*carry, *_LINE, "refund_type")
 
 
 def refund_rows(

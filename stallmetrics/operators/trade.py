@@ -36,6 +36,20 @@ def order_lines(orders: DataFrame, items: DataFrame, *extra: str) -> DataFrame:
     return orders.join(item_side(items, *extra), "order_number")
 
 
+# stands for a missing id; no row has it
+NO_ID = -(2**63)
+
+
+def shareable(lines: DataFrame) -> DataFrame:
+    """Lines whose ids are never NULL (missing ones get an id nothing else has).
+
+    Joins on nullable keys push "is not NULL" filters into each branch that reads the lines, which makes the
+    branches differ. Without them, branches that read the same lines share one shuffle.
+    """
+    ids = ["order_id", "prod_id", "shop_id", "item_shop_id"]
+    return lines.withColumns({c: F.coalesce(c, F.lit(NO_ID)) for c in ids})
+
+
 def distinct_order_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
     """As ``order_lines`` over facts that may hold copies.
 

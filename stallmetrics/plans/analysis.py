@@ -39,7 +39,7 @@ from stallmetrics.operators.shaping import (
     stack_measures,
     status_fanout,
 )
-from stallmetrics.operators.trade import dedup_exact_rows, distinct_order_lines, order_lines, trade_rows
+from stallmetrics.operators.trade import dedup_exact_rows, distinct_order_lines, order_lines, shareable, trade_rows
 from stallmetrics.operators.traffic import exposure_rows, exposures
 from stallmetrics.operators.windows import WIN, any_window, inside, per_window, tag_windows, window_value
 
@@ -81,7 +81,7 @@ def merchant_analysis(
     gives its full amount to every item of the order.
     """
     created = orders.filter(any_window(windows, lambda w: inside("create_time", w)))
-    order_items = distinct_order_lines(created, items)
+    order_items = shareable(distinct_order_lines(created, items))
     lines = tag_windows(order_items, windows, lambda w: inside("create_time", w))
     trade = trade_rows(
         lines, _MERCHANT, paid=F.col("is_paid") & per_window(windows, lambda w: inside("pay_time", w))
