@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BAND_BITS = 10
-_CELL_SPAN = 1 << 16
+_SPAN_BITS = 16
 
 
 def _band(value: Column) -> Column:
     """Coarse bucket that never orders two values the wrong way: binary magnitude plus leading bits."""
     bits = F.length(F.bin(value))
     shift = F.greatest(bits - (_BAND_BITS + 1), F.lit(0)).cast("int")
-    return F.when(value > 0, bits * (2 << _BAND_BITS) + F.call_function("shiftright", value, shift)).otherwise(F.lit(0))
+    lead = bits * (2 << _BAND_BITS) + F.call_function("shiftright", value, shift)
+    # never NULL, so that joins on it filter neither branch and both keep reading the same shuffle
+    return F.coalesce(F.when(value > 0, lead), F.lit(0))
 
 
 def rank_in_group(
@@ -32,9 +34,11 @@ def rank_in_group(
     values, so it is bounded; a band holds the cells of values that share their leading bits.
     """
     by = list(group)
-    keyed = df.withColumn("_v", (F.coalesce(F.col(value), F.lit(0)) * 100).cast("bigint")).withColumn(
-        "_span", F.floor(F.col(tiebreak) / _CELL_SPAN)
-    )
+    # like the band, neither is ever NULL
+    keyed = df.withColumns({
+        "_v": F.coalesce((F.col(value) * 100).cast("bigint"), F.lit(0)),
+        "_span": F.coalesce(F.call_function("shiftright", F.col(tiebreak), F.lit(_SPAN_BITS)), F.lit(0)),
+    })
     cell = [*by, "_v", "_span"]
     spread = keyed.repartition(*cell)
     # reading every column keeps this branch on the same exchange as the rows below, so it is shuffled only once

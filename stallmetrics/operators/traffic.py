@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow
 from stallmetrics.operators.shaping import one_if, stack_measures
-from stallmetrics.operators.windows import WIN, inside_days, tag_windows
+from stallmetrics.operators.windows import WIN, tag_by_day
 
 # What the log calls an exposure, and a screen view.
 ENTER = "enter"
@@ -28,7 +28,7 @@ def exposures(app_log: DataFrame, windows: Sequence[ReportWindow], need_shop: bo
     if need_shop:
         known = known & F.col("shop_id").isNotNull()
     seen = app_log.filter((F.col("action") == ENTER) & (F.col("page_id") == PRODUCT_PAGE) & known)
-    return tag_windows(seen, windows, lambda w: inside_days("dt", w))
+    return tag_by_day(seen, windows, "dt")
 
 
 def exposure_rows(events: DataFrame, keys: Sequence[str]) -> DataFrame:

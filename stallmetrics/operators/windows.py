@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.functions.calendar import ReportWindow
+from stallmetrics.functions.calendar import ReportWindow, whole_day
 
 WIN = "win"
 
@@ -55,6 +55,36 @@ def tag_windows(
     )
 
 
+def _separate_days(windows: Sequence[ReportWindow]) -> bool:
+    days = {w.first_day for w in windows}
+    return len(windows) > 1 and len(days) == len(windows) and all(w == whole_day(w.first_day) for w in windows)
+
+
+def _day_number(windows: Sequence[ReportWindow], day: Column) -> Column:
+    """Number of the one-day window a date is, 0 when there is none."""
+    return F.array_position(F.array(*[F.lit(w.first_day) for w in windows]), day).cast("int")
+
+
+def tag_by_time(facts: DataFrame, windows: Sequence[ReportWindow], ts: str) -> DataFrame:
+    """Rows tagged with the windows their timestamp lies in. A list of single days costs one lookup per row,
+    however long it is."""
+    if not _separate_days(windows):
+        return tag_windows(facts, windows, lambda w: inside(ts, w))
+    day = F.to_date(ts)
+    last_second = day.cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    known = day.isin([w.first_day for w in windows]) & (F.col(ts) <= last_second)
+    return facts.filter(known).withColumn(WIN, _day_number(windows, day) - 1)
+
+
+def tag_by_day(facts: DataFrame, windows: Sequence[ReportWindow], day: str) -> DataFrame:
+    """Rows tagged with the windows whose days hold their date."""
+    if not _separate_days(windows):
+        return tag_windows(facts, windows, lambda w: inside_days(day, w))
+    return facts.filter(F.col(day).isin([w.first_day for w in windows])).withColumn(
+        WIN, _day_number(windows, F.col(day)) - 1
+    )
+
+
 def any_window(windows: Sequence[ReportWindow], test: Callable[[ReportWindow], Column]) -> Column:
     """Row passes ``test`` for at least one window."""
     return reduce(or_, [test(w) for w in windows])

@@ -11,19 +11,22 @@ from pyspark.sql import functions as F
 from stallmetrics.functions.calendar import ReportWindow, whole_day
 from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.traffic import exposures, shop_traffic_rows
-from stallmetrics.operators.windows import WIN, any_window, inside, tag_windows, window_value
+from stallmetrics.operators.windows import WIN, tag_by_time, window_value
 
 _KEYS = [WIN, "shop_id"]
 
 
+def _in_reach(facts: DataFrame, windows: Sequence[ReportWindow], ts: str) -> DataFrame:
+    """Rows between the first start and the last end, before they are tagged with each window."""
+    return facts.filter(F.col(ts).between(F.lit(min(w.start for w in windows)), F.lit(max(w.end for w in windows))))
+
+
 def _sales(orders: DataFrame, items: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:
     """Additive products, ordered and paid pieces: one row per shop and product (NULL for orders without items)."""
-    placed = orders.filter(any_window(windows, lambda w: inside("create_time", w))).select(
-        "order_number", "shop_id", "is_paid", "create_time"
+    lines = _in_reach(orders, windows, "create_time").select("order_number", "shop_id", "is_paid", "create_time").join(
+        items.select("order_number", "prod_id", "prod_count", F.lit(1).alias("_item")), "order_number", "left"
     )
-    lines = placed.join(items.select("order_number", "prod_id", "prod_count", F.lit(1).alias("_item")), "order_number", "left")
-    tagged = tag_windows(lines, windows, lambda w: inside("create_time", w))
-    per_product = tagged.groupBy(*_KEYS, "prod_id").agg(
+    per_product = tag_by_time(lines, windows, "create_time").groupBy(*_KEYS, "prod_id").agg(
         F.sum("prod_count").alias("order_num"),
         F.sum(F.when(F.col("is_paid"), F.col("prod_count"))).alias("pay_num"),
         F.count("_item").alias("_lines"),
@@ -39,7 +42,7 @@ def _new_products(products: DataFrame, windows: Sequence[ReportWindow], extra: C
     if extra is not None:
         live = live.filter(extra)
     return (
-        tag_windows(live, windows, lambda w: inside("create_time", w))
+        tag_by_time(live, windows, "create_time")
         .groupBy(*_KEYS).agg(F.count("prod_id").alias("new_prod"))
     )
 
