@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import month_back_window
@@ -98,9 +98,8 @@ def reason_rank(
         money.alias("pay_actual_total"),
         F.max("_pic").alias("pic"),
     )
-    # a shop has one row per reason here, so the window stays small
-    total = F.sum("pay_actual_total").over(Window.partitionBy("shop_id"))
-    return by_reason.withColumn("_total", total).filter(F.col("buyer_reason").isNotNull()).select(
+    totals = back.groupBy("shop_id").agg(money.alias("_total"))
+    return by_reason.filter(F.col("buyer_reason").isNotNull()).join(totals, "shop_id").select(
         "buyer_reason", "refund_prod_name", "refund_count", "pay_actual_total",
         money_ratio("pay_actual_total", "_total", 1, times=100).alias("percent_amount"),
         "pic", "shop_id", F.lit(as_of.date()).alias("stat_date"),
