@@ -7,6 +7,7 @@ of window numbers, with no join. The union of the spans is an ordinary filter, s
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 from functools import reduce
 from operator import or_
 
@@ -18,10 +19,15 @@ from stallmetrics.functions.calendar import ReportWindow, whole_day
 WIN = "win"
 
 
+def moment(at: datetime) -> Column:
+    """Literal of a wall-clock moment in the session's time zone, whatever zone the driver's machine is in."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def inside(ts: Column | str, window: ReportWindow) -> Column:
     """Timestamp lies in the window."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    start, end = F.lit(window.start), F.lit(window.end)
+    start, end = moment(window.start), moment(window.end)
     after = ts > start if window.start_open else ts >= start
     before = ts < end if window.end_open else ts <= end
     return after & before

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stallmetrics.functions import calendar as cal
 from stallmetrics.functions.labels import product_status_label, refund_reason_label
 from stallmetrics.functions.rates import count_ratio, money_ratio, percent
-from stallmetrics.operators.windows import WIN, inside, tag_windows
+from stallmetrics.operators.windows import WIN, inside, tag_by_day, tag_by_time, tag_windows
 from stallmetrics.sources import canonical
 
 
@@ -95,6 +95,28 @@ def test_window_ends(spark):
     assert [r.t for r in rows.filter(inside("ts", until)).collect()] == ["2024-03-01 00:00:00"]
 
 
+def test_windows_follow_the_session_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        rows = spark.sql("SELECT explode(array('2024-01-29 23:59:59', '2024-01-30 00:00:00', '2024-01-30 23:59:59')) AS t")
+        day = cal.whole_day(date(2024, 1, 30))
+        assert rows.filter(inside(F.col("t").cast("timestamp"), day)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_single_days_are_looked_up_like_any_window(spark):
+    days = [cal.whole_day(date(2024, 1, d)) for d in (3, 5, 9)]
+    rows = spark.range(300).select("id", F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, id, 0, 0.5)").alias("ts"))
+    rows = rows.union(spark.sql("SELECT 1000L, timestamp'2024-01-05 23:59:59.5'"))
+    looked_up = tag_by_time(rows, days, "ts")
+    tested = tag_windows(rows, days, lambda w: inside("ts", w))
+    assert looked_up.exceptAll(tested).isEmpty() and tested.exceptAll(looked_up).isEmpty() and looked_up.count() == 72
+    dated = rows.select(F.to_date("ts").alias("d"))
+    assert tag_by_day(dated, days, "d").groupBy(WIN).count().count() == 3
+
+
 def test_many_windows_in_one_pass_equal_one_by_one(spark):
     windows = cal.standard_windows(datetime(2024, 1, 31, 9))
     rows = spark.range(2000).select("id", F.expr("timestamp'2023-12-20 00:00:00' + make_dt_interval(0, id)").alias("ts"))
