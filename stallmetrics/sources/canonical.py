@@ -26,7 +26,11 @@ def _typed(raw: DataFrame, field: T.StructField, renamed: dict[str, str]) -> Col
     source = next((n for n in (renamed.get(field.name), field.name) if n in raw.columns), None)
     if source is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
-    if field.name in _VERBATIM:
+    typed_already = dict(raw.dtypes)[source] == field.dataType.simpleString()
+    if typed_already and not isinstance(field.dataType, (T.StringType, T.BooleanType)):
+        # left bare, so that filters on it still reach the scan
+        col = F.col(source)
+    elif field.name in _VERBATIM:
         col = F.col(source).cast("string")
     elif isinstance(field.dataType, T.LongType):
         col = casts.as_id(source)
@@ -39,7 +43,7 @@ def _typed(raw: DataFrame, field: T.StructField, renamed: dict[str, str]) -> Col
     elif isinstance(field.dataType, T.TimestampType):
         col = casts.as_moment(source)
     elif isinstance(field.dataType, T.DateType):
-        col = casts.as_day(source) if dict(raw.dtypes)[source] != "date" else F.col(source)
+        col = casts.as_day(source)
     else:
         col = casts.as_text(source)
     return col.alias(field.name)

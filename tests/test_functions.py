@@ -143,6 +143,18 @@ def test_raw_orders_become_typed(spark):
     assert canonical.orders(numeric).first().is_paid is True
 
 
+def test_filters_on_typed_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    spark.sql("SELECT 1L AS shop_id, '1' AS is_payed, timestamp'2024-01-30 10:00:00' AS pay_time, date'2024-01-30' AS dt").write.partitionBy("dt").parquet(path)
+    rows = canonical.orders(spark.read.parquet(path)).filter(
+        inside("pay_time", cal.whole_day(date(2024, 1, 30))) & (F.col("dt") == F.lit(date(2024, 1, 30)))
+    ).select("shop_id")
+    assert rows.count() == 1
+    scan = next(line for line in rows._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line)
+    assert "GreaterThanOrEqual(pay_time,2024-01-30" in scan and "(dt#" in scan.split("PartitionFilters")[1]
+    assert "ReadSchema: struct<shop_id:bigint,pay_time:timestamp>" in scan
+
+
 def test_raw_app_log_and_days_become_typed(spark):
     raw = spark.createDataFrame(
         [("12", "", "c", "enter", "1005", "e", "{}", "20240130"), ("ab", "4", "c", "enter", "1005", "e", None, "2024-01-30")],
