@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallmetrics.llm import decontaminate, embedding_dedup, mixing, ngram_join, quality, sharding
+from stallmetrics.llm import chat, decontaminate, embedding_dedup, html_extract, mixing, ngram_join, quality, sharding, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,10 +21,18 @@ def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.similar_vectors(_table(spark, folder, "embeddings"))
 
 
+def op3_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extraction_report(_table(spark, folder, "pages"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_report(_table(spark, folder, "conversations"))
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_report(_table(spark, folder, "documents"))
 
@@ -37,18 +45,27 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixing_report(_table(spark, folder, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_report(_table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_html_extract": op3_html_extract,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_sharding": op6_sharding,
+    "op5_chat_format": op5_chat_format,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op2_embedding_dedup": embedding_dedup.ORACLE,
     "op4_ngram_jaccard": ngram_join.ORACLE,
+    "op5_chat_format": chat.ORACLE,
     "op6_sharding": sharding.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op10_url_filter": url_filter.ORACLE,
 }
