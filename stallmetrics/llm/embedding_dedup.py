@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallmetrics.llm.shared import components, settle
+from stallmetrics.llm.shared import components, numbered, settle, spanning
 
 THRESHOLD = 0.93
 #: Vectors of a tile, about.
@@ -131,22 +131,6 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndar
     return i[keep], j[keep]
 
 
-def spanning(u: np.ndarray, v: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the same nodes: these themselves if they are few, else one from each node to its smallest."""
-    if len(u) <= 4 * nodes:
-        return u, v
-    label, changed = np.arange(nodes), True
-    while changed:
-        least = np.minimum(label[u], label[v])
-        before = label.copy()
-        np.minimum.at(label, u, least)
-        np.minimum.at(label, v, least)
-        label = label[label]
-        changed = bool((label != before).any())
-    node = np.flatnonzero(label != np.arange(nodes))
-    return node, label[node]
-
-
 def _compared(tiles: DataFrame, size: int, threshold: float, raw: str) -> DataFrame:
     """Per pair of tiles, rows ``(node, links, other)``: link counts, and links ``node``-``other`` that span them."""
     node = tiles.schema["node"].dataType
@@ -224,14 +208,11 @@ def similar_vectors(
             F.lit(side).alias("side"), ((slab == other_slab) & (tile_no == other_tile)).alias("own"),
         )
 
-    def numbers(count):
-        return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-
     slab, own = F.col("slab"), F.col("mine")
     meetings = F.concat(
-        F.transform(numbers(F.col("tiles")), lambda t: F.when(t >= own, meeting(slab, own, slab, t, 0)).otherwise(meeting(slab, t, slab, own, 1))),
-        F.transform(numbers(F.coalesce("above", F.lit(0))), lambda t: meeting(slab, own, slab + 1, t, 0)),
-        F.transform(numbers(F.coalesce("below", F.lit(0))), lambda t: meeting(slab - 1, t, slab, own, 1)),
+        F.transform(numbered(F.col("tiles")), lambda t: F.when(t >= own, meeting(slab, own, slab, t, 0)).otherwise(meeting(slab, t, slab, own, 1))),
+        F.transform(numbered(F.coalesce("above", F.lit(0))), lambda t: meeting(slab, own, slab + 1, t, 0)),
+        F.transform(numbered(F.coalesce("below", F.lit(0))), lambda t: meeting(slab - 1, t, slab, own, 1)),
     )
     tiles = salted.withColumn("mine", mine).select("part", "node", "weight", "coordinates", "raw", F.explode(meetings).alias("m")).select(
         "part", "node", "weight", "coordinates", "raw", "m.*"

@@ -10,9 +10,10 @@ Bounds by size come before every product: a row of which less than 75 % of the s
 nothing; rows of too different size do not meet; and the product of two rows runs over blocks of columns, stopping
 when the overlap so far plus the smaller block sizes to come cannot reach 75 % of the union.
 
-Copies are one row. Rows that share a column are first multiplied with the column's smallest row alone, which joins most
-of a large group of near copies in linear work; a second product covers every pair of a column that is not yet in one
-component. No pair is left out, and pairs inside a component are not listed.
+Copies are one row. Rows that share a column are first multiplied with the column's smallest row alone, its pivot, which
+joins most of a large group of near copies in linear work. The rows around one pivot that are not yet in its component
+are then multiplied, in tiles of bounded size, with each other and with the rest: a tile's overlap counts add up over blocks of
+columns, and only links that join something leave the task. No pair of a column is left out, and no list of pairs is made.
 
 Defined cases: null and empty texts and texts without words have no shingle and link with nothing. Repeated rows of one
 id are one document. A null id is returned without component.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import LOWERED, Words, components, rows_of, settle
+from stallmetrics.llm.shared import LOWERED, Words, bit_set, bit_tables, components, packed_slots, rows_of, settle, spanning, star_tiles
 
 WIDTH = 5
 #: A link needs 100 * overlap >= SIMILARITY * union.
@@ -40,6 +41,8 @@ COMMON = 32
 COLUMNS = 1_000_000
 #: Column blocks of the product of two rows.
 STEPS = 8
+#: Rows and shingles of a tile, about, and the columns of one dense block of it.
+TILE_ROWS, TILE_SHINGLES, TILE_COLUMNS = 2048, 1_000_000, 1024
 
 
 def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
@@ -48,80 +51,18 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def _counted(docs: DataFrame, blocks: int, width: int) -> DataFrame:
-    """Per task chunk and block of columns, the chunk's shingles: those of one text, and others with their counts."""
-    top = blocks.bit_length() - 1
-
-    def count(batches):
-        for _, texts in rows_of(batches, "text"):
-            sets = shingle_sets(texts, width)
-            hashes = np.sort(np.concatenate([*sets, np.zeros(0, np.uint64)]))
-            if not len(hashes):
-                continue
-            new = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
-            many = np.diff(np.append(new, len(hashes))).astype(np.uint32)
-            hashes = hashes[new]
-            short = ((hashes << np.uint64(top)) >> np.uint64(32)).astype(np.uint32)
-            bounds = np.searchsorted(hashes, np.arange(blocks, dtype=np.uint64) << np.uint64(64 - top)) if top else np.zeros(1, int)
-            cuts = np.append(bounds, len(hashes))
-            rows = {"block": [], "once": [], "more": [], "counts": []}
-            for b in range(blocks):
-                a, z = cuts[b], cuts[b + 1]
-                if a < z:
-                    once = many[a:z] == 1
-                    rows["block"].append(b)
-                    rows["once"].append(short[a:z][once].tobytes())
-                    rows["more"].append(short[a:z][~once].tobytes())
-                    rows["counts"].append(many[a:z][~once].tobytes())
-            yield pa.RecordBatch.from_pydict(
-                {k: pa.array(v, pa.int32() if k == "block" else pa.binary()) for k, v in rows.items()}
-            )
-
-    return docs.mapInArrow(count, "block int, once binary, more binary, counts binary")
-
-
 def column_tables(docs: DataFrame, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Bit tables over the hash's first ``BITS`` bits: shingle in several texts, shingle in more than ``COMMON``."""
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 << max(0, min(BITS - 5, int(np.ceil(np.log2(max(1, size / 6 / COLUMNS))))))
-    top = blocks.bit_length() - 1
-    slots = 1 << (BITS - top)
 
-    def add_up(pdf):
-        import pandas as pd
+    def hashes(batches):
+        for _, texts in rows_of(batches, "text"):
+            yield np.concatenate([*shingle_sets(texts, width), np.zeros(0, np.uint64)])
 
-        keys = [np.frombuffer(x, np.uint32) for x in pdf["once"]]
-        counts = [np.ones(len(k), np.uint32) for k in keys]
-        keys += [np.frombuffer(x, np.uint32) for x in pdf["more"]]
-        counts += [np.frombuffer(x, np.uint32) for x in pdf["counts"]]
-        key, count = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(key, kind="stable")
-        key, count = key[order], count[order]
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        total, slot = np.add.reduceat(count.astype(np.int64), new), key[new] >> np.uint32(32 - (BITS - top))
-        tables = {}
-        for name, least in (("several", 2), ("common", COMMON + 1)):
-            bits = np.zeros(slots, bool)
-            bits[slot[total >= least]] = True
-            tables[name] = [np.packbits(bits).tobytes()]
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], **tables})
-
-    parts = _counted(docs.select("text"), blocks, width).groupBy("block").applyInPandas(
-        add_up, "block int, several binary, common binary"
-    )
-    several, common = (np.zeros((1 << BITS) // 8, np.uint8) for _ in range(2))
-    for row in parts.collect():  # 2 ** BITS bits of each table, cut by block
-        at = slice(row.block * slots // 8, (row.block + 1) * slots // 8)
-        several[at] = np.frombuffer(row.several, np.uint8)
-        common[at] = np.frombuffer(row.common, np.uint8)
+    several, common = bit_tables(packed_slots(docs.select("text"), hashes, size / 6 / COLUMNS, BITS), (2, COMMON + 1), BITS)
     return several, common
 
 
-def _bit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-    return (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
-
-
 def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
     """The least overlap with which a row of ``n`` shingles can still link."""
     return -(-SIMILARITY * n // 100)
@@ -138,13 +79,13 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
             sizes, digests, first, shared = [], [], [], []
             for grams in shingle_sets(texts, width):
                 n = len(grams)
-                met = grams[_bit(several, grams)]
+                met = grams[bit_set(several, grams, BITS)]
                 links = n > 0 and len(met) >= least_overlap(n)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if links else None)
                 shared.append(met.view(np.int64) if links else [])
                 if links:
-                    many = _bit(common, met)
+                    many = bit_set(common, met, BITS)
                     ordered = np.concatenate((met[~many], met[many]))
                     first.append(ordered[: n - least_overlap(n) + 1 - (n - len(met))].view(np.int64))
                 else:
@@ -198,6 +139,66 @@ def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(multiply, f"a {kind}, b {kind}"))
 
 
+def tile_links(x: list[np.ndarray], y: list[np.ndarray], n: np.ndarray, m: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two tiles that reach the similarity, of the pairs marked in ``apart``.
+
+    Overlaps add up over blocks of the columns that both tiles have; rows without a pair left leave the product.
+    """
+    need = -(-SIMILARITY * (n[:, None] + m) // (100 + SIMILARITY))
+    flat = [np.concatenate([*side, np.zeros(0, np.uint64)]) for side in (x, y)]
+    columns = np.intersect1d(*flat)
+    cells, rest = [], []
+    for side, values in zip((x, y), flat, strict=True):
+        row = np.repeat(np.arange(len(side)), [len(v) for v in side])
+        at = np.minimum(np.searchsorted(columns, values), max(0, len(columns) - 1))
+        both = columns[at] == values if len(columns) else np.zeros(len(values), bool)
+        cells.append((row[both], at[both]))
+        rest.append(np.bincount(row[both], minlength=len(side)))
+    counts = np.zeros((len(x), len(y)), np.float32)
+    alive = apart & (np.minimum(rest[0][:, None], rest[1]) >= need)
+    for start in range(0, len(columns), TILE_COLUMNS):
+        rows = [np.flatnonzero(alive.any(axis=1 - k)) for k in (0, 1)]
+        if not len(rows[0]):
+            break
+        blocks = []
+        for k, (row, at) in enumerate(cells):
+            place = np.full(len(rest[k]), -1)
+            place[rows[k]] = np.arange(len(rows[k]))
+            inside = (at >= start) & (at < start + TILE_COLUMNS)
+            rest[k] = rest[k] - np.bincount(row[inside], minlength=len(rest[k]))
+            inside &= place[row] >= 0
+            block = np.zeros((len(rows[k]), min(TILE_COLUMNS, len(columns) - start)), np.float32)
+            block[place[row[inside]], at[inside] - start] = 1
+            blocks.append(block)
+        within = np.ix_(*rows)
+        counts[within] += blocks[0] @ blocks[1].T
+        alive[within] &= counts[within] + np.minimum(rest[0][rows[0]][:, None], rest[1][rows[1]]) >= need[within]
+    return np.nonzero(alive & (counts >= need))
+
+
+def _star_links(stars: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between rows around one pivot that lie in different components; ``stars`` has (pivot, node, root, own)."""
+    sized = stars.join(rows.select("node", F.col("n").alias("size")), "node")
+    tiles = star_tiles(sized, TILE_ROWS, TILE_SHINGLES).join(rows.select("node", "n", "shared"), "node")
+    kind = rows.schema["node"].dataType.simpleString()
+
+    def multiply(pdf):
+        import pandas as pd
+
+        sides = [pdf[pdf["side"] == s] for s in (0, 1)]
+        if not pdf["inside"].iloc[0] and (pdf["outer"].iloc[0] == pdf["other"].iloc[0]):
+            sides[1] = sides[0]
+        x, y = ([v.view(np.uint64) for v in s["shared"]] for s in sides)
+        roots = [s["root"].to_numpy() for s in sides]
+        i, j = tile_links(x, y, *(s["n"].to_numpy() for s in sides), roots[0][:, None] != roots[1])
+        i, j = spanning(i, j + len(x), len(x) + len(y))
+        nodes = np.concatenate([s["node"].to_numpy() for s in sides])
+        return pd.DataFrame({"a": nodes[i], "b": nodes[j]})
+
+    found = tiles.groupBy("pivot", "outer", "other", "inside").applyInPandas(multiply, f"a {kind}, b {kind}")
+    return settle(found.where("a <> b"))
+
+
 def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable over links."""
     docs = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
@@ -221,13 +222,12 @@ def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: st
     split = settle(
         placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("gram")
     )
-    open_rows = settle(placed.join(split, "gram", "left_semi"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    apart = (
-        x.join(y, "gram").where("x.node < y.node AND x.root <> y.root").where(_sizes_fit(F.col("x.n"), F.col("y.n")))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(near_pivot, ["a", "b"], "left_anti")
+    around = placed.join(split, "gram", "left_semi").join(pivots, "gram").select(F.col("pivot.node").alias("pivot"), "node", "root").distinct()
+    pivot_root = roots.select(F.col("node").alias("pivot"), F.col("root").alias("of_pivot"))
+    stars = settle(
+        around.join(pivot_root, "pivot", "left").select("pivot", "node", "root", (F.col("root") == F.coalesce("of_pivot", "pivot")).alias("own"))
     )
-    roots = components(links.unionByName(_links(apart, rows)))
+    roots = components(links.unionByName(_star_links(stars, rows)))
     of_digest = settle(
         rows.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics.session import shared_dir
@@ -169,6 +169,120 @@ def _are_stars(stars: DataFrame) -> bool:
     return wrong.isEmpty()
 
 
+def spanning(u: np.ndarray, v: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same nodes: these themselves if they are few, else one from each node to its smallest."""
+    if len(u) <= 4 * nodes:
+        return u, v
+    label, changed = np.arange(nodes), True
+    while changed:
+        least = np.minimum(label[u], label[v])
+        before = label.copy()
+        np.minimum.at(label, u, least)
+        np.minimum.at(label, v, least)
+        label = label[label]
+        changed = bool((label != before).any())
+    node = np.flatnonzero(label != np.arange(nodes))
+    return node, label[node]
+
+
+def numbered(count: Column) -> Column:
+    """The numbers 0 to ``count - 1``."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def packed_slots(df: DataFrame, hashes: Callable, tasks: float, bits: int) -> DataFrame:
+    """The 64-bit hashes that ``hashes`` yields, an array for each chunk, counted there and packed by block of the hash space.
+
+    Blocks are cut by the first bits of a hash, about ``tasks`` of them; a row holds the next 32 bits of a chunk's hashes,
+    those met once and others with their counts.
+    """
+    top = max(0, min(bits - 5, int(np.ceil(np.log2(max(1.0, tasks))))))
+    blocks = 1 << top
+
+    def pack(batches):
+        for found in hashes(batches):
+            if not len(found):
+                continue
+            found = np.sort(found)
+            new = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+            many = np.diff(np.append(new, len(found))).astype(np.uint32)
+            found = found[new]
+            short = ((found << np.uint64(top)) >> np.uint64(32)).astype(np.uint32)
+            starts = np.searchsorted(found, np.arange(blocks, dtype=np.uint64) << np.uint64(64 - top)) if top else np.zeros(1, int)
+            cuts = np.append(starts, len(found))
+            rows = {"block": [], "once": [], "more": [], "counts": []}
+            for b in np.flatnonzero(np.diff(cuts)):
+                part, once = short[cuts[b] : cuts[b + 1]], many[cuts[b] : cuts[b + 1]] == 1
+                rows["block"].append(int(b))
+                rows["once"].append(part[once].tobytes())
+                rows["more"].append(part[~once].tobytes())
+                rows["counts"].append(many[cuts[b] : cuts[b + 1]][~once].tobytes())
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "block" else pa.binary()) for k, v in rows.items()})
+
+    return df.mapInArrow(pack, "block int, once binary, more binary, counts binary").withColumn("top", F.lit(top))
+
+
+def bit_tables(packed: DataFrame, least: tuple[int, ...], bits: int) -> list[np.ndarray]:
+    """For each count in ``least`` a table of ``2 ** bits`` bits: a hash that starts so occurs as often, or more."""
+
+    def add_up(pdf):
+        import pandas as pd
+
+        top = int(pdf["top"].iloc[0])
+        keys = [np.frombuffer(x, np.uint32) for column in ("once", "more") for x in pdf[column]]
+        counts = [np.ones(len(x) // 4, np.uint32) for x in pdf["once"]] + [np.frombuffer(x, np.uint32) for x in pdf["counts"]]
+        key, count = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        total, slot = np.add.reduceat(count.astype(np.int64), new), key[new] >> np.uint32(32 - (bits - top))
+        found = []
+        for n in least:
+            held = np.zeros(1 << (bits - top), bool)
+            held[slot[total >= n]] = True
+            found.append(np.packbits(held).tobytes())
+        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "tables": [found]})
+
+    tables = [np.zeros((1 << bits) // 8, np.uint8) for _ in least]
+    for row in packed.groupBy("block").applyInPandas(add_up, "block int, tables array<binary>").collect():  # the tables, cut by block
+        for table, part in zip(tables, row.tables, strict=True):
+            part = np.frombuffer(part, np.uint8)
+            table[row.block * len(part) : (row.block + 1) * len(part)] = part
+    return tables
+
+
+def bit_set(table: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+
+
+def star_tiles(stars: DataFrame, most_rows: int, most_units: int) -> DataFrame:
+    """Members of stars dealt to meetings of two tiles: all pairs of a star's members that lie in different components.
+
+    ``stars`` has ``pivot``, ``node``, ``root`` (the node's component), ``own`` (it is the pivot's) and ``size`` (its units of
+    work). Members of the pivot's component never meet each other. Groups ``(pivot, outer, other, inside)`` hold the two
+    tiles as sides 0 and 1, or a tile that meets itself as side 0 alone.
+    """
+    of_star = stars.groupBy("pivot").agg(*[
+        F.ceil(F.greatest(F.count_if(own) / most_rows, F.sum(F.when(own, F.col("size")).otherwise(0)) / most_units)).cast("int").alias(name)
+        for name, own in (("inner", F.col("own")), ("outer", ~F.col("own")))
+    ])
+    tiled = settle(stars.join(settle(of_star.where("outer > 0")), "pivot"))
+    number = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.when(F.col("own"), F.col("inner")).otherwise(F.col("outer")))).cast("int")
+
+    def meeting(a, b, inside, side):
+        return F.struct(a.alias("outer"), b.alias("other"), F.lit(inside).alias("inside"), F.lit(side).alias("side"))
+
+    mine = F.col("mine")
+    meetings = F.when(
+        F.col("own"), F.transform(numbered(F.col("outer")), lambda t: meeting(t, mine, True, 1))
+    ).otherwise(F.concat(
+        F.transform(numbered(F.col("inner")), lambda t: meeting(mine, t, True, 0)),
+        F.transform(numbered(F.col("outer")), lambda t: F.when(t >= mine, meeting(mine, t, False, 0)).otherwise(meeting(t, mine, False, 1))),
+    ))
+    return tiled.withColumn("mine", number).withColumn("meeting", F.explode(meetings)).select("pivot", "node", "root", "meeting.*")
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], text: str, rows: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Every batch cut into chunks of rows, with the bytes of its text column."""
     for batch in batches:
