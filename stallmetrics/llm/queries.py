@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallmetrics.llm import chat, decontaminate, embedding_dedup, html_extract, mixing, ngram_join, quality, sharding, url_filter
+from stallmetrics.llm import chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, quality, sharding, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_report(_table(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_sharding": op6_sharding,
     "op5_chat_format": op5_chat_format,
+    "op7_line_dedup": op7_line_dedup,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
