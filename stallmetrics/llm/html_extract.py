@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from stallmetrics.llm.shared import ALNUM_LOWERED, Words, rows_of, without
 
 #: Pages that are learnt from at most, and made-up pages besides.
-SAMPLE, MADE_UP = 160, 480
-PATH_SIZE, WORD_SIZE, HIDDEN = 48, 8, 16
+SAMPLE, MADE_UP = 160, 960
+PATH_SIZE, WORD_SIZE, HIDDEN = 192, 8, 16
 PATH_SLOTS, WORD_SLOTS = 4096, 512
 EPOCHS, BATCH, RATE, SEED = 14, 32, 0.02, 5
 #: Blocks whose vectors are held at once, about.
