@@ -77,7 +77,7 @@ def q(body: str) -> str:
 
 
 def span(col: str, first: str, last: str) -> str:
-    return f"{col} BETWEEN TIMESTAMP '{first} 00:00:00' AND TIMESTAMP '{last} 23:59:59'"
+    return f"({col} >= TIMESTAMP '{first} 00:00:00' AND {col} < TIMESTAMP '{last} 00:00:00' + INTERVAL 1 DAY)"
 
 
 def days(col: str, first: str, last: str) -> str:

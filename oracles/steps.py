@@ -102,7 +102,7 @@ SELECT prod_id, status, sf.status_filter FROM cards JOIN {FILTERS} ON {ADMITS.fo
 """)
 SQL["shop_spine"] = q(f"""
 SELECT shop_id, {whole('a')} AS big_orders, {whole('b')} AS refunds, {whole('c')} AS share_visit
-FROM (SELECT shop_id, count(*) AS a FROM ord WHERE {span('create_time', DAY, DAY)} AND actual_total > 90000 GROUP BY 1)
+FROM (SELECT shop_id, count(*) AS a FROM ord WHERE {span('create_time', DAY, DAY)} GROUP BY 1)
 FULL JOIN (SELECT shop_id, count(*) AS b FROM rfd WHERE {span('refund_time', DAY, DAY)} GROUP BY 1) USING (shop_id)
 FULL JOIN (SELECT shop_id, count(*) AS c FROM seen WHERE dt = DATE '{DAY}' AND shared GROUP BY 1) USING (shop_id)
 """)

@@ -13,7 +13,8 @@ DAY_END = time(23, 59, 59)
 class ReportWindow:
     """A span of time with the tags its report rows carry.
 
-    Both ends are inside the window unless ``start_open`` / ``end_open`` say otherwise.
+    Both ends are whole seconds and inside the window, to their last fraction, unless ``start_open`` / ``end_open`` say
+    otherwise: a day that ends at 23:59:59 holds all there is before midnight.
     """
 
     start: datetime

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
+# holds every long, and fractions that are cut off rather than rounded up
+NUMBER = "decimal(38,18)"
 
 
 def _text(col: Column | str) -> Column:
@@ -19,8 +21,8 @@ def _text(col: Column | str) -> Column:
 
 
 def as_id(col: Column | str) -> Column:
-    """Identifier as long; blank or non-numeric becomes NULL."""
-    return _text(col).try_cast("bigint")
+    """Identifier as long, however it is written or typed (``7``, ``7.0``, ``1.2E7``); no number becomes NULL."""
+    return _text(col).try_cast(NUMBER).try_cast("bigint")
 
 
 def as_text(col: Column | str) -> Column:
@@ -29,8 +31,8 @@ def as_text(col: Column | str) -> Column:
 
 
 def as_int(col: Column | str) -> Column:
-    """Small code or quantity as int."""
-    return _text(col).try_cast("int")
+    """Small code or quantity as int; a fraction is cut off."""
+    return _text(col).try_cast(NUMBER).try_cast("int")
 
 
 def as_money(col: Column | str) -> Column:

@@ -7,7 +7,7 @@ of window numbers, with no join. The union of the spans is an ordinary filter, s
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stallmetrics.functions.calendar import ReportWindow, whole_day
 
 WIN = "win"
+SECOND = timedelta(seconds=1)
 
 
 def moment(at: datetime) -> Column:
@@ -27,10 +28,10 @@ def moment(at: datetime) -> Column:
 def inside(ts: Column | str, window: ReportWindow) -> Column:
     """Timestamp lies in the window."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    start, end = moment(window.start), moment(window.end)
-    after = ts > start if window.start_open else ts >= start
-    before = ts < end if window.end_open else ts <= end
-    return after & before
+    # ends are whole seconds: one that is outside (start) or inside (end) is so with all its fractions
+    start = window.start + SECOND if window.start_open else window.start
+    end = window.end if window.end_open else window.end + SECOND
+    return (ts >= moment(start)) & (ts < moment(end))
 
 
 def inside_days(day: Column | str, window: ReportWindow) -> Column:
@@ -77,9 +78,7 @@ def tag_by_time(facts: DataFrame, windows: Sequence[ReportWindow], ts: str) -> D
     if not _separate_days(windows):
         return tag_windows(facts, windows, lambda w: inside(ts, w))
     day = F.to_date(ts)
-    last_second = day.cast("timestamp") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
-    known = day.isin([w.first_day for w in windows]) & (F.col(ts) <= last_second)
-    return facts.filter(known).withColumn(WIN, _day_number(windows, day) - 1)
+    return facts.filter(day.isin([w.first_day for w in windows])).withColumn(WIN, _day_number(windows, day) - 1)
 
 
 def tag_by_day(facts: DataFrame, windows: Sequence[ReportWindow], day: str) -> DataFrame:

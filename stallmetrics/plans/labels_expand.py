@@ -14,8 +14,13 @@ def _on_page(app_log: DataFrame, day: date, page: str) -> DataFrame:
 
 
 def infer_label_schema(labels: DataFrame) -> str | None:
-    """Schema of all labels as DDL, merged over every row by one aggregate; malformed labels are passed over."""
-    row = labels.agg(F.schema_of_variant_agg(F.try_parse_json("label")).alias("s")).first()
+    """Schema of all labels as DDL, merged over every row by one aggregate.
+
+    Malformed labels and those that are no object (a number, a list) are passed over; none where there are no others.
+    """
+    parsed = F.try_parse_json("label")
+    objects = labels.where(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT<")))
+    row = objects.agg(F.schema_of_variant_agg(parsed).alias("s")).first()
     if row is None or not row.s or not row.s.startswith("OBJECT<"):
         return None
     return row.s.replace("OBJECT<", "STRUCT<")
@@ -31,5 +36,7 @@ def expand_label(
     rows = _on_page(app_log, day, page)
     schema = schema or infer_label_schema(rows)
     if schema is None:
+        if not rows.where("label IS NOT NULL").isEmpty():
+            raise ValueError("no label of the day is an object; give a schema")
         return rows.drop("label")
     return rows.withColumn("_fields", F.from_json("label", schema)).select("*", "_fields.*").drop("_fields", "label")

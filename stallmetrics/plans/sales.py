@@ -66,7 +66,7 @@ def visitor_conversion(
     active = stack_measures(keys, visitors, buyers).filter(
         (F.col("visitor_num") > 0) | (F.col("pay_user_count") > 0)
     )
-    named = _cards(products).filter(F.col("prod_name").isNotNull())
+    named = _cards(products.filter(F.col("prod_name").isNotNull()))
     ranked = rank_in_group(named.join(active, ["prod_id", "shop_id"]), [WIN, "shop_id"], "visitor_num", "prod_id")
     return ranked.join(one_name_per_shop(shops), "shop_id", "left").select(
         "prod_id", "shop_id", "shop_name", "prod_name", "pic", "visitor_num",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -16,7 +15,7 @@ from stallmetrics.functions.rates import count_ratio, money_ratio, percent
 from stallmetrics.operators import catalog, refunds as rf, shaping, trade, traffic
 from stallmetrics.operators.windows import WIN, inside
 from stallmetrics.plans import analysis, labels_expand, merchant, overview, refund_ranks, sales
-from stallmetrics.session import shared_dir
+from stallmetrics.session import work_folder
 from stallmetrics.sinks import rules
 from stallmetrics.sources import schemas
 from stallmetrics.sources.retail_binding import RetailTables
@@ -323,7 +322,7 @@ def _(t):
 @query("shop_spine")
 def _(t):
     day = cal.whole_day(DAY)
-    sold = t.orders.filter(inside("create_time", day) & (F.col("actual_total") > 90000)).groupBy("shop_id").agg(
+    sold = t.orders.filter(inside("create_time", day)).groupBy("shop_id").agg(
         F.count(F.lit(1)).alias("big_orders")
     )
     back = t.refunds.filter(inside("refund_time", day)).groupBy("shop_id").agg(F.count(F.lit(1)).alias("refunds"))
@@ -467,10 +466,7 @@ def _(t):
 
 def _work_dir(spark: SparkSession) -> str:
     """Fresh folder for a streaming run, below the shared folder where the cluster names one."""
-    shared = shared_dir(spark)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="stallmetrics-")
-    return os.path.join(shared, f"stallmetrics-{spark.sparkContext.applicationId}-{os.urandom(6).hex()}")
+    return os.path.join(work_folder(spark), f"stallmetrics-{spark.sparkContext.applicationId}-{os.urandom(6).hex()}")
 
 
 def _hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -480,7 +476,7 @@ def _hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
     orders.write.parquet(f"{work}/orders")
     stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 64).parquet(f"{work}/orders")
     run = into_table.stream_to_parquet(
-        hourly.hourly_stream(stream, "30 days"), f"{work}/updates", f"{work}/progress", mode="update"
+        hourly.hourly_stream(stream), f"{work}/updates", f"{work}/progress", mode="update"
     )
     run.awaitTermination()
     return hourly.hourly_report(spark.read.parquet(f"{work}/updates"), DAY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Skewed joins are split even where that costs a shuffle: one hot order or product must not pin a task.
@@ -32,3 +34,15 @@ def build_session(name: str = "stallmetrics", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str | None:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder, for intermediate tables. Only a session of one machine may go without: it gets a temporary one."""
+    folder = shared_dir(spark)
+    if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="stallmetrics-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder

@@ -21,14 +21,19 @@ _RENAMED_LOG = {"prod_id": "prodid", "shop_id": "shopid"}
 # texts kept as they are: a blank name or reason is data, not a missing id
 _VERBATIM = {"prod_name", "shop_name", "buyer_reason", "label", "pic"}
 
+# texts in which blank stands for "none", so that blanks must not meet each other in a join
+_OPTIONAL_TEXT = {"order_item_id"}
+
 
 def _typed(raw: DataFrame, field: T.StructField, renamed: dict[str, str]) -> Column:
     source = next((n for n in (renamed.get(field.name), field.name) if n in raw.columns), None)
     if source is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
     typed_already = dict(raw.dtypes)[source] == field.dataType.simpleString()
-    if typed_already and not isinstance(field.dataType, (T.StringType, T.BooleanType)):
-        # left bare, so that filters on it still reach the scan
+    if typed_already and isinstance(field.dataType, T.BooleanType):
+        col = F.coalesce(F.col(source), F.lit(False))
+    elif typed_already and field.name not in _OPTIONAL_TEXT:
+        # left bare, so that filters and joins on it still reach the scan
         col = F.col(source)
     elif field.name in _VERBATIM:
         col = F.col(source).cast("string")

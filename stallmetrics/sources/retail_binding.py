@@ -46,12 +46,7 @@ class RetailTables:
 
     @cached_property
     def _lineitem(self) -> DataFrame:
-        """Item rows. A table of one file is read by one task, so such a (small) table is spread over the cores by
-        the key it is joined on; larger tables are read in parallel anyway and stay as they are."""
-        rows = self._read("lineitem")
-        if len(rows.inputFiles()) > 1:
-            return rows
-        return rows.repartition("l_orderkey")
+        return self._read("lineitem")
 
     @cached_property
     def _headers(self) -> DataFrame:

@@ -5,11 +5,11 @@ import os
 import pytest
 from compare import differences
 
-from __spark_entry__ import oracle_sql, queries
+from oracles import ORACLES
+from stallmetrics.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="tables not present")
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 def test_every_query_has_an_oracle():
