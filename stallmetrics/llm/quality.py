@@ -32,7 +32,7 @@ WORDS = 2048
 REPEAT_WEIGHT = 5.0
 SEED = 11
 #: Documents whose dense term counts are held at once.
-ROWS = 512
+ROWS = 128
 ADDED = ("score", "predicted")
 
 # Character classes; a byte that no entry names is lower case, another letter or a control character.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stallmetrics.session import shared_dir
 
 #: Bytes of text that one numpy step works on; a longer text is a step of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 #: Byte tables: A-Z lower-cased; the second also blanks every ASCII byte that is no digit and no letter.
@@ -283,9 +283,9 @@ def star_tiles(stars: DataFrame, most_rows: int, most_units: int) -> DataFrame:
     return tiled.withColumn("mine", number).withColumn("meeting", F.explode(meetings)).select("pivot", "node", "root", "meeting.*")
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], text: str, rows: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def rows_of(batches: Iterable[pa.RecordBatch], text: str, rows: int = 1 << 30, most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Every batch cut into chunks of rows, with the bytes of its text column."""
     for batch in batches:
         texts = texts_of(batch.column(batch.schema.get_field_index(text)))
-        for a, b in chunks(texts, rows=rows):
+        for a, b in chunks(texts, most, rows):
             yield batch.slice(a, b - a), texts[a:b]
