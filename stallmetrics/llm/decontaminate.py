@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import ALNUM_LOWERED, rows_of, without
+from stallmetrics.llm.shared import ALNUM_LOWERED, by_position, rows_of, without
 
 #: Bytes of benchmark text that are searched, and broadcast, at once.
 BLOCK_BYTES = 4_000_000
@@ -220,9 +220,8 @@ def leak_report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those in which a benchmark window occurs."""
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    kept = documents.select(F.struct(*columns).alias("row"), F.col("text"))
-    return find_leaks(kept, benchmark).where(F.size("hit_spans") == 0).select("row.*")
+    rows, text = by_position(documents)
+    return find_leaks(rows, benchmark, text=text).where(F.size("hit_spans") == 0).select(*rows.columns).toDF(*documents.columns)
 
 
 ORACLE = r"""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import ALNUM_LOWERED, Words, rows_of, settle, without
+from stallmetrics.llm.shared import ALNUM_LOWERED, Words, by_position, rows_of, settle, without
 
 #: Labelled rows that are learnt from at most; the rest only counts for the share of the labels.
 SAMPLE = 2048
@@ -213,5 +213,5 @@ def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_poor(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``documents`` without those that the classifier rejects."""
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col("text"))
-    return score(rows, fit(documents, labels)).where("predicted = 1").select("row.*")
+    rows, text = by_position(documents)
+    return score(rows, fit(documents, labels), text=text).where("predicted = 1").select(*rows.columns).toDF(*documents.columns)

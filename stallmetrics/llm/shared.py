@@ -48,6 +48,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def by_position(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with its columns named by position, which clash with no added one, and the name that ``text`` then has."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), names[[c.lower() for c in df.columns].index("text")]
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column, a null as empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

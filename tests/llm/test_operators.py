@@ -29,6 +29,16 @@ def test_leaks_of_awkward_texts(spark):
     assert kept.columns == documents(spark).columns and {r.doc_id for r in kept.collect()} == {4, 5, 6, 7, None}
 
 
+def test_filters_keep_columns_that_clash(spark):
+    docs = spark.createDataFrame([(1, "a b c", 0.1, 5, "x"), (2, "leaked words here", 0.2, 6, None)], "doc_id long, text string, score double, n_words int, c0 string")
+    bench = spark.createDataFrame([(1, "Leaked WORDS here")], "item_id long, text string")
+    kept = decontaminate.drop_leaks(docs, bench)
+    assert kept.dtypes == docs.dtypes and [tuple(r) for r in kept.collect()] == [(1, "a b c", 0.1, 5, "x")]
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    good = quality.drop_poor(docs, labels)
+    assert good.dtypes == docs.dtypes and sorted(map(tuple, good.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_leaks_without_any_window(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert not decontaminate.leak_report(documents(spark), empty).where("contaminated").count()
