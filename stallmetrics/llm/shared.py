@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,16 +60,16 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], most: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes of text and ``rows`` rows each, at least one row."""
+def chunks(sizes: list[int], most: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes of text and ``rows`` rows each, at least one row; ``sizes`` are the texts' bytes."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and (size + len(t) > most or i - start >= rows):
+    for i, n in enumerate(sizes):
+        if i > start and (size + n > most or i - start >= rows):
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -290,8 +291,11 @@ def star_tiles(stars: DataFrame, most_rows: int, most_units: int) -> DataFrame:
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], text: str, rows: int = 1 << 30, most: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Every batch cut into chunks of rows, with the bytes of its text column."""
+    """Every batch cut into chunks of rows, with the bytes of its text column; one chunk's texts are copied at a time."""
     for batch in batches:
-        texts = texts_of(batch.column(batch.schema.get_field_index(text)))
-        for a, b in chunks(texts, most, rows):
-            yield batch.slice(a, b - a), texts[a:b]
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+        sizes = pc.binary_length(column).fill_null(0).to_pylist()
+        for a, b in chunks(sizes, most, rows):
+            yield batch.slice(a, b - a), texts_of(column.slice(a, b - a))
+        del batch, column
+        pa.default_memory_pool().release_unused()
