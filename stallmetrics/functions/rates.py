@@ -2,7 +2,7 @@
 
 Double division rounds differently from engine to engine (``201 / 20000 * 100`` is either 1.01 or 1.00 at two
 places), so every ratio is computed as ``(2·scaled + d) div (2·d)``: exact, rounded half up, 0 on a zero
-denominator. Inputs are taken to be non-negative.
+denominator. A quotient below zero (a correction) is rounded half away from zero.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ def _col(value: Column | str) -> Column:
 
 def _guarded(scaled: Column, den: Column, places: int) -> Column:
     """Quotient of two whole numbers, the first already scaled by twice the unit."""
-    units = F.call_function("div", scaled + den, den * 2)
+    units = F.call_function("div", F.abs(scaled) + den, den * 2)
+    units = F.when(scaled < 0, -units).otherwise(units)
     # 15 digits times the unit stay within 18, which Spark keeps in one machine word
     ratio = units.cast("decimal(15,0)") * F.lit(Decimal(1).scaleb(-places))
     return F.when(den > 0, ratio).otherwise(F.lit(0)).cast(f"decimal(18,{places})")

@@ -39,11 +39,20 @@ def one_if(test: Column) -> Column:
 STATUS_FILTERS: Mapping[int, int | None] = {0: None, 1: 1, 2: 0, 3: 3}
 
 
+def _admits(col: Column, wanted: int | None) -> Column:
+    return col > -1 if wanted is None else col == wanted
+
+
+def admitted(status: str = "status", filters: Mapping[int, int | None] = STATUS_FILTERS) -> Column:
+    """Whether any of the status filters admits a row: to drop others before the joins."""
+    return reduce(or_, [_admits(F.col(status), wanted) for wanted in filters.values()])
+
+
 def status_fanout(df: DataFrame, status: str = "status", filters: Mapping[int, int | None] = STATUS_FILTERS) -> DataFrame:
     """One copy of a row per status filter that admits it, in column ``status_filter``."""
     col = F.col(status)
     marks = [
-        F.when(col > -1 if wanted is None else col == wanted, F.lit(str(number)))
+        F.when(_admits(col, wanted), F.lit(str(number)))
         for number, wanted in filters.items()
     ]
     return df.withColumn("status_filter", F.explode(F.array_compact(F.array(*marks))))

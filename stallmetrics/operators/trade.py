@@ -15,7 +15,6 @@ from stallmetrics.functions.casts import MONEY
 from stallmetrics.operators.shaping import one_if, stack_measures
 
 ORDER_FACT = ["order_id", "order_number", "user_id", "shop_id", "create_time", "pay_time", "is_paid", "actual_total"]
-ITEM_FACT = ["order_item_id", "order_number", "prod_id", "shop_id", "prod_count", "actual_total", "rec_time"]
 
 
 def dedup_exact_rows(facts: DataFrame, columns: Sequence[str]) -> DataFrame:

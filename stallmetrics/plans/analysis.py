@@ -35,6 +35,7 @@ from stallmetrics.operators.refunds import (
 from stallmetrics.operators.shaping import (
     MEASURES_WITHOUT_EXPOSURE,
     STATUS_FILTERS,
+    admitted,
     drop_all_zero,
     stack_measures,
     status_fanout,
@@ -259,12 +260,13 @@ def platform_analysis_today(
     facts = stack_measures(["prod_id"], seen, trade, back).filter(
         (F.col("place_order_person") > 0) | (F.col("pay_person") > 0) | (F.col("refund_num") > 0)
     )
+    filters = STATUS_FILTERS if status_filter is None else {status_filter: STATUS_FILTERS[status_filter]}
     described = (
         merged_products(products, products_inc, day)
+        .filter(admitted(filters=filters))
         .join(drop_all_zero(facts, MEASURES_WITHOUT_EXPOSURE), "prod_id")
         .join(merged_shops(shops, shops_inc, day), "shop_id", "left")
     )
-    filters = STATUS_FILTERS if status_filter is None else {status_filter: STATUS_FILTERS[status_filter]}
     return status_fanout(described, filters=filters).select(
         "prod_id", *_measures(F.col("price")),
         F.lit(day).alias("stat_date"),

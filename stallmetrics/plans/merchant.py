@@ -152,10 +152,14 @@ def comprehensive(
 ) -> DataFrame:
     """Orders, payments, item counts and refunds per shop and period, all periods in one scan.
 
-    Items are folded to one row per order before they meet orders, so order amounts are never multiplied.
+    Items of orders placed in a period are folded to one row per order before they meet orders, so order amounts are
+    never multiplied.
     """
-    per_order = items.groupBy("order_number").agg(F.sum("prod_count").alias("_pieces"))
     placed = _with_shop(orders).filter(any_window(windows, lambda w: inside("create_time", w)))
+    per_order = (
+        items.join(placed.select("order_number"), "order_number", "left_semi")
+        .groupBy("order_number").agg(F.sum("prod_count").alias("_pieces"))
+    )
     tagged = tag_windows(
         placed.join(per_order, "order_number", "left"), windows, lambda w: inside("create_time", w)
     )

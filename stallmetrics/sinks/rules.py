@@ -21,9 +21,51 @@ def replace_where(existing: DataFrame, new: DataFrame, gone: Column, skip_empty:
     return existing.filter(~F.coalesce(gone, F.lit(False))).unionByName(new, allowMissingColumns=True)
 
 
+def stat_date_slice(day: date) -> Column:
+    """Rows of one statistics date."""
+    return F.col("stat_date") == F.lit(day)
+
+
+def rolling_month_slice(day: date) -> Column:
+    """The day itself, and rows up to the same day last month."""
+    return (F.col("stat_date") <= F.lit(month_back(day))) | stat_date_slice(day)
+
+
+def rolling_two_days_slice(day: date, now: datetime) -> Column:
+    """The day itself and, in the first two hours of the clock, the day before yesterday."""
+    gone = stat_date_slice(day)
+    return gone | stat_date_slice(day - timedelta(days=2)) if now.hour <= 1 else gone
+
+
+def period_slice(day: date, tag: str, time_type: int) -> Column:
+    """Days go by date; weeks and months by their tag; other types by all three."""
+    same_type = F.col("time_type") == time_type
+    same_day, same_tag = stat_date_slice(day), F.col("date_time") == tag
+    return {1: same_day & same_type, 2: same_tag & same_type, 3: same_tag & same_type}.get(
+        time_type, same_day & same_tag & same_type
+    )
+
+
+def time_period_slice(day: date, tag: str, match_tag: bool = True) -> Column:
+    """Known tags (``7``, ``30``, a month) go by tag; others by date, with the tag if ``match_tag``."""
+    known = tag in ("7", "30") or (len(tag) == 6 and tag.isdigit())
+    same_tag = F.col("time_period") == tag
+    return same_tag if known else (stat_date_slice(day) & same_tag if match_tag else stat_date_slice(day))
+
+
+def all_or_month_slice(tag: str) -> Column:
+    """Everything for trailing windows; the dates of a month for a month."""
+    return F.lit(True) if tag in ("7", "30") else F.date_format("stat_date", "yyyyMM") == tag
+
+
+def current_day_slice(day: date) -> Column:
+    """Rows of one ``current_day``."""
+    return F.col("current_day") == F.lit(day)
+
+
 def replace_stat_date(existing: DataFrame, new: DataFrame, day: date, delete: bool = True) -> DataFrame:
     """Replace the rows of one statistics date; without ``delete``, append only."""
-    return replace_where(existing, new, (F.col("stat_date") == F.lit(day)) & F.lit(delete))
+    return replace_where(existing, new, stat_date_slice(day) & F.lit(delete))
 
 
 def keep_only_new(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -33,36 +75,24 @@ def keep_only_new(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def rolling_month(existing: DataFrame, new: DataFrame, day: date) -> DataFrame:
     """Keep one month: rows up to the same day last month go, and the day itself is replaced."""
-    stat = F.col("stat_date")
-    return replace_where(existing, new, (stat <= F.lit(month_back(day))) | (stat == F.lit(day)))
+    return replace_where(existing, new, rolling_month_slice(day))
 
 
 def rolling_two_days(existing: DataFrame, new: DataFrame, day: date, now: datetime) -> DataFrame:
     """Keep two days: the day is replaced, and in the first two hours of the clock the day before yesterday goes."""
-    stat = F.col("stat_date")
-    gone = stat == F.lit(day)
-    if now.hour <= 1:
-        gone = gone | (stat == F.lit(day - timedelta(days=2)))
-    return replace_where(existing, new, gone)
+    return replace_where(existing, new, rolling_two_days_slice(day, now))
 
 
 def replace_period(existing: DataFrame, new: DataFrame, day: date, tag: str, time_type: int) -> DataFrame:
     """Days are replaced by date; weeks and months by their tag; other types by all three."""
-    same_type = F.col("time_type") == time_type
-    same_day, same_tag = F.col("stat_date") == F.lit(day), F.col("date_time") == tag
-    gone = {1: same_day & same_type, 2: same_tag & same_type, 3: same_tag & same_type}.get(
-        time_type, same_day & same_tag & same_type
-    )
-    return replace_where(existing, new, gone)
+    return replace_where(existing, new, period_slice(day, tag, time_type))
 
 
 def replace_time_period(
     existing: DataFrame, new: DataFrame, day: date, tag: str, match_tag: bool = True
 ) -> DataFrame:
     """Known tags (``7``, ``30``, a month) replace their tag; others the date, with the tag if ``match_tag``."""
-    known = tag in ("7", "30") or (len(tag) == 6 and tag.isdigit())
-    same_tag, same_day = F.col("time_period") == tag, F.col("stat_date") == F.lit(day)
-    return replace_where(existing, new, same_tag if known else (same_day & same_tag if match_tag else same_day))
+    return replace_where(existing, new, time_period_slice(day, tag, match_tag))
 
 
 def analysis_table(base: str, tag: str) -> str:
@@ -72,15 +102,15 @@ def analysis_table(base: str, tag: str) -> str:
 
 def replace_all_or_month(existing: DataFrame, new: DataFrame, tag: str) -> DataFrame:
     """Trailing windows replace everything; a month replaces its own dates (the month the table is named for)."""
-    gone = F.lit(True) if tag in ("7", "30") else F.date_format("stat_date", "yyyyMM") == tag
-    return replace_where(existing, new, gone)
+    return replace_where(existing, new, all_or_month_slice(tag))
 
 
 def replace_current_day(existing: DataFrame, new: DataFrame, day: date) -> DataFrame:
     """Replace the rows of ``current_day``."""
-    return replace_where(existing, new, F.col("current_day") == F.lit(day))
+    return replace_where(existing, new, current_day_slice(day))
 
 
+# Key columns of the result tables.
 MERCHANT_KEY = ("prod_id", "shop_id", "stat_date", "status_filter")
 PLATFORM_KEY = ("prod_id", "stat_date", "status_filter")
 

@@ -7,15 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table, e.g. ``database.table``."""
-    return spark.table(name)
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_jdbc_table(
     spark: SparkSession, options: Mapping[str, str], table: str, split: Mapping[str, str] | None = None
 ) -> DataFrame:

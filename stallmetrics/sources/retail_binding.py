@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.casts import MONEY
-from stallmetrics.sources.marketplace import Marketplace
 
 
 # declared, so that building a query reads no file
@@ -196,13 +195,3 @@ class RetailTables:
             F.concat(F.lit('{"isShare":"'), share, F.lit('"}')).alias("label"),
             F.col("ts").cast("date").alias("dt"),
         )
-
-    def marketplace(self, names: bool = False) -> Marketplace:
-        """All logical tables; ``names`` adds the product columns of orders and items."""
-        orders = self.orders_named if names else self.orders
-        items = self.items_named if names else self.items
-        return Marketplace(
-            orders=orders, items=items, refunds=self.refunds, products=self.products, shops=self.shops,
-            app_log=self.app_log, orders_inc=orders, items_inc=items, refunds_inc=self.refunds,
-            products_inc=self.products, shops_inc=self.shops,
-        )

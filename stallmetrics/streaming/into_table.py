@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stallmetrics.sinks.writers import append_jdbc
@@ -37,10 +38,11 @@ def stream_to_jdbc(
     every: str = "200 milliseconds",
     batch_rows: int = 100,
 ) -> StreamingQuery:
-    """Append each micro-batch over JDBC. Delivery is at least once: give the table a unique key."""
+    """Append each micro-batch over JDBC with its number in ``batch_id``. Delivery is at least once: a unique key of the table
+    over the row's key and ``batch_id`` refuses a repeated batch."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        append_jdbc(rows, options, table, batch_rows)
+        append_jdbc(rows.withColumn(BATCH, F.lit(batch_id)), options, table, batch_rows)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

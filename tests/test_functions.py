@@ -163,3 +163,8 @@ def test_raw_app_log_and_days_become_typed(spark):
     a, b = canonical.app_log(raw).collect()
     assert (a.prod_id, a.shop_id, a.dt) == (12, None, date(2024, 1, 30))
     assert (b.prod_id, b.shop_id, b.dt) == (None, 4, date(2024, 1, 30))
+
+
+def test_ratio_below_zero_is_rounded_like_its_opposite(spark):
+    assert one(spark, count_ratio(F.lit(-1).cast("bigint"), F.lit(3).cast("bigint"), 2)) == Decimal("-0.33")
+    assert one(spark, count_ratio(F.lit(-1).cast("bigint"), F.lit(8).cast("bigint"), 2)) == Decimal("-0.13")

@@ -104,3 +104,29 @@ def test_rewrite_parquet_reads_and_replaces_the_same_table(spark, tmp_path):
     for _ in range(2):
         writers.rewrite_parquet(rules.rolling_month(spark.read.parquet(path), table(spark, "2024-03-31", mark="new"), DAY), path)
     assert left(spark.read.parquet(path)) == [("2024-03-31", "new")]
+
+
+def test_publish_replaces_its_slice_alone(spark):
+    spark.sql("DROP TABLE IF EXISTS published")
+    old = table(spark, "2024-02-28", "2024-03-01", "2024-03-30", "2024-03-31")
+    old.select("mark", "stat_date").write.partitionBy("stat_date").saveAsTable("published")
+
+    def files():
+        return {p for p in spark.table("published").inputFiles() if "stat_date=2024-03-31" not in p}
+
+    before = {p for p in files() if "2024-02-28" not in p}
+    gone, new = rules.rolling_month_slice(DAY), table(spark, "2024-03-31", mark="new")
+    for _ in range(2):
+        writers.publish(new, "published", gone, ["stat_date"])
+        spark.catalog.refreshTable("published")
+        assert left(spark.table("published")) == [("2024-03-01", "old"), ("2024-03-30", "old"), ("2024-03-31", "new")]
+        assert files() == before
+    with pytest.raises(ValueError, match="not unique"):
+        writers.publish(new.unionByName(new), "published", gone, ["stat_date"])
+    with pytest.raises(ValueError, match="outside"):
+        writers.publish(table(spark, "2024-03-30"), "published", gone)
+    writers.publish(new.limit(0), "published", gone, skip_empty=True)
+    assert spark.table("published").count() == 3
+    writers.publish(new.limit(0), "published", gone)
+    assert left(spark.table("published")) == [("2024-03-01", "old"), ("2024-03-30", "old")]
+    spark.sql("DROP TABLE published")
