@@ -266,6 +266,29 @@ def test_near_lines_against_all_pairs(spark):
     assert links and line_dedup.drop_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_lines_near_by_their_length(spark):
+    words = [f"{w}{i}" for i, w in enumerate(("river", "stone", "green", "under", "light") * 24)]
+    line = lambda n, *changed: " ".join("other" if k in changed else w for k, w in enumerate(words[:n]))
+    rows = [(1, line(22)), (2, line(22, 11)), (3, line(22, 3, 11, 17)), (4, line(90)), (5, line(90, 7, 30, 71)), (6, "x" + line(90, 44))]
+    assert 162 <= len(line(22)) < 182 and 600 < len(line(90)) and 2 < edit_distance(line(22), line(22, 11)) <= 8 < edit_distance(line(22), line(22, 3, 11, 17))
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 1}
+
+
+def test_long_near_lines_against_all_pairs():
+    rng = random.Random(10)
+    line = ["".join(rng.choice("abcd ef") for _ in range(n)) for n in (12, 20, 23, 24, 63, 64, 71, 72, 100, 166, 300) for _ in range(8)]
+    near = lambda a, b: edit_distance(a, b) <= next(k for low, k in ((300, 14), (162, 8), (100, 4), (72, 3), (64, 3), (24, 2), (12, 1), (0, 0)) if min(len(a), len(b)) >= low)
+    pairs = [(a, edited(a, rng.randrange(0, 18), rng)) for a in line]
+    pairs = [(a, b) for a, b in pairs if a != b and not any(min(len(a), len(b)) < n <= len(a) for n in (12, 24, 64, 72, 100, 166, 300))]
+    x, y, n = line_dedup.Codes([a for a, _ in pairs]), line_dedup.Codes([b for _, b in pairs]), np.arange(len(pairs))
+    want = [near(a, b) for a, b in pairs]
+    assert 10 < sum(want) < len(want) - 10 and line_dedup.near_lines(x, y, n, n).tolist() == want
+    keys = [{(int(key), int(line)) for found in c for k, of in found for key, line in zip(k, of, strict=True)} for c in ((x.indexes(), x.probes()), (y.indexes(), y.probes()))]
+    for k, found in enumerate(want):
+        assert not found or {key for key, of in keys[0] if of == k} & {key for key, of in keys[1] if of == k}
+
+
 # --- 8 quality -----------------------------------------------------------------------------------------------------
 
 
