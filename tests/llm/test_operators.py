@@ -289,6 +289,12 @@ def test_long_near_lines_against_all_pairs():
         assert not found or {key for key, of in keys[0] if of == k} & {key for key, of in keys[1] if of == k}
 
 
+def test_short_lines_go_when_repeated(spark):
+    rows = [(1, "Share\nMenu\nA line of its own, longer than the others"), (2, " Share \nx\nMenu"), (3, "x\nShark\n\n"), (4, "Share this page\n\n"), (5, "Share that page")]
+    got = {r.doc_id: r.kept_text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "x", 3: "Shark\n\n", 4: rows[3][1], 5: rows[4][1]}
+
+
 # --- 8 quality -----------------------------------------------------------------------------------------------------
 
 
