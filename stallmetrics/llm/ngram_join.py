@@ -237,9 +237,35 @@ def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: st
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` without those of which a near copy with a smaller id stays; rows without id stay."""
-    found = jaccard_components(documents).where("doc_id <> component_id").select("doc_id")
-    return documents.join(settle(found.distinct()), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    """``documents`` without rows of which a near copy stays, each row judged by its own text.
+
+    Of every component of texts, told apart by 64-bit hashes, the row of the smallest id stays, nulls last, then that of the
+    smallest hash. Equal texts of one id are one document, whose rows stay or go together; of equal rows without id one stays.
+    """
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    others = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "text"]
+    rows = documents.select(
+        F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("of_text"), F.xxhash64(F.to_json(F.struct(*others))).alias("of_row")
+    )
+    texts = documents.select(F.xxhash64("text").alias("doc_id"), "text")
+    groups = settle(jaccard_components(texts).where("n_shingles > 0").select(F.col("doc_id").alias("of_text"), F.col("component_id").alias("group")).distinct())
+    # rows of an id and a text are one
+    of_row = F.when(F.col("id").isNull(), F.col("of_row"))
+    judged = settle(rows.select("id", "of_text", of_row.alias("of_row")).groupBy("id", "of_text", "of_row").count().join(groups, "of_text"))
+    first = judged.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "of_text", "of_row")).alias("first"))
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("of_text") == F.col("first.of_text")) & of_row.eqNullSafe(F.col("first.of_row"))
+    decided = judged.join(settle(first), "group").select("id", "of_text", "of_row", "count", same.alias("stays"))
+    # one of several equal rows without id comes back below
+    gone = settle(decided.where(~F.col("stays") | (F.col("id").isNull() & (F.col("count") > 1))))
+    keyed = rows.withColumn("of_row", of_row)
+
+    def met(x, y):
+        return x["of_text"].eqNullSafe(y["of_text"]) & x["id"].eqNullSafe(y["id"]) & x["of_row"].eqNullSafe(y["of_row"])
+
+    kept = keyed.join(gone, met(keyed, gone), "left_anti").select("row.*")
+    twice = gone.where("stays").select("of_text", "of_row")
+    once = keyed.where("id IS NULL").join(twice, ["of_text", "of_row"], "left_semi").groupBy("of_text", "of_row").agg(F.first("row").alias("row"))
+    return kept.unionByName(once.select("row.*"))
 
 
 ORACLE = r"""

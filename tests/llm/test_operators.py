@@ -180,6 +180,16 @@ def test_awkward_documents_link(spark):
     assert ngram_join.jaccard_components(documents(spark).limit(0)).count() == 0
 
 
+def test_one_of_each_judges_rows(spark):
+    other = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, BASE, "a"), (None, NEAR, "b"), (None, other, "c"), (None, other, "c"), (None, other, "d"), (None, "", "e"), (None, "", "e"), (None, None, "f")]
+    rows += [(1, "x y z", "g"), (2, BASE, "h"), (2, "quite another text", "i"), (3, NEAR, "j"), (3, "third text of all", "k")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    found = sorted((r.doc_id or 0, r.text or "", r.source) for r in kept.collect())
+    assert [x for x in found if x[1] not in ("", other)] == [(1, "x y z", "g"), (2, "quite another text", "i"), (2, BASE, "h"), (3, "third text of all", "k")]
+    assert [x[1] for x in found].count(other) == 1 and [x[2] for x in found if not x[1]] == ["e", "e", "f"]
+
+
 # --- 5 chat --------------------------------------------------------------------------------------------------------
 
 
