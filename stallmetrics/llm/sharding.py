@@ -8,7 +8,8 @@ spread evenly by the hash; nothing is gathered on the driver.
 
 Defined cases: a null text has no bytes, a null key hashes like an empty one, and an empty table has no shard. A document
 above the limit has a shard of its own. Rows of one key cannot be told apart by hash: where they alone exceed the limit
-they are cut, in order of size, into numbered parts of as many rows as surely fit. Of an input column named as an
+they are cut, by classes of size a power of two wide, into numbered parts of as many rows as surely fit; rows are counted in
+pieces of ``PIECE`` and numbered within them, so that no key meets in one task. Of an input column named as an
 added one, the added one remains.
 """
 
@@ -27,6 +28,8 @@ LIMIT = 1 << 20
 BITS = 60
 #: Cells a shard, as a power of two, in the first pass; and the further bits that every later pass looks at.
 FINER, MORE = 5, 8
+#: Rows that are numbered together where rows of one key are cut.
+PIECE = 1024
 ADDED = ("n_bytes", "shard")
 
 
@@ -45,6 +48,23 @@ def _depths(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return cells.select("cell").join(least, "cell", "left")
 
 
+def _cut(crowded: DataFrame, limit: int) -> DataFrame:
+    """(row, n_bytes, shard) of rows of keys that exceed the limit alone; ``crowded`` has (row, hash, n_bytes)."""
+    number = F.monotonically_increasing_id()
+    size = F.length(F.bin(F.greatest(F.lit(0), F.col("n_bytes") - 1)))
+    rows = settle(crowded.withColumn("number", number).withColumn("size", size).withColumn("piece", F.expr(f"number div {PIECE}")))
+    counts = settle(rows.groupBy("hash", "size", "piece").agg(F.count("*").alias("n"), F.max("n_bytes").alias("most")))
+    fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.max("most"))))
+    fits = settle(counts.groupBy("hash", "size").agg(fit.alias("fit")))
+    of_size = Window.partitionBy("hash", "size").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = settle(counts.select("hash", "size", "piece", F.coalesce(F.sum("n").over(of_size), F.lit(0)).alias("before")).join(fits, ["hash", "size"]))
+    within = F.row_number().over(Window.partitionBy("hash", "size", "piece").orderBy("number"))
+    places = settle(rows.select("number", "hash", "size", "piece", within.alias("within")).join(before, ["hash", "size", "piece"]))
+    part = F.floor((F.col("before") + F.col("within") - 1) / F.col("fit")).cast("string")
+    name = F.concat_ws(".", F.lpad(F.bin("hash"), BITS, "0"), F.col("size").cast("string"), part)
+    return rows.select("number", "row", "n_bytes").join(places.select("number", name.alias("shard")), "number").select("row", "n_bytes", "shard")
+
+
 def assign_shards(documents: DataFrame, *, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
     """``documents`` with ``n_bytes`` of text and ``shard``: the bits of its bucket, with a part number where rows of one key are cut."""
     source = without(documents, *ADDED)
@@ -66,14 +86,9 @@ def assign_shards(documents: DataFrame, *, key: str = "doc_id", text: str = "tex
             break
         waiting = waiting.withColumn("cell", F.shiftright("hash", BITS - high)).join(full, "cell", "left_semi").drop("cell")
         low, high = high + 1, min(BITS, high + MORE)
-    bits = F.lpad(F.bin("hash"), BITS, "0")
     placed = rows.where("done IS NOT NULL").select("row", "n_bytes", F.expr("substring(lpad(bin(hash), 60, '0'), 1, done)").alias("shard"))
     if not full.isEmpty():
-        of_key = Window.partitionBy("hash")
-        number = F.row_number().over(of_key.orderBy("n_bytes"))
-        fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.max("n_bytes").over(of_key)))
-        part = F.floor((number - 1) / fit).cast("long").cast("string")
-        placed = placed.unionByName(rows.where("done IS NULL").select("row", "n_bytes", F.concat_ws(".", bits, part).alias("shard")))
+        placed = placed.unionByName(_cut(rows.where("done IS NULL").select("row", "hash", "n_bytes"), limit))
     return placed.select("row.*", "n_bytes", "shard")
 
 

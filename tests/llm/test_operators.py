@@ -240,6 +240,14 @@ def test_rows_of_one_key_are_cut(spark):
     assert len(got) == 5 and {r.n for r in got} == {1_000}
 
 
+def test_crowded_keys_are_cut_by_size(spark):
+    rows = spark.range(3_000).selectExpr("CAST(NULL AS long) AS doc_id", "repeat('x', if(id = 7, 5000, 100)) AS text").repartition(3)
+    found = sharding.assign_shards(rows, limit=1_000)
+    got = {r.shard: (r.n, r.b) for r in found.groupBy("shard").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("b")).collect()}
+    assert sum(n for n, _ in got.values()) == 3_000 and len(got) == 301 and sorted(got.values())[0] == (1, 5_000)
+    assert sorted(n for n, _ in got.values())[1:] == [9, *[10] * 299]
+
+
 # --- 7 lines -------------------------------------------------------------------------------------------------------
 
 
