@@ -37,10 +37,13 @@ ADDED = ("main_text",)
 
 # Element and class names with a given role.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby s samp small span strike strong sub sup time tt u var "
+    # formulas and what stands in for media: their text belongs to the block around them
+    "math semantics annotation mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd mstyle "
+    "mpadded menclose object canvas audio video".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN_CONTENT = frozenset("script style noscript template iframe svg math object canvas audio video head".split())
+HIDDEN_CONTENT = frozenset("script style noscript template iframe svg title".split())
 CLOSED_BY_BLOCK = frozenset("p".split())
 MAIN = frozenset("article main content post entry story articlebody maincontent posttext".split())
 BOILERPLATE = frozenset(
@@ -49,6 +52,7 @@ BOILERPLATE = frozenset(
     "reply replies respond discussion disqus related recommended share sharing social breadcrumb breadcrumbs pagination pager widget copyright "
     "legal disclaimer toolbar search tags hidden".split()
 )
+ENDS_NAME = frozenset(["", *" \t\n\r\f/>"])
 PLAIN_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote td dd dt figcaption".split())
 
 _TAG = re.compile(
@@ -112,15 +116,17 @@ def blocks_of(page: str) -> list[Block]:
             if name in HIDDEN_CONTENT:
                 if not attributes.endswith("/"):
                     lowered = page.lower() if lowered is None and len(page.lower()) == len(page) else lowered
-                    end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at) if lowered is None else None
+                    end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at) if lowered is None else None
                     if lowered is not None:
                         close = lowered.find(f"</{name}", at)
+                        while close >= 0 and lowered[close + 2 + len(name) : close + 3 + len(name)] not in ENDS_NAME:
+                            close = lowered.find(f"</{name}", close + 2)
                         stop = lowered.find(">", close) if close >= 0 else -1
                         at = stop + 1 if stop >= 0 else len(page)
                     else:
                         at = end.end() if end else len(page)
                 continue
-            if name in EMPTY:
+            if name in EMPTY or name == "head":  # whose end tag may be missing
                 continue
             if stack and stack[-1][0] in CLOSED_BY_BLOCK:
                 stack.pop()

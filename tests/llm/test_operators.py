@@ -106,6 +106,15 @@ def test_main_text_only(labeller):
     assert found[1] == found[2] == found[4] == found[5] == ""
 
 
+def test_pages_without_head_end_and_text_in_formulas(labeller):
+    pages = [
+        "<html><head><title>T</title><meta charset=x><body><header>Site</header><article><p>Whole text here</p></article></body>",
+        "<article><p>Area <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><video src=v><p>Watch it elsewhere</p></video></article>",
+        "<article><style>a</styles>b</style><p>Styled words here</p></article>",
+    ]
+    assert html_extract.main_texts([html_extract.blocks_of(x) for x in pages], labeller, {}) == ["Whole text here", "Area x=2 holds Watch it elsewhere", "Styled words here"]
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(2)
     model = html_extract.Labeller.fresh()
