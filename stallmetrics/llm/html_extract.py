@@ -5,11 +5,12 @@ classes, ids and roles of its ancestors), of its hashed words, and of its length
 reads the vectors of a page in both directions, so that every block is judged with the whole document as context.
 
 There are no labelled pages, so the network learns from rules on paths (main containers hold text, the named kinds of
-boilerplate do not) applied to a bounded sample of pages (``SAMPLE`` rows) and to as many pages made up from their blocks, in
+boilerplate do not) applied to a bounded sample of pages (``SAMPLE`` rows, ``PAGE_BLOCKS`` of each in lessons spread over it) and to as many pages made up from their blocks, in
 which containers of all kinds the rules know are mixed. Training takes place once on the driver, on vectors of the sample.
 
 Defined cases: a null page is an empty one; a page without main text has an empty text. Comments, declarations and the content of
-scripts, styles and the like are never blocks. An unclosed comment or script ends with the page, a stray ``<`` is text.
+scripts, styles and the like are never blocks. An unclosed comment, script or title ends with the page. A head needs no end tag: what
+stands in it besides those is text of the page. Formulas and what stands in for media belong to the block around them; a stray ``<`` is text.
 Of an input column named as an added one, the added one remains.
 """
 
@@ -31,6 +32,8 @@ SAMPLE, MADE_UP = 160, 960
 PATH_SIZE, WORD_SIZE, HIDDEN = 192, 8, 16
 PATH_SLOTS, WORD_SLOTS = 4096, 512
 EPOCHS, BATCH, RATE, SEED = 14, 32, 0.02, 5
+#: Blocks of a lesson, and blocks of a sampled page that are learnt from at most: of a longer page, lessons spread over all of it.
+LESSON, PAGE_BLOCKS = 400, 2000
 #: Blocks whose vectors are held at once, about.
 BLOCKS = 60_000
 ADDED = ("main_text",)
@@ -316,18 +319,29 @@ def made_up_pages(pages: list[list[tuple[tuple[str, ...], np.ndarray]]], count:
     return made
 
 
+def lesson_blocks(blocks: int, most: int = PAGE_BLOCKS) -> np.ndarray:
+    """Numbers of the blocks to learn from: all, or whole lessons from the first block to the last, at even distances."""
+    if blocks <= most:
+        return np.arange(blocks)
+    lessons = max(1, most // LESSON)
+    starts = np.linspace(0, blocks - LESSON, lessons).astype(int) if lessons > 1 else np.array([blocks - LESSON])
+    return (starts[:, None] + np.arange(LESSON)).reshape(-1) if blocks >= lessons * LESSON else np.arange(blocks)
+
+
 def train(pages: list[list[tuple[tuple[str, ...], np.ndarray]]]) -> Labeller:
     """A labeller from pages of (path, vector); the path part of a vector is made from the path."""
     everything = [p for p in [*pages, *made_up_pages(pages, MADE_UP)] if p]
     model = Labeller.fresh()
     if not everything:
         return model
-    vectors = []
+    vectors, targets = [], []
     for page in everything:
         rows = np.array([v for _, v in page], np.float32)
         rows[:, :PATH_SIZE] = [path_vector(path) for path, _ in page]
-        vectors.append(rows[:400])  # a lesson's length; pages are read in full when they are labelled
-    targets = [np.array(labels_by_rule([p for p, _ in page]), np.float32)[:400] for page in everything]
+        labels = np.array(labels_by_rule([p for p, _ in page]), np.float32)
+        for start in range(0, len(page), LESSON):
+            vectors.append(rows[start : start + LESSON])
+            targets.append(labels[start : start + LESSON])
     random, step = np.random.default_rng(SEED), 0
     first = {k: np.zeros_like(v) for k, v in model.weights.items()}
     second = {k: np.zeros_like(v) for k, v in model.weights.items()}
@@ -347,20 +361,21 @@ def train(pages: list[list[tuple[tuple[str, ...], np.ndarray]]]) -> Labeller:
     return model
 
 
-def fit(pages: DataFrame, *, html: str = "html", key: str = "page_id", sample: int = SAMPLE) -> Labeller:
-    """A labeller learnt from at most ``sample`` of the pages, picked by a hash of their key."""
+def fit(pages: DataFrame, *, html: str = "html", key: str = "page_id", sample: int = SAMPLE, most: int = PAGE_BLOCKS) -> Labeller:
+    """A labeller learnt from at most ``sample`` of the pages, picked by a hash of their key, and ``most`` blocks of each."""
     chosen = pages.where(F.col(html).isNotNull()).orderBy(F.xxhash64(key, F.lit(SEED)), key).limit(sample).select(F.col(html).alias("html"))
 
     def vectors(batches):
         seen: dict = {}
         for _, texts in rows_of(batches, "html"):
             parsed = [blocks_of(t.decode("utf-8", "replace")) for t in texts]
+            taught = [lesson_blocks(len(p), most) for p in parsed]
             yield pa.RecordBatch.from_pydict({
-                "paths": pa.array([[" ".join(b.path) for b in p] for p in parsed], pa.list_(pa.string())),
-                "vectors": pa.array([block_vectors(p, seen).tobytes() if p else b"" for p in parsed], pa.binary()),
+                "paths": pa.array([[" ".join(p[k].path) for k in at] for p, at in zip(parsed, taught, strict=True)], pa.list_(pa.string())),
+                "vectors": pa.array([block_vectors(p, seen)[at].tobytes() if p else b"" for p, at in zip(parsed, taught, strict=True)], pa.binary()),
             })
 
-    rows = chosen.mapInArrow(vectors, "paths array<string>, vectors binary").collect()  # at most ``sample`` pages
+    rows = chosen.mapInArrow(vectors, "paths array<string>, vectors binary").collect()  # at most ``sample`` pages of ``most`` blocks
     learnt = []
     for row in sorted(rows, key=lambda r: (len(r.paths), bytes(r.vectors))):
         learnt.append(list(zip([tuple(p.split()) for p in row.paths], np.frombuffer(row.vectors, np.float32).reshape(-1, INPUT), strict=True)))

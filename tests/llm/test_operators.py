@@ -115,6 +115,18 @@ def test_pages_without_head_end_and_text_in_formulas(labeller):
     assert html_extract.main_texts([html_extract.blocks_of(x) for x in pages], labeller, {}) == ["Whole text here", "Area x=2 holds Watch it elsewhere", "Styled words here"]
 
 
+def test_long_pages_teach_to_their_end(monkeypatch):
+    lessons = []
+    monkeypatch.setattr(html_extract, "_padded", lambda rows, f=html_extract._padded: lessons.extend(len(r) for r in rows) or f(rows))
+    monkeypatch.setattr(html_extract, "EPOCHS", 1)
+    monkeypatch.setattr(html_extract, "MADE_UP", 0)
+    page = [(("html", "body", "article", "p"), np.zeros(html_extract.INPUT, np.float32))] * 900
+    html_extract.train([page])
+    assert sum(lessons) == 2 * 900 and max(lessons) == html_extract.LESSON  # vectors and targets
+    at = html_extract.lesson_blocks(50_000)
+    assert len(at) == html_extract.PAGE_BLOCKS and at[0] == 0 and at[-1] == 49_999 and len(html_extract.lesson_blocks(2_000)) == 2_000
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(2)
     model = html_extract.Labeller.fresh()
