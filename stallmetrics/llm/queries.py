@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallmetrics.llm import chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, quality, sharding, url_filter
+from stallmetrics.llm import (
+    chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, phrases, quality, sharding, url_filter,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +55,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_report(_table(spark, folder, "pages"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrase_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
+    "op11_phrases": op11_phrases,
 }
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
@@ -73,4 +80,5 @@ ORACLES: dict[str, str] = {
     "op6_sharding": sharding.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
+    "op11_phrases": phrases.ORACLE,
 }
