@@ -23,7 +23,6 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from stallmetrics.llm.shared import rows_of, settle
 
 #: Words of a shard, about: a shard ends with the text that reaches it.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 22
 #: A phrase is kept from this many occurrences in its language, and is at most so many words long.
 MIN_COUNT, LONGEST = 30, 4
 #: A phrase goes when a longer one has at least so many hundredths of its occurrences.
@@ -78,8 +77,8 @@ class _Half:
                 key = key[order]
                 rank = np.empty(n, np.int64)
                 rank[order] = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-        self.rows, self.before = n, np.roll(text, 1)[order]
-        self.keys = np.sort(self.before * (n + 1) + np.arange(n))
+        self.rows, self.before = n, np.roll(text, 1)[order].astype(np.int32)
+        self.keys = np.sort(self.before * np.int64(n + 1) + np.arange(n))
 
     def step(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The row that ``word`` before the row's words has: rows of smaller words, and of this word before smaller rows."""
@@ -110,21 +109,23 @@ class PhraseIndex:
     def __init__(self, ids: np.ndarray, depth: int):
         self.forward, self.backward = _Half(ids, depth), _Half(ids[::-1], depth)
 
-    def longer(self, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases one word longer than the rows of ``kept`` both parts of which are rows of it, and their counts."""
+    def longer(self, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases one word longer than the rows of ``kept`` of which both parts are rows of it: the parts' numbers, and counts."""
         columns = list(kept.T)
         low, high = self.forward.intervals(columns)
         # to the right: the next words come sorted, so the extensions' intervals divide the phrase's own in this order
         of, word, count = self.backward.extensions(*self.backward.intervals(columns[::-1]))
         before = np.cumsum(count) - count
         first = np.searchsorted(of, np.arange(len(kept)))
-        at = low[of] + before - np.append(before, 0)[first][of]
+        right = low[of] + before - np.append(before, 0)[first][of]
+        inside = np.flatnonzero(word > 0)
+        of, count, right = of[inside], count[inside], right[inside]
         # to the left: one step of the forward index
         left_of, left_word, _ = self.forward.extensions(low, high)
-        inside = left_word > 0
-        left_at = self.forward.step(left_word[inside], low[left_of[inside]])
-        good = (word > 0) & np.isin(at, left_at)
-        return np.column_stack((kept[of[good]], word[good])), count[good]
+        inside = np.flatnonzero(left_word > 0)
+        left_of, left = left_of[inside], self.forward.step(left_word[inside], low[left_of[inside]])
+        _, a, b = np.intersect1d(right, left, assume_unique=True, return_indices=True)
+        return of[a], left_of[b], count[a]
 
 
 def shards(docs: DataFrame, most: int = SHARD_WORDS) -> DataFrame:
@@ -165,65 +166,75 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS) -> DataFrame:
     return read.mapInArrow(build, "lang string, shard long, n long, words binary, ids binary")
 
 
-_PARTS = "lang string, shard long, phrase string, ids array<int>, n long"
-
-
-def _part(lang: str, shard: int, words: pa.Array, grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    columns = [words.take(pa.array(c)) for c in grams.T]
-    phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
-    offsets = pa.array(np.arange(0, grams.size + 1, grams.shape[1]), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(grams), pa.string()), pa.array(np.full(len(grams), shard), pa.int64()), phrase.cast(pa.string()),
-         pa.ListArray.from_arrays(offsets, pa.array(grams.ravel(), pa.int32())), pa.array(counts, pa.int64())],
-        ["lang", "shard", "phrase", "ids", "n"],
-    )
+def _ids(grams: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, grams.size + 1, grams.shape[1]), pa.int32()), pa.array(grams.ravel(), pa.int32()))
 
 
 def _word_parts(held: DataFrame) -> DataFrame:
+    """Counts of words by shard."""
+
     def count(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                many = np.bincount(_unpacked(row["ids"]))
+            for lang, shard, words, ids in zip(*batch.columns, strict=True):
+                many = np.bincount(_unpacked(ids.as_py()))
                 many[0] = 0
                 used = np.flatnonzero(many)
                 if len(used):
-                    words = pa.array(zlib.decompress(row["words"]).split(b"\n"), pa.binary())
-                    yield _part(row["lang"], row["shard"], words, used[:, None], many[used])
+                    found = pa.array(zlib.decompress(words.as_py()).split(b"\n"), pa.binary()).take(pa.array(used))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang.as_py()] * len(used)), pa.array(np.full(len(used), shard.as_py())), found.cast(pa.string()), _ids(used[:, None]), pa.array(many[used])],
+                        ["lang", "shard", "phrase", "ids", "n"],
+                    )
 
-    return held.mapInArrow(count, _PARTS)
+    return held.select("lang", "shard", "words", "ids").mapInArrow(count, "lang string, shard long, phrase string, ids array<int>, n long")
 
 
 def _longer_parts(held: DataFrame, kept: DataFrame, width: int) -> DataFrame:
-    """Counts by shard of phrases of ``width`` words; ``kept`` has the shards' frequent phrases of one word less."""
+    """Counts by shard of phrases of ``width`` words, each named by its first and last words' numbers (all but one of them).
+
+    ``kept`` has the shards' frequent phrases of one word less, as local ids, and their numbers in the corpus.
+    """
 
     def extend(batches):
         for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for i in range(batch.num_rows):
-                known = column["kept"].slice(i, 1).flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                grams, counts = PhraseIndex(_unpacked(column["ids"][i].as_py()), width).longer(known.reshape(-1, width - 1))
-                if len(grams):
-                    words = pa.array(zlib.decompress(column["words"][i].as_py()).split(b"\n"), pa.binary())
-                    yield _part(column["lang"][i].as_py(), column["shard"][i].as_py(), words, grams, counts)
-
-    by_shard = kept.groupBy("shard").agg(F.collect_list("ids").alias("kept"))  # at most a shard's words
-    return held.join(by_shard, "shard").select("lang", "shard", "words", "ids", "kept").mapInArrow(extend, _PARTS)
+            for shard, ids, kept in zip(*batch.columns, strict=True):
+                known = kept.values.field("ids").flatten().to_numpy().astype(np.int64).reshape(-1, width - 1)
+                number = kept.values.field("number").to_numpy()
+                first, last, count = PhraseIndex(_unpacked(ids.as_py()), width).longer(known)
+                if len(count):
+                    grams = np.column_stack((known[first], known[last, -1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(count), shard.as_py())), pa.array(number[first]), pa.array(number[last]), _ids(grams), pa.array(count)],
+                        ["shard", "first", "last", "ids", "n"],
+                    )
+
+    by_shard = kept.groupBy("shard").agg(F.collect_list(F.struct("ids", "number")).alias("kept"))  # at most a shard's words
+    joined = held.select("shard", "ids").join(by_shard, "shard").select("shard", "ids", "kept")
+    return joined.mapInArrow(extend, "shard long, first long, last long, ids array<int>, n long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, width, f)`` of all phrases of 1 to ``longest`` words met ``min_count`` times, and ``(lang, n)``, all words."""
     held = settle(shards(docs, shard_words))
-    frequent, kept = [], None
+    parts, key = _word_parts(held), ["lang", "phrase"]
+    found: list[DataFrame] = []
     for width in range(1, longest + 1):
-        parts = _word_parts(held) if width == 1 else _longer_parts(held, kept, width)
+        if width > 1:
+            parts, key = _longer_parts(held, kept, width), ["first", "last"]
+            if width < longest:
+                parts = settle(parts)  # read again below
+        total = parts.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        total = settle(total.withColumn("number", F.monotonically_increasing_id()))
         if width < longest:
-            parts = settle(parts)  # read again below
-        found = settle(parts.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
-        frequent.append(found.select("lang", "phrase", F.lit(width).alias("width"), "f"))
-        kept = parts.join(found.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select("shard", "ids")
-    counts = frequent[0]
-    for more in frequent[1:]:
-        counts = counts.unionByName(more)
+            kept = parts.join(total.select(*key, "number"), key).select("shard", "ids", "number")
+        if width > 1:  # frequent phrases only: their words by way of their parts
+            shorter = found[-1].select(F.col("number").alias("first"), "lang", F.col("phrase").alias("start"))
+            ends = found[-1].select(F.col("number").alias("last"), F.substring_index("phrase", " ", -1).alias("end"))
+            total = settle(total.join(shorter, "first").join(ends, "last").select("lang", F.concat_ws(" ", "start", "end").alias("phrase"), "f", "number"))
+        found.append(total)
+    counts = found[0].select("lang", "phrase", F.lit(1).alias("width"), "f")
+    for width, more in enumerate(found[1:], 2):
+        counts = counts.unionByName(more.select("lang", "phrase", F.lit(width).alias("width"), "f"))
     return counts, held.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
