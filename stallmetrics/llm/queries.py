@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stallmetrics.llm import (
-    chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, phrases, quality, sharding, url_filter,
+    chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, phrases, pii, quality, sharding,
+    url_filter, variants,
 )
 
 
@@ -59,6 +60,14 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.phrase_report(_table(spark, folder, "documents"))
 
 
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_report(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -71,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
     "op11_phrases": op11_phrases,
+    "op12_variants": op12_variants,
+    "op13_pii": op13_pii,
 }
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
@@ -81,4 +92,5 @@ ORACLES: dict[str, str] = {
     "op9_mixing": mixing.ORACLE,
     "op10_url_filter": url_filter.ORACLE,
     "op11_phrases": phrases.ORACLE,
+    "op12_variants": variants.ORACLE,
 }

@@ -25,4 +25,4 @@ def test_native_plans_run_no_python(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 12)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
