@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from stallmetrics.functions.calendar import ReportWindow, whole_day
 from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.traffic import exposures, shop_traffic_rows
-from stallmetrics.operators.windows import WIN, moment, tag_by_time, window_value
+from stallmetrics.operators.windows import WIN, inside, tag_by_time, window_value
 
 _KEYS = [WIN, "shop_id"]
 
 
 def _in_reach(facts: DataFrame, windows: Sequence[ReportWindow], ts: str) -> DataFrame:
-    """Rows between the first start and the last end, before they are tagged with each window."""
+    """Rows from the first start to the end of the last second, before they are tagged with each window."""
     first, last = min(w.start for w in windows), max(w.end for w in windows)
-    return facts.filter(F.col(ts).between(moment(first), moment(last)))
+    return facts.filter(inside(ts, ReportWindow(first, last, "", last.date())))
 
 
 def _sales(orders: DataFrame, items: DataFrame, windows: Sequence[ReportWindow]) -> DataFrame:

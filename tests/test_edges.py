@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stallmetrics.functions import calendar as cal
 from stallmetrics.functions import casts
 from stallmetrics.operators.windows import inside, tag_by_time
-from stallmetrics.plans import labels_expand, sales
+from stallmetrics.plans import analysis, labels_expand, merchant, overview, refund_ranks, sales
 from stallmetrics.sources import canonical
 from stallmetrics.streaming import hourly
 
@@ -67,3 +67,50 @@ def test_stream_has_no_lateness_of_its_own(spark, tmp_path):
     m.orders(spark, dict(order_id=1)).write.parquet(str(tmp_path / "o"))
     stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "o")).schema).parquet(str(tmp_path / "o"))
     assert "EventTimeWatermark" not in hourly.hourly_stream(stream)._jdf.queryExecution().analyzed().toString()
+
+
+def _one_late_order(spark):
+    """An order, its payment, its refund and a new product, all in the last half second of a day."""
+    orders = m.orders(spark, dict(order_id=1, shop_id=1, user_id=5, create_time=LAST, pay_time=LAST, is_paid=True, status=2, actual_total=4, dt="2024-01-30"))
+    items = m.items(spark, dict(order_item_id="i", order_number="n1", prod_id=7, shop_id=1, user_id=5, prod_count=2, actual_total=4, rec_time=LAST, dt="2024-01-30"))
+    refunds = m.refunds(spark, dict(refund_id="r", order_id=1, order_item_id="i", shop_id=1, user_id=5, refund_type=2, return_money_sts=5,
+                                    refund_amount=4, goods_num=1, apply_time=LAST, refund_time=LAST, buyer_reason="0", dt="2024-01-30"))
+    products = m.products(spark, dict(prod_id=7, shop_id=1, prod_name="a", create_time=LAST, dt="2024-01-30"))
+    return orders, items, refunds, products, m.shops(spark, dict(shop_id=1, shop_name="s")), m.app_log(spark)
+
+
+DAYS = [cal.single_day(AS_OF)]
+SPANS = cal.standard_windows(AS_OF)
+END = datetime(2024, 1, 30, 23, 59, 59)
+PERIODS = [cal.period_to_date(END, p) for p in ("day", "week", "month")]
+LATE = {
+    "paid": lambda o, i, r, p, s, a: (merchant.paid_by_shop(o, date(2024, 1, 30)), "payOrderCount", 1),
+    "hourly": lambda o, i, r, p, s, a: (merchant.hourly_gmv(o, END), "order_count", 1),
+    "daily_order_pay": lambda o, i, r, p, s, a: (merchant.daily_order_pay(o, r, END), "pay_order_count", 1),
+    "order_pay_agg": lambda o, i, r, p, s, a: (merchant.order_pay_agg(o, END), "pay_order_count", 1),
+    "refund_stats": lambda o, i, r, p, s, a: (merchant.refund_stats(o, r, END), "refund_count", 1),
+    "comprehensive": lambda o, i, r, p, s, a: (merchant.comprehensive(o, i, r, PERIODS), "order_nums", 3),
+    "by_window": lambda o, i, r, p, s, a: (merchant.paid_by_window(o, SPANS), "pay_order_count", 3),
+    "product_rank": lambda o, i, r, p, s, a: (refund_ranks.product_rank(r, o, i, p, END), "refund_count", 1),
+    "reason_rank": lambda o, i, r, p, s, a: (refund_ranks.reason_rank(r, o, i, p, END), "refund_count", 1),
+    "overview_one": lambda o, i, r, p, s, a: (overview.period_overview(o, i, p, a, DAYS), "order_num", 2),
+    "overview_all": lambda o, i, r, p, s, a: (overview.period_overview(o, i, p, a, SPANS), "pay_num", 6),
+    "overview_new": lambda o, i, r, p, s, a: (overview.period_overview(o, i, p, a, SPANS), "new_prod", 3),
+    "overview_daily": lambda o, i, r, p, s, a: (overview.daily_overview(o, i, p, a, [date(2024, 1, 30)]), "order_num", 2),
+    "overview_backfill": lambda o, i, r, p, s, a: (overview.daily_overview(o, i, p, a, [date(2024, 1, d) for d in (29, 30)]), "order_num", 2),
+    "overview_intraday": lambda o, i, r, p, s, a: (overview.intraday_overview(o, i, p, a, cal.intraday_window(END)), "order_num", 2),
+    "sales_rank": lambda o, i, r, p, s, a: (sales.sales_rank(i, o, p, s, SPANS), "pay_count", 6),
+    "conversion": lambda o, i, r, p, s, a: (sales.visitor_conversion(a, i, o, p, s, SPANS), "pay_user_count", 3),
+    "merchant": lambda o, i, r, p, s, a: (analysis.merchant_analysis(p, s, a, o, i, r, SPANS), "pay_num", 12),
+    "merchant_refund": lambda o, i, r, p, s, a: (analysis.merchant_analysis(p, s, a, o, i, r, SPANS), "refund_success_num", 6),
+    "merchant_today": lambda o, i, r, p, s, a: (analysis.merchant_analysis_today(p, s, a, o, i, r, p, date(2024, 1, 30)), "refund_success_num", 2),
+    "platform": lambda o, i, r, p, s, a: (analysis.platform_analysis(p, s, a, o, i, r, SPANS), "pay_num", 12),
+    "platform_refund": lambda o, i, r, p, s, a: (analysis.platform_analysis(p, s, a, o, i, r, SPANS), "refund_num", 6),
+    "platform_today": lambda o, i, r, p, s, a: (analysis.platform_analysis_today(p, p, s, s, a, o, i, r, cal.intraday_window(END)), "pay_num", 4),
+}
+
+
+@pytest.mark.parametrize("report", sorted(LATE))
+def test_every_report_counts_the_last_half_second(spark, report):
+    out, measure, total = LATE[report](*_one_late_order(spark))
+    assert sum(r[measure] for r in out.collect()) == total
