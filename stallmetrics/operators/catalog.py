@@ -64,6 +64,18 @@ def one_name_per_shop(shops: DataFrame) -> DataFrame:
     return _named(shops).groupBy("shop_id").agg(F.min("shop_name").alias("shop_name"))
 
 
+def with_shop_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows with the name of their shop, NULL where there is none; one shop may have nearly all rows.
+
+    ``names`` has one row per shop and so comes from an aggregate. A join on the column it was grouped by would take it as it is
+    partitioned, and then AQE, which divides a hot partition only between two plain shuffles, could not split a giant shop. As a
+    measure of the group, the shop is a column like any other: names are shuffled by the join itself, what is heavy is read
+    off the shuffle's sizes, and its few names are sent to each part of it, while all other shops are joined as they are.
+    """
+    split = names.groupBy(F.col("shop_id").alias("_shop")).agg(F.max("shop_id").alias("shop_id"), F.min("shop_name").alias("shop_name"))
+    return rows.join(split.drop("_shop"), "shop_id", "left")
+
+
 def latest_item_snapshot(orders_inc: DataFrame, items_inc: DataFrame, day) -> DataFrame:
     """Newest name, price and status of a product among the day's order items, by order time."""
     on_day = F.col("dt") == F.lit(day)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.casts import MONEY
 from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.trade import item_side
+from stallmetrics.operators.windows import ONE, Slots
 
 # Refund scope and state codes.
 WHOLE_ORDER = 1
@@ -49,25 +50,36 @@ def refunded_lines(refunds: DataFrame, lines: DataFrame, carry: Sequence[str] =
 
 
 def refund_rows(
-    lines: DataFrame, keys: Sequence[str], amount: str = "refund_amount", count: str = "distinct"
+    lines: DataFrame, keys: Sequence[str], amount: str = "refund_amount", count: str = "distinct", slots: Slots = ONE,
+    counted: Column | None = None,
 ) -> DataFrame:
     """Additive requested and successful refunds, people and amount: one row per key and user or refund.
 
-    ``amount`` is the refund's own amount or the item's total. ``count`` is ``distinct`` (refund ids) or ``rows``.
+    ``amount`` is the refund's own amount or the item's total. ``count`` is ``distinct`` (refund ids) or ``rows``. Lines that
+    are not ``counted`` measure nothing; they only make their key (and window) appear.
     """
-    ok = F.coalesce(F.col("return_money_sts") == SUCCEEDED, F.lit(False))
-    money = F.when(ok, F.col(amount))
+    counted = F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))
+    ok = counted & F.coalesce(F.col("return_money_sts") == SUCCEEDED, F.lit(False))
+    money, here = F.when(ok, F.col(amount)), slots.here
     if count == "rows":
-        people = lines.select(*keys, "user_id", ok.alias("_ok"), money.alias("_amt")).groupBy(*keys, "user_id").agg(
-            F.count(F.lit(1)).alias("refund_num"),
-            F.count_if("_ok").alias("refund_success_num"),
-            F.sum("_amt").cast(MONEY).alias("refund_success_amount"),
+        marked = lines.select(*keys, *slots.carried, "user_id", counted.alias("_in"), ok.alias("_ok"), money.alias("_amt"))
+        people = marked.groupBy(*keys, "user_id").agg(
+            *slots.folded(),
+            *slots.measures(
+                refund_num=lambda i: F.count_if(F.col("_in") & here(i)),
+                refund_success_num=lambda i: F.count_if(F.col("_ok") & here(i)),
+                refund_success_amount=lambda i: F.sum(slots.only(i, F.col("_amt"))).cast(MONEY),
+            ),
         )
         known = F.col("user_id").isNotNull()
+
+        def has(measure: str):
+            return lambda i: one_if(known & (F.col(slots.name(measure, i)) > 0))
+
+        kept = ("refund_num", "refund_success_num", "refund_success_amount")
         return people.select(
-            *keys, "refund_num", one_if(known).alias("refund_person"), "refund_success_num",
-            one_if(known & (F.col("refund_success_num") > 0)).alias("refund_success_person"),
-            "refund_success_amount",
+            *keys, *slots.carried, *slots.names(*kept),
+            *slots.measures(refund_person=has("refund_num"), refund_success_person=has("refund_success_num")),
         )
     # each line becomes one row per kind of id, so a single grouping serves all four distinct counts
     ids = F.array(
@@ -76,18 +88,27 @@ def refund_rows(
             F.lit(False).alias("_is_refund"), F.col("user_id").cast("string").alias("_id"), F.lit(None).cast(MONEY).alias("_amt"),
         ),
     )
-    per_id = lines.select(*keys, ok.alias("_ok"), F.inline(ids)).groupBy(*keys, "_is_refund", "_id").agg(
-        F.bool_or("_ok").alias("_ok"), F.sum("_amt").cast(MONEY).alias("refund_success_amount")
+    marked = lines.select(*keys, *slots.carried, counted.alias("_in"), ok.alias("_ok"), F.inline(ids))
+    per_id = marked.groupBy(*keys, "_is_refund", "_id").agg(
+        *slots.folded(),
+        *slots.measures(
+            _in=lambda i: F.bool_or(F.col("_in") & here(i)), _ok=lambda i: F.bool_or(F.col("_ok") & here(i)),
+            refund_success_amount=lambda i: F.sum(slots.only(i, F.col("_amt"))).cast(MONEY),
+        ),
     )
-    refund = F.col("_is_refund") & F.col("_id").isNotNull()
-    user = ~F.col("_is_refund") & F.col("_id").isNotNull()
+    known = F.col("_id").isNotNull()
+    refund, user = F.col("_is_refund") & known, ~F.col("_is_refund") & known
+
+    def one(kind: Column, flag: str):
+        return lambda i: one_if(kind & F.col(slots.name(flag, i)))
+
     return per_id.select(
-        *keys,
-        one_if(refund).alias("refund_num"),
-        one_if(user).alias("refund_person"),
-        one_if(refund & F.col("_ok")).alias("refund_success_num"),
-        one_if(user & F.col("_ok")).alias("refund_success_person"),
-        "refund_success_amount",
+        *keys, *slots.carried,
+        *slots.measures(
+            refund_num=one(refund, "_in"), refund_person=one(user, "_in"),
+            refund_success_num=one(refund, "_ok"), refund_success_person=one(user, "_ok"),
+        ),
+        *slots.names("refund_success_amount"),
     )
 
 
@@ -96,13 +117,42 @@ def refund_metrics(lines: DataFrame, keys: Sequence[str], amount: str = "refund_
     return stack_measures(keys, refund_rows(lines, keys, amount, count))
 
 
-def shop_refund_rows(refunds: DataFrame, keys: Sequence[str], amount: str, orders: str) -> DataFrame:
+def shop_refund_rows(refunds: DataFrame, keys: Sequence[str], amount: str, orders: str, slots: Slots = ONE) -> DataFrame:
     """Additive refunded money and distinct refunded orders: one row per key and order."""
-    return refunds.groupBy(*keys, "order_id").agg(F.sum("refund_amount").cast(MONEY).alias(amount)).select(
-        *keys, amount, one_if(F.col("order_id").isNotNull()).alias(orders)
+    money = {amount: lambda i: F.sum(slots.only(i, F.col("refund_amount"))).cast(MONEY)}
+    return refunds.groupBy(*keys, "order_id").agg(*slots.folded(), *slots.measures(**money)).select(
+        *keys, *slots.carried, *slots.names(amount),
+        *slots.measures(**{orders: lambda i: one_if(F.col("order_id").isNotNull() & slots.here(i))}),
     )
 
 
+def refund_lines(refunds: DataFrame, orders: DataFrame, items: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Refunds joined to the item they name and to every item of their order, in one pass over both, with the scope as a flag.
+
+    ``_own`` tells that a line belongs to the refund's own scope: the named item of a single-item refund, or an item of a whole
+    order that was refunded. ``orders`` needs order_id and order_number. A refund asks for items under its item and its order,
+    and an item answers under both, so that one join serves both scopes. Copies of an order multiply its own items alone.
+    """
+    numbers = orders.groupBy("order_id").agg(F.collect_list("order_number").alias("_numbers"))
+    asked = refunds.join(numbers, "order_id", "left")
+    by_order = F.transform(F.coalesce("_numbers", F.array().cast("array<string>")), lambda n: _under(True, n))
+    wanted = asked.select(
+        *carry, "refund_id", "user_id", "refund_type", "return_money_sts", "refund_amount",
+        F.inline(F.concat(F.array(_under(False, F.col("order_item_id"))), by_order)),
+    ).filter(F.col("_key").isNotNull())
+    offered = items.select(
+        "prod_id", F.col("shop_id").alias("item_shop_id"), F.col("actual_total").alias("item_total"),
+        F.inline(F.array(_under(False, F.col("order_item_id")), _under(True, F.col("order_number")))),
+    ).filter(F.col("_key").isNotNull())
+    own = F.col("refund_type") == F.when(F.col("_by_order"), WHOLE_ORDER).otherwise(SINGLE_ITEM)
+    return wanted.join(offered, ["_by_order", "_key"]).select(*carry, *_LINE, F.coalesce(own, F.lit(False)).alias("_own"))
+
+
+def _under(by_order: bool, key: Column) -> Column:
+    """A key that a line is found under: its item or its order."""
+    return F.struct(F.lit(by_order).alias("_by_order"), key.alias("_key"))
+
+
 def active_products(*sources: DataFrame, keys: Sequence[str] = ("win", "prod_id")) -> DataFrame:
     """Distinct products over all given facts."""
     return reduce(DataFrame.union, [s.select(*keys) for s in sources]).filter(

@@ -10,23 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.operators.catalog import first_per_key
+from stallmetrics.operators.windows import MASK, ONE, Slots
 
 
 def stack_measures(keys: Sequence[str], *frames: DataFrame) -> DataFrame:
     """Every key any frame holds, with all measures side by side and 0 where nothing was measured.
 
     Measures are additive: a frame may hold several rows per key (one per user, client or refund, each carrying 1
-    for itself) and they are summed here. Stacking the rows and folding them once replaces a union of keys, one
+    for itself) and they are summed here; masks of windows are added up bit by bit. Stacking the rows and folding them once replaces a union of keys, one
     outer join per frame, and the last grouping of every frame.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     types = dict(stacked.dtypes)
-    measures = [c for c in types if c not in keys]
+    measures = [c for c in types if c not in keys and c != MASK]
     return stacked.groupBy(*keys).agg(
+        *[F.bit_or(MASK).alias(MASK)] * (MASK in types),
         *[
             F.coalesce(F.sum(c), F.lit(0)).cast(types[c] if types[c].startswith("decimal") else "bigint").alias(c)
             for c in measures
-        ]
+        ],
     )
 
 
@@ -73,9 +75,9 @@ def any_positive(measures: Sequence[str]) -> Column:
     return reduce(or_, [F.col(m) > 0 for m in measures])
 
 
-def drop_all_zero(df: DataFrame, measures: Sequence[str] = TEN_MEASURES) -> DataFrame:
-    """Rows where at least one listed measure is above 0; listed measures the frame lacks count as 0."""
-    return df.filter(any_positive([m for m in measures if m in df.columns]))
+def drop_all_zero(df: DataFrame, measures: Sequence[str] = TEN_MEASURES, slots: Slots = ONE) -> DataFrame:
+    """Rows where at least one listed measure is above 0, in any slot; listed measures the frame lacks count as 0."""
+    return df.filter(any_positive([n for n in slots.names(*measures) if n in df.columns]))
 
 
 def dedup_by_sink_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.casts import MONEY
 from stallmetrics.operators.shaping import one_if, stack_measures
+from stallmetrics.operators.windows import ONE, Slots, bit, mask_of
 
 ORDER_FACT = ["order_id", "order_number", "user_id", "shop_id", "create_time", "pay_time", "is_paid", "actual_total"]
 
@@ -61,31 +62,39 @@ def distinct_order_lines(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def trade_rows(
-    lines: DataFrame, keys: Sequence[str], paid: Column, placed: Column | None = None
+    lines: DataFrame, keys: Sequence[str], paid: Column | Sequence[Column], placed: Column | Sequence[Column] | None = None,
+    slots: Slots = ONE,
 ) -> DataFrame:
     """Additive users, items and amount of placed and of paid lines: one row per key and user.
 
-    ``placed`` and ``paid`` say which lines count as ordered and as paid.
+    ``placed`` and ``paid`` say which lines count as ordered and as paid, in each slot.
     """
-    placed = F.lit(True) if placed is None else F.coalesce(placed, F.lit(False))
+    placed = F.lit(True) if placed is None else placed
+    placed, paid = ([t] * len(slots.numbers) if isinstance(t, Column) else t for t in (placed, paid))
     flagged = lines.select(
-        *keys, "user_id", "prod_count", "item_total",
-        placed.alias("_placed"), F.coalesce(paid, F.lit(False)).alias("_paid"),
+        *keys, "user_id", "prod_count", "item_total", *slots.carried, mask_of(placed).alias("_placed"), mask_of(paid).alias("_paid")
     )
+
+    def total(flag: str, value: str):
+        return lambda i: F.sum(F.when(bit(flag, i), F.col(value))).cast("bigint" if value == "prod_count" else MONEY)
+
     per_user = flagged.groupBy(*keys, "user_id").agg(
-        F.bool_or("_placed").alias("_placed"),
-        F.bool_or("_paid").alias("_paid"),
-        F.sum(F.when(F.col("_placed"), F.col("prod_count"))).alias("place_order_num"),
-        F.sum(F.when(F.col("_placed"), F.col("item_total"))).cast(MONEY).alias("place_order_amount"),
-        F.sum(F.when(F.col("_paid"), F.col("prod_count"))).alias("pay_num"),
-        F.sum(F.when(F.col("_paid"), F.col("item_total"))).cast(MONEY).alias("pay_amount"),
+        *slots.folded(),
+        F.bit_or("_placed").alias("_placed"),
+        F.bit_or("_paid").alias("_paid"),
+        *slots.measures(
+            place_order_num=total("_placed", "prod_count"), place_order_amount=total("_placed", "item_total"),
+            pay_num=total("_paid", "prod_count"), pay_amount=total("_paid", "item_total"),
+        ),
     )
     known = F.col("user_id").isNotNull()
+    sums = ("place_order_num", "pay_num", "place_order_amount", "pay_amount")
     return per_user.select(
-        *keys,
-        one_if(F.col("_placed") & known).alias("place_order_person"),
-        one_if(F.col("_paid") & known).alias("pay_person"),
-        "place_order_num", "pay_num", "place_order_amount", "pay_amount",
+        *keys, *slots.carried,
+        *slots.measures(
+            place_order_person=lambda i: one_if(bit("_placed", i) & known), pay_person=lambda i: one_if(bit("_paid", i) & known),
+        ),
+        *slots.names(*sums),
     )
 
 

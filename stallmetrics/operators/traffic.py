@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow
 from stallmetrics.operators.shaping import one_if, stack_measures
-from stallmetrics.operators.windows import WIN, tag_by_day
+from stallmetrics.operators.windows import ONE, WIN, Slots, tag_by_day
 
 # What the log calls an exposure, and a screen view.
 ENTER = "enter"
@@ -22,19 +22,24 @@ def is_share_open() -> Column:
     return (F.col("event") == SCREEN_VIEW) & (F.get_json_object("label", "$.isShare") == "1")
 
 
-def exposures(app_log: DataFrame, windows: Sequence[ReportWindow], need_shop: bool = True) -> DataFrame:
-    """Exposure events of the windows' days, tagged; events without a product (or shop) are left out."""
+def exposures(app_log: DataFrame, windows: Sequence[ReportWindow] | Slots, need_shop: bool = True) -> DataFrame:
+    """Exposure events of the windows' days, marked; events without a product (or shop) are left out.
+
+    Of a list of windows an event gets one copy each; ``Slots`` choose how windows are told apart.
+    """
     known = F.col("prod_id").isNotNull()
     if need_shop:
         known = known & F.col("shop_id").isNotNull()
     seen = app_log.filter((F.col("action") == ENTER) & (F.col("page_id") == PRODUCT_PAGE) & known)
-    return tag_by_day(seen, windows, "dt")
+    return windows.mark_day(seen, "dt") if isinstance(windows, Slots) else tag_by_day(seen, windows, "dt")
 
 
-def exposure_rows(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+def exposure_rows(events: DataFrame, keys: Sequence[str], slots: Slots = ONE) -> DataFrame:
     """Additive exposure measures: one row per key and client."""
-    return events.groupBy(*keys, "cid").agg(F.count(F.lit(1)).alias("expose")).select(
-        *keys, "expose", one_if(F.col("cid").isNotNull()).alias("expose_person_num")
+    counts = slots.measures(expose=lambda i: F.count_if(slots.here(i)) if slots.shared else F.count(F.lit(1)))
+    return events.groupBy(*keys, "cid").agg(*slots.folded(), *counts).select(
+        *keys, *slots.carried, *slots.names("expose"),
+        *slots.measures(expose_person_num=lambda i: one_if(F.col("cid").isNotNull() & slots.here(i))),
     )
 
 
@@ -63,23 +68,26 @@ def share_visits_by_shop(app_log, windows) -> DataFrame:
     )
 
 
-def shop_traffic_rows(events: DataFrame) -> DataFrame:
-    """Additive shop-level traffic in one pass over tagged exposures: one row per shop and product or client."""
+def shop_traffic_rows(events: DataFrame, slots: Slots) -> DataFrame:
+    """Additive shop-level traffic in one pass over marked exposures: one row per shop and product or client."""
     ids = F.array(
         F.struct(F.lit(True).alias("_is_prod"), F.col("prod_id").cast("string").alias("_id")),
         F.struct(F.lit(False).alias("_is_prod"), F.col("cid").alias("_id")),
     )
-    shared = F.coalesce(is_share_open(), F.lit(False))
+    keys = [*slots.keys, "shop_id"]
     is_prod, known = F.col("_is_prod"), F.col("_id").isNotNull()
-    return (
-        events.select(WIN, "shop_id", shared.alias("_shared"), F.inline(ids))
-        .groupBy(WIN, "shop_id", "_is_prod", "_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count_if("_shared").alias("_shares"))
-        .select(
-            WIN, "shop_id",
-            F.when(is_prod, F.col("_n")).alias("expose"),
-            one_if(is_prod & known).alias("visited_prod"),
-            one_if(~is_prod & known).alias("visitor"),
-            F.when(is_prod, F.col("_shares")).alias("share_visit"),
-        )
+    folded = events.select(*keys, *slots.carried, F.coalesce(is_share_open(), F.lit(False)).alias("_shared"), F.inline(ids)).groupBy(
+        *keys, "_is_prod", "_id"
+    ).agg(
+        *slots.folded(),
+        *slots.measures(_n=lambda i: F.count_if(slots.here(i)), _shares=lambda i: F.count_if(slots.here(i) & F.col("_shared"))),
+    )
+    return folded.select(
+        *keys, *slots.carried,
+        *slots.measures(
+            expose=lambda i: F.when(is_prod, F.col(slots.name("_n", i))),
+            visited_prod=lambda i: one_if(is_prod & known & slots.here(i)),
+            visitor=lambda i: one_if(~is_prod & known & slots.here(i)),
+            share_visit=lambda i: F.when(is_prod, F.col(slots.name("_shares", i))),
+        ),
     )

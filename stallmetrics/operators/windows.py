@@ -1,12 +1,15 @@
-"""Tagging facts with the reporting windows they fall into.
+"""Marking facts with the reporting windows they fall into.
 
-Several windows are answered in one scan: each row gets one copy per matching window by exploding a small array
-of window numbers, with no join. The union of the spans is an ordinary filter, so it reaches the scan.
+Several windows are answered in one scan and without copies of rows. Where windows overlap, a row carries one bit per
+window (``Slots``): folding rows of one key adds the bits up with ``bit_or`` and keeps one sum per window, and only the
+finished rows of a report are unfolded into one row per window. Windows that share no day need no bits: a row carries the number
+of its window. The union of the spans is an ordinary filter, so it reaches the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 from stallmetrics.functions.calendar import ReportWindow, whole_day
 
 WIN = "win"
+#: Bits of the windows a row, or any row folded into it, lies in.
+MASK = "win_mask"
 SECOND = timedelta(seconds=1)
 
 
@@ -98,3 +103,99 @@ def any_window(windows: Sequence[ReportWindow], test: Callable[[ReportWindow], C
 def window_value(windows: Sequence[ReportWindow], value: Callable[[ReportWindow], object]) -> Column:
     """A property of the window a tagged row belongs to."""
     return per_window(windows, lambda w: F.lit(value(w)))
+
+
+# --- windows that overlap -------------------------------------------------------------------------------------------
+
+
+def mask_of(tests: Sequence[Column]) -> Column:
+    """Bit ``i`` is set where test ``i`` holds; a test that is NULL does not."""
+    bits = [F.when(test, F.lit(1 << i)).otherwise(F.lit(0)) for i, test in enumerate(tests)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def bit(mask: Column | str, number: int) -> Column:
+    """Whether a bit of ``mask`` is set."""
+    return (F.col(mask) if isinstance(mask, str) else mask).bitwiseAND(F.lit(1 << number)) != 0
+
+
+@dataclass(frozen=True)
+class Slots:
+    """How the rows of a plan remember their windows: by one bit for each (``shared``), or by their window's number, a key.
+
+    A measure is one column for each slot: as many as windows if these are shared, else one.
+    """
+
+    windows: tuple[ReportWindow, ...] = ()
+
+    @property
+    def shared(self) -> bool:
+        return len(self.windows) > 1 and not _separate_days(self.windows)
+
+    @property
+    def numbers(self) -> range:
+        return range(len(self.windows) if self.shared else 1)
+
+    @property
+    def keys(self) -> list[str]:
+        """Key columns that rows have because of their windows."""
+        return [WIN] if self.windows and not self.shared else []
+
+    @property
+    def carried(self) -> list[str]:
+        """Columns besides keys that rows have because of their windows."""
+        return [MASK] if self.shared else []
+
+    def each(self, test: Callable[[ReportWindow], Column]) -> list[Column]:
+        """``test`` for each slot."""
+        return [test(w) for w in self.windows] if self.shared else [per_window(self.windows, test)]
+
+    def mark(self, facts: DataFrame, test: Callable[[ReportWindow], Column]) -> DataFrame:
+        """Rows that pass ``test`` for a window, with the columns that tell for which."""
+        if not self.shared:
+            return tag_windows(facts, self.windows, test)
+        return facts.filter(any_window(self.windows, test)).withColumn(MASK, mask_of([test(w) for w in self.windows]))
+
+    def mark_time(self, facts: DataFrame, ts: str) -> DataFrame:
+        return self.mark(facts, lambda w: inside(ts, w)) if self.shared else tag_by_time(facts, self.windows, ts)
+
+    def mark_day(self, facts: DataFrame, day: str) -> DataFrame:
+        return self.mark(facts, lambda w: inside_days(day, w)) if self.shared else tag_by_day(facts, self.windows, day)
+
+    def name(self, measure: str, number: int) -> str:
+        return f"{measure}__{number}" if self.shared else measure
+
+    def names(self, *measures: str) -> list[str]:
+        return [self.name(m, i) for m in measures for i in self.numbers]
+
+    def here(self, number: int, mask: Column | str = MASK) -> Column:
+        """Whether a row, or any row folded into it, lies in the slot's window."""
+        return bit(mask, number) if self.shared else F.lit(True)
+
+    def only(self, number: int, value: Column) -> Column:
+        """``value`` where a row lies in the slot's window, else NULL."""
+        return F.when(self.here(number), value) if self.shared else value
+
+    def folded(self) -> list[Column]:
+        """Aggregate columns that keep the windows of the rows of a group."""
+        return [F.bit_or(MASK).alias(MASK)] if self.shared else []
+
+    def measures(self, **values: Callable[[int], Column]) -> list[Column]:
+        """One column for each measure and slot; ``values`` give a slot's column."""
+        return [value(i).alias(self.name(measure, i)) for measure, value in values.items() for i in self.numbers]
+
+    def unfold(self, rows: DataFrame) -> DataFrame:
+        """One row for each window that any fact of the row lies in, numbered in ``win``, with this window's measures."""
+        if not self.shared:
+            return rows
+        end = self.name("", 0)
+        names = [c.removesuffix(end) for c in rows.columns if c.endswith(end)]
+        others = [c for c in rows.columns if c != MASK and not any(c == self.name(n, i) for n in names for i in self.numbers)]
+        windows = [
+            F.when(self.here(i), F.struct(F.lit(i).alias(WIN), *[F.col(self.name(n, i)).alias(n) for n in names])) for i in self.numbers
+        ]
+        return rows.select(*others, F.inline(F.array_compact(F.array(*windows))))
+
+
+#: For steps that know of no windows.
+ONE = Slots()

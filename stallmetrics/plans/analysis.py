@@ -22,6 +22,7 @@ from stallmetrics.operators.catalog import (
     merged_products,
     merged_shops,
     one_name_per_shop,
+    with_shop_names,
 )
 from stallmetrics.operators.refunds import (
     REFUND_FACT,
@@ -29,6 +30,7 @@ from stallmetrics.operators.refunds import (
     WHOLE_ORDER,
     item_refunds,
     order_refunds,
+    refund_lines,
     refund_rows,
     refunded_lines,
 )
@@ -42,10 +44,9 @@ from stallmetrics.operators.shaping import (
 )
 from stallmetrics.operators.trade import dedup_exact_rows, distinct_order_lines, order_lines, shareable, trade_rows
 from stallmetrics.operators.traffic import exposure_rows, exposures
-from stallmetrics.operators.windows import WIN, any_window, inside, per_window, tag_windows, window_value
+from stallmetrics.operators.windows import MASK, Slots, any_window, inside, mask_of, per_window, window_value
 
-_MERCHANT = [WIN, "prod_id", "shop_id"]
-_PLATFORM = [WIN, "prod_id"]
+_MERCHANT = ["prod_id", "shop_id"]
 
 
 def _measures(price: Column) -> list[Column | str]:
@@ -67,6 +68,11 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnRenamed("item_shop_id", "shop_id") if "shop_id" in keys else df
 
 
+def _one_each(lines: DataFrame, columns: Sequence[str], slots: Slots) -> DataFrame:
+    """Chosen columns without repeated rows, in any of the windows that the copies lie in."""
+    return lines.groupBy(*columns).agg(*slots.folded()) if slots.shared else dedup_exact_rows(lines, columns)
+
+
 def merchant_analysis(
     products: DataFrame,
     shops: DataFrame,
@@ -81,34 +87,35 @@ def merchant_analysis(
     Facts may hold copies and are deduplicated. Paid means created and paid in the window. A whole-order refund
     gives its full amount to every item of the order.
     """
+    slots = Slots(tuple(windows))
+    keys = [*slots.keys, *_MERCHANT]
     created = orders.filter(any_window(windows, lambda w: inside("create_time", w)))
     order_items = shareable(distinct_order_lines(created, items))
-    lines = tag_windows(order_items, windows, lambda w: inside("create_time", w))
-    trade = trade_rows(
-        lines, _MERCHANT, paid=F.col("is_paid") & per_window(windows, lambda w: inside("pay_time", w))
-    )
+    lines = slots.mark_time(order_items, "create_time")
+    in_both = slots.each(lambda w: F.col("is_paid") & inside("create_time", w) & inside("pay_time", w))
+    trade = trade_rows(lines, keys, paid=in_both, placed=slots.each(lambda w: inside("create_time", w)), slots=slots)
 
-    asked = tag_windows(
-        dedup_exact_rows(refunds.filter(any_window(windows, lambda w: inside("apply_time", w))), REFUND_FACT),
-        windows, lambda w: inside("apply_time", w),
+    asked = slots.mark_time(
+        dedup_exact_rows(refunds.filter(any_window(windows, lambda w: inside("apply_time", w))), REFUND_FACT), "apply_time"
     )
-    single = item_refunds(asked.filter(F.col("refund_type") == SINGLE_ITEM), items, [WIN])
+    carry = [*slots.keys, *slots.carried]
+    single = item_refunds(asked.filter(F.col("refund_type") == SINGLE_ITEM), items, carry)
     # the order lines of above again: the never-NULL key keeps them the same shuffle, read a second time
-    whole = refunded_lines(asked.filter(F.col("refund_type") == WHOLE_ORDER), order_items, [WIN, "create_time"]).filter(
-        per_window(windows, lambda w: inside("create_time", w))
-    )
+    whole = refunded_lines(asked.filter(F.col("refund_type") == WHOLE_ORDER), order_items, [*carry, "create_time"])
+    if slots.shared:  # windows that hold both the request and the order
+        created_in = mask_of([inside("create_time", w) for w in windows])
+        whole = whole.withColumn(MASK, F.col(MASK).bitwiseAND(created_in)).filter(F.col(MASK) != 0)
+    else:
+        whole = whole.filter(per_window(windows, lambda w: inside("create_time", w)))
     # a refund counts once per product, however many of its items the order holds
-    refund_cols = [WIN, "prod_id", "item_shop_id", "refund_id", "user_id", "return_money_sts", "refund_amount"]
-    attributed = dedup_exact_rows(single, refund_cols).unionByName(dedup_exact_rows(whole, refund_cols))
-    back = refund_rows(_keyed(attributed, _MERCHANT), _MERCHANT)
-    seen = exposure_rows(exposures(app_log, windows, need_shop=False), _MERCHANT)
-
-    facts = drop_all_zero(stack_measures(_MERCHANT, seen, trade, back))
-    described = (
-        latest_product(products)
-        .join(facts, ["prod_id", "shop_id"])
-        .join(one_name_per_shop(shops), "shop_id", "left")
-    )
+    refund_cols = [*slots.keys, "prod_id", "item_shop_id", "refund_id", "user_id", "return_money_sts", "refund_amount"]
+    attributed = _one_each(single, refund_cols, slots).unionByName(_one_each(whole, refund_cols, slots))
+    back = refund_rows(_keyed(attributed, keys), keys, slots=slots)
+    seen = exposure_rows(exposures(app_log, slots, need_shop=False), keys, slots)
+
+    facts = drop_all_zero(stack_measures(keys, seen, trade, back), slots=slots)
+    described = with_shop_names(latest_product(products).join(facts, ["prod_id", "shop_id"]), one_name_per_shop(shops))
+    described = drop_all_zero(slots.unfold(described)) if slots.shared else described
     return status_fanout(described).select(
         "prod_id", "shop_id", *_measures(F.col("price")),
         window_value(windows, lambda w: w.stat_date).alias("stat_date"),
@@ -153,9 +160,7 @@ def merchant_analysis_today(
 
     facts = drop_all_zero(stack_measures(keys, seen, trade, back))
     described = (
-        latest_product(products)
-        .join(facts, keys)
-        .join(one_name_per_shop(shops), "shop_id", "left")
+        with_shop_names(latest_product(products).join(facts, keys), one_name_per_shop(shops))
         .join(latest_item_snapshot(orders_inc, items_inc, day), keys, "left")
         .join(latest_status_today(products_inc, day), keys, "left")
         .withColumn("status", F.coalesce("today_status", "item_status", "status", F.lit(0)))
@@ -189,31 +194,29 @@ def platform_analysis(
     and is counted per row; paid means created in the window and paid. Products paid in the window but created
     before it, or touched by any kind of refund, are listed even when all measures are 0.
     """
+    slots = Slots(tuple(windows))
+    keys = [*slots.keys, "prod_id"]
     touched = orders.filter(any_window(windows, _created_or_paid))
-    lines = tag_windows(order_lines(touched, items), windows, _created_or_paid)
-    placed = per_window(windows, lambda w: inside("create_time", w))
-    trade = trade_rows(lines, _PLATFORM, paid=placed & F.col("is_paid"), placed=placed)
+    lines = slots.mark(order_lines(touched, items), _created_or_paid)
+    placed = slots.each(lambda w: inside("create_time", w))
+    trade = trade_rows(lines, keys, paid=[p & F.col("is_paid") for p in placed], placed=placed, slots=slots)
 
-    asked = tag_windows(refunds, windows, lambda w: inside("apply_time", w))
-    single = item_refunds(asked, items, [WIN])
-    whole = order_refunds(asked, orders.select("order_id", "order_number"), items, [WIN])
     # a refund counts through its own scope only; through the other it still marks the product as active
-    counted = single.withColumn("_own", F.col("refund_type") == SINGLE_ITEM).unionByName(
-        whole.withColumn("_own", F.col("refund_type") == WHOLE_ORDER)
-    ).withColumn("_own", F.coalesce("_own", F.lit(False)))
-    back = refund_rows(counted.filter("_own"), _PLATFORM, amount="item_total", count="rows")
-    marked = counted.filter(~F.col("_own")).select(*_PLATFORM).distinct()
+    asked = slots.mark_time(refunds, "apply_time")
+    touched_lines = refund_lines(asked, orders, items, [*slots.keys, *slots.carried])
+    back = refund_rows(touched_lines, keys, amount="item_total", count="rows", slots=slots, counted=F.col("_own"))
 
+    # clients are folded to one row per product and shop before the cards are met
+    at_shop = [*keys, "shop_id"]
+    seen = stack_measures(at_shop, exposure_rows(exposures(app_log, slots, need_shop=False), at_shop, slots))
     cards = latest_product(products, ["prod_id"])
-    seen = exposure_rows(exposures(app_log, windows, need_shop=False), _MERCHANT).withColumnRenamed("shop_id", "_at")
     at_home = F.col("_at") == F.col("shop_id")
-    at_own_shop = seen.join(cards.select("prod_id", "shop_id"), "prod_id").select(
-        *_PLATFORM,
-        F.when(at_home, F.col("expose")).alias("expose"),
-        F.when(at_home, F.col("expose_person_num")).alias("expose_person_num"),
+    at_own_shop = seen.withColumnRenamed("shop_id", "_at").join(cards.select("prod_id", "shop_id"), "prod_id").select(
+        *keys, *slots.carried,
+        *[F.when(at_home, F.col(name)).alias(name) for name in slots.names("expose", "expose_person_num")],
     )
-    facts = stack_measures(_PLATFORM, at_own_shop, trade, back, marked)
-    described = cards.join(facts, "prod_id").join(one_name_per_shop(shops), "shop_id", "left")
+    facts = stack_measures(keys, at_own_shop, trade, back)
+    described = slots.unfold(with_shop_names(cards.join(facts, "prod_id"), one_name_per_shop(shops)))
     return status_fanout(described).select(
         F.lit(0).alias("id"), "prod_id", *_measures(F.col("price")),
         window_value(windows, lambda w: w.stat_date).alias("stat_date"),
@@ -261,12 +264,9 @@ def platform_analysis_today(
         (F.col("place_order_person") > 0) | (F.col("pay_person") > 0) | (F.col("refund_num") > 0)
     )
     filters = STATUS_FILTERS if status_filter is None else {status_filter: STATUS_FILTERS[status_filter]}
-    described = (
-        merged_products(products, products_inc, day)
-        .filter(admitted(filters=filters))
-        .join(drop_all_zero(facts, MEASURES_WITHOUT_EXPOSURE), "prod_id")
-        .join(merged_shops(shops, shops_inc, day), "shop_id", "left")
-    )
+    cards = merged_products(products, products_inc, day).filter(admitted(filters=filters))
+    sold = cards.join(drop_all_zero(facts, MEASURES_WITHOUT_EXPOSURE), "prod_id")
+    described = with_shop_names(sold, merged_shops(shops, shops_inc, day))
     return status_fanout(described, filters=filters).select(
         "prod_id", *_measures(F.col("price")),
         F.lit(day).alias("stat_date"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import ReportWindow, intraday_window, whole_day
@@ -14,7 +14,7 @@ from stallmetrics.functions.rates import money_ratio, percent
 from stallmetrics.operators.refunds import SUCCEEDED, shop_refund_rows
 from stallmetrics.operators.shaping import one_if, stack_measures
 from stallmetrics.operators.trade import order_rows
-from stallmetrics.operators.windows import WIN, any_window, inside, tag_windows, window_value
+from stallmetrics.operators.windows import Slots, any_window, inside, window_value
 
 # quotients the reports leave unrounded are kept to this many places
 _UNROUNDED = 6
@@ -152,37 +152,46 @@ def comprehensive(
 ) -> DataFrame:
     """Orders, payments, item counts and refunds per shop and period, all periods in one scan.
 
-    Items of orders placed in a period are folded to one row per order before they meet orders, so order amounts are
-    never multiplied.
+    Orders meet their items once and are folded back to one row each on the same shuffle, so order amounts are never multiplied;
+    a row number keeps copies of an order apart.
     """
-    placed = _with_shop(orders).filter(any_window(windows, lambda w: inside("create_time", w)))
-    per_order = (
-        items.join(placed.select("order_number"), "order_number", "left_semi")
-        .groupBy("order_number").agg(F.sum("prod_count").alias("_pieces"))
+    slots = Slots(tuple(windows))
+    placed = _with_shop(orders).filter(any_window(windows, lambda w: inside("create_time", w))).select(
+        "order_number", "shop_id", "user_id", "create_time", "is_paid", "actual_total", F.monotonically_increasing_id().alias("_row")
     )
-    tagged = tag_windows(
-        placed.join(per_order, "order_number", "left"), windows, lambda w: inside("create_time", w)
+    kept = ("shop_id", "user_id", "create_time", "is_paid", "actual_total")
+    per_order = placed.join(items.select("order_number", "prod_count"), "order_number", "left").groupBy("order_number", "_row").agg(
+        *[F.first(c).alias(c) for c in kept], F.sum("prod_count").alias("_pieces")
     )
-    keys = [WIN, "shop_id"]
-    first = tagged.groupBy(*keys, "user_id").agg(
-        F.count(F.lit(1)).alias("order_nums"),
-        F.sum("actual_total").cast(MONEY).alias("order_amount"),
-        F.sum("_pieces").alias("product_nums"),
-        F.count_if("is_paid").alias("pay_order_nums"),
-        F.sum(F.when(F.col("is_paid"), F.col("actual_total"))).cast(MONEY).alias("pay_amount"),
-        F.sum(F.when(F.col("is_paid"), F.col("_pieces"))).alias("pay_product_nums"),
+    marked = slots.mark_time(per_order, "create_time")
+    keys = [*slots.keys, "shop_id"]
+    paid = F.coalesce(F.col("is_paid"), F.lit(False))
+
+    def total(value: str, test: Column | None = None):
+        of = F.col(value) if test is None else F.when(test, F.col(value))
+        return lambda i: F.sum(slots.only(i, of)).cast(MONEY if value == "actual_total" else "bigint")
+
+    first = marked.groupBy(*keys, "user_id").agg(
+        *slots.folded(),
+        *slots.measures(
+            order_nums=lambda i: F.count_if(slots.here(i)), order_amount=total("actual_total"), product_nums=total("_pieces"),
+            pay_order_nums=lambda i: F.count_if(slots.here(i) & paid), pay_amount=total("actual_total", paid),
+            pay_product_nums=total("_pieces", paid),
+        ),
     )
     known = F.col("user_id").isNotNull()
+    sums = ("order_nums", "order_amount", "product_nums", "pay_order_nums", "pay_amount", "pay_product_nums")
     sales = first.select(
-        *keys, "order_nums", "order_amount", "product_nums", "pay_order_nums", "pay_amount", "pay_product_nums",
-        one_if(known).alias("user_nums"),
-        one_if(known & (F.col("pay_order_nums") > 0)).alias("pay_user_nums"),
+        *keys, *slots.carried, *slots.names(*sums),
+        *slots.measures(
+            user_nums=lambda i: one_if(known & slots.here(i)),
+            pay_user_nums=lambda i: one_if(known & (F.col(slots.name("pay_order_nums", i)) > 0)),
+        ),
     )
     back = shop_refund_rows(
-        tag_windows(_succeeded(refunds), windows, lambda w: inside("refund_time", w)), keys,
-        "refund_amount", "refund_order_nums",
+        slots.mark_time(_succeeded(refunds), "refund_time"), keys, "refund_amount", "refund_order_nums", slots
     )
-    return stack_measures(keys, sales, back).select(
+    return slots.unfold(stack_measures(keys, sales, back)).select(
         "shop_id",
         money_ratio("pay_amount", "pay_user_nums", 2).alias("customer_unit_price"),
         F.col("pay_amount").alias("total_transaction_amount"),
@@ -199,13 +208,16 @@ def comprehensive(
 
 def paid_by_window(orders: DataFrame, windows: Sequence[ReportWindow], ts: str = "pay_time") -> DataFrame:
     """Paid orders and amount per shop and reporting window."""
-    paid = _with_shop(orders).filter("is_paid")
-    tagged = tag_windows(paid, windows, lambda w: inside(ts, w))
-    totals = tagged.groupBy(WIN, "shop_id").agg(
-        F.count(F.lit(1)).alias("pay_order_count"),
-        F.sum("actual_total").cast(MONEY).alias("pay_actual_total"),
+    slots = Slots(tuple(windows))
+    marked = slots.mark_time(_with_shop(orders).filter("is_paid"), ts)
+    totals = marked.groupBy(*slots.keys, "shop_id").agg(
+        *slots.folded(),
+        *slots.measures(
+            pay_order_count=lambda i: F.count_if(slots.here(i)),
+            pay_actual_total=lambda i: F.sum(slots.only(i, F.col("actual_total"))).cast(MONEY),
+        ),
     )
-    return totals.select(
+    return slots.unfold(totals).select(
         "shop_id", "pay_order_count", "pay_actual_total",
         window_value(windows, lambda w: w.tag).alias("period_tag"),
         window_value(windows, lambda w: w.time_type).alias("time_type"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.calendar import month_back_window
@@ -61,7 +61,8 @@ def reason_rank(
 ) -> DataFrame:
     """Refunds per shop and reason over the last month, with the share of the shop's refunded money.
 
-    Names and pictures are reduced to one per order, item and product first, so joins keep one row per refund.
+    Names are reduced to one per order and item first, so joins keep one row per refund. Refunds are then folded by shop, reason
+    and product, so that a product with nearly all refunds meets its picture with a row per shop and reason.
     """
     back = _recent_successes(refunds, as_of).filter(F.col("shop_id").isNotNull()).select(
         "refund_id", "order_id", "order_item_id", "shop_id", "refund_amount", "buyer_reason"
@@ -75,31 +76,29 @@ def reason_rank(
         items.join(back.select("order_item_id"), "order_item_id", "left_semi")
         .groupBy("order_item_id").agg(F.max("prod_name").alias("_item_name"), F.max("prod_id").alias("prod_id"))
     )
-    pics = products.groupBy("prod_id").agg(F.max("pic").alias("_pic"))
     # refunds of whole orders name no item: a key of their own spreads them instead of piling up on NULL
     spread = back.withColumn(
         "order_item_id", F.coalesce("order_item_id", F.concat(F.lit("\u0000"), F.col("refund_id")))
     )
-    described = (
-        spread.join(order_names, "order_id", "left")
-        .join(item_cards.join(pics, "prod_id", "left"), "order_item_id", "left")
-        .select(
-            "shop_id", "refund_amount",
-            refund_reason_label("buyer_reason").alias("buyer_reason"),
-            F.coalesce("_order_name", "_item_name", F.lit(UNKNOWN_PRODUCT)).alias("_name"),
-            "_pic",
-        )
+    described = spread.join(order_names, "order_id", "left").join(item_cards, "order_item_id", "left").select(
+        "shop_id", "prod_id", "refund_amount",
+        refund_reason_label("buyer_reason").alias("buyer_reason"),
+        F.coalesce("_order_name", "_item_name", F.lit(UNKNOWN_PRODUCT)).alias("_name"),
     )
     money = F.sum("refund_amount").cast("decimal(18,2)")
-    # refunds without a reason count towards the shop's total but get no row
-    by_reason = described.groupBy("shop_id", "buyer_reason").agg(
+    by_product = described.groupBy("shop_id", "buyer_reason", "prod_id").agg(
+        F.max("_name").alias("_name"), F.count(F.lit(1)).alias("_rows"), money.alias("refund_amount")
+    )
+    pics = products.groupBy("prod_id").agg(F.max("pic").alias("_pic"))
+    by_reason = by_product.join(pics, "prod_id", "left").groupBy("shop_id", "buyer_reason").agg(
         F.max("_name").alias("refund_prod_name"),
-        F.count(F.lit(1)).alias("refund_count"),
+        F.sum("_rows").alias("refund_count"),
         money.alias("pay_actual_total"),
         F.max("_pic").alias("pic"),
     )
-    totals = back.groupBy("shop_id").agg(money.alias("_total"))
-    return by_reason.filter(F.col("buyer_reason").isNotNull()).join(totals, "shop_id").select(
+    # refunds without a reason count towards the shop's total but get no row; a shop has as many rows as there are reasons
+    total = F.sum("pay_actual_total").over(Window.partitionBy("shop_id")).cast("decimal(18,2)")
+    return by_reason.withColumn("_total", total).filter(F.col("buyer_reason").isNotNull()).select(
         "buyer_reason", "refund_prod_name", "refund_count", "pay_actual_total",
         money_ratio("pay_actual_total", "_total", 1, times=100).alias("percent_amount"),
         "pic", "shop_id", F.lit(as_of.date()).alias("stat_date"),
