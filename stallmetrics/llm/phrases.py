@@ -1,15 +1,17 @@
 """Phrase collocation mining: an FM-index per shard over word ids, extended in both directions, counts added up over shards.
 
 Texts are cut into pieces and words; a task turns the words of its texts into shards of bounded size, one language each: a
-vocabulary and the ids of all words in order, pieces divided by the id 0. For a length of phrases a task rebuilds the shard's
-bidirectional index (rows in order of their first words, as deep as the phrases are long), finds the intervals of the
-phrases one word shorter that are frequent in the whole corpus, and extends each by every word that stands left or right of it.
-A longer phrase that is both a right extension of a frequent one and a left extension of a frequent one is counted: the same
-phrase has the same interval of the forward index, whichever way it was reached. Since no part of a phrase is rarer than the
-phrase, nothing frequent is lost, and what a shard emits shrinks with every length.
-
-Counts are added up over all shards and documents; a shard's share of the frequent phrases goes back to it by its number. So no
-list of phrases is ever held by one task or by the driver: a task holds one shard, at most ``SHARD_WORDS`` words and one text.
+vocabulary, and the bidirectional index of the words, pieces divided by the id 0 (rows in order of their first words, as deep as
+the longest phrase). The shards are written once. From a shard's frequent phrases of one length, each is extended by every word that
+stands left or right of it: a phrase that is both a right extension and a left extension of a frequent one is counted: it has the
+same interval of the forward index whichever way it was reached. Since no part of a phrase is rarer than the phrase, nothing
+frequent is lost.
+
+Which phrases are frequent is decided by sums over all shards, length by length. A shard first gives the hashes of its phrases
+with their counts, four bytes each, which are added up by block of the hash space into a table of bits: a phrase whose hash starts
+so is frequent. The tables grow with the corpus up to ``MOST_BITS`` (128 MB, the bound of what is sent to every task); a bit too
+many costs work, never a phrase, and none is missing. At the end every shard gives the phrases that pass the tables by name, and their
+sums are exact. No shard is ever shuffled, and no list of phrases is held by the driver.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count again. Texts without words yield nothing. A
 word is whatever stands between blanks, digits and control characters included. Only ``text`` and ``lang`` are read, so
@@ -18,19 +20,21 @@ other columns cannot clash. Without any phrase of ``min_count`` occurrences the
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import rows_of, settle
+from stallmetrics.llm.shared import bit_set, bit_tables, mixed, rows_of, settle
 
 #: Words of a shard, about: a shard ends with the text that reaches it.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 #: A phrase is kept from this many occurrences in its language, and is at most so many words long.
 MIN_COUNT, LONGEST = 30, 4
 #: A phrase goes when a longer one has at least so many hundredths of its occurrences.
@@ -40,6 +44,11 @@ TOP = 2000
 #: Scores are whole numbers: this times ``a / (l + r)``, rounded down.
 SCALE = 2_000_000
 
+#: Bits of a table of frequent hashes: one for so many words of the corpus, at most 2 ** MOST_BITS.
+WORDS_A_BIT, MOST_BITS = 4, 30
+#: Words of the corpus for each block of the hash space that one task adds up, about.
+BLOCK_WORDS = 4_000_000
+
 #: A byte of no UTF-8 text stands for every mark that ends a piece.
 END = 255
 _BYTES = bytearray(range(256))
@@ -64,21 +73,26 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
 
 
+def word_before(text: np.ndarray, depth: int) -> np.ndarray:
+    """The word before every row of the index of ``text``: its Burrows-Wheeler transform, rows sorted by ``depth`` words."""
+    rank, width = text, 1
+    order = np.argsort(text) if depth == 1 else None
+    while width < depth:
+        key = rank * (int(rank.max()) + 1) + np.roll(rank, -width)
+        order, width = np.argsort(key), width * 2
+        if width < depth:
+            key = key[order]
+            rank = np.empty(len(text), np.int64)
+            rank[order] = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
+    return np.roll(text, 1)[order]
+
+
 class _Half:
     """One direction of the index: the word before every row, and where a word's rows go when it is put in front."""
 
-    def __init__(self, text: np.ndarray, depth: int):
-        n, rank, width = len(text), text, 1
-        order = np.argsort(text) if depth == 1 else None
-        while width < depth:
-            key = rank * (int(rank.max()) + 1) + np.roll(rank, -width)
-            order, width = np.argsort(key), width * 2
-            if width < depth:
-                key = key[order]
-                rank = np.empty(n, np.int64)
-                rank[order] = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-        self.rows, self.before = n, np.roll(text, 1)[order].astype(np.int32)
-        self.keys = np.sort(self.before * np.int64(n + 1) + np.arange(n))
+    def __init__(self, before: np.ndarray):
+        self.rows, self.before = len(before), before.astype(np.int32)
+        self.keys = np.sort(before * np.int64(self.rows + 1) + np.arange(self.rows))
 
     def step(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The row that ``word`` before the row's words has: rows of smaller words, and of this word before smaller rows."""
@@ -104,10 +118,15 @@ class _Half:
 
 
 class PhraseIndex:
-    """Bidirectional FM-index of word ids, 0 between pieces, for phrases of at most ``depth`` words."""
+    """Bidirectional FM-index of word ids, 0 between pieces, from its two transforms."""
+
+    def __init__(self, forward: np.ndarray, backward: np.ndarray):
+        self.forward, self.backward = _Half(forward), _Half(backward)
 
-    def __init__(self, ids: np.ndarray, depth: int):
-        self.forward, self.backward = _Half(ids, depth), _Half(ids[::-1], depth)
+    @staticmethod
+    def of(ids: np.ndarray, depth: int) -> PhraseIndex:
+        """The index of ``ids`` for phrases of at most ``depth`` words."""
+        return PhraseIndex(word_before(ids, depth), word_before(ids[::-1], depth))
 
     def longer(self, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases one word longer than the rows of ``kept`` of which both parts are rows of it: the parts' numbers, and counts."""
@@ -128,22 +147,25 @@ class PhraseIndex:
         return of[a], left_of[b], count[a]
 
 
-def shards(docs: DataFrame, most: int = SHARD_WORDS) -> DataFrame:
-    """``lang``, ``shard``, ``n`` (words), ``words`` (vocabulary, the mark of pieces first) and ``ids``: texts as word ids."""
+def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) -> DataFrame:
+    """``lang``, ``n`` (words), ``words`` (vocabulary, the mark of pieces first), ``many`` (its counts) and the two transforms of a shard."""
 
     def build(batches):
-        held, size, number = {}, 0, TaskContext.get().partitionId() << 32
+        held, size = {}, 0
 
         def rows():
-            nonlocal number
-            for lang, (vocabulary, parts) in held.items():
-                ids = np.concatenate(parts)
-                words = b"\n".join(vocabulary)
+            while held:
+                lang, (vocabulary, parts) = held.popitem()
+                ids = np.concatenate(parts).astype(np.int64)
+                many = np.bincount(ids)
+                many[0] = 0
                 yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang]), "shard": pa.array([number], pa.int64()), "n": pa.array([int((ids > 0).sum())], pa.int64()),
-                    "words": pa.array([zlib.compress(words, 1)], pa.binary()), "ids": pa.array([_packed(ids)], pa.binary()),
+                    "lang": pa.array([lang]), "n": pa.array([int(many.sum())], pa.int64()),
+                    **{name: pa.array([value], pa.binary()) for name, value in {
+                        "words": zlib.compress(b"\n".join(vocabulary), 1), "many": _packed(many),
+                        "forward": _packed(word_before(ids, longest)), "backward": _packed(word_before(ids[::-1], longest)),
+                    }.items()},
                 })
-                number += 1
 
         for batch, texts in rows_of(batches, "text"):
             for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
@@ -159,83 +181,102 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS) -> DataFrame:
                 size += len(found)
                 if size >= most:
                     yield from rows()
-                    held, size = {}, 0
+                    size = 0
         yield from rows()
 
     read = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "text")
-    return read.mapInArrow(build, "lang string, shard long, n long, words binary, ids binary")
-
-
-def _ids(grams: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, grams.size + 1, grams.shape[1]), pa.int32()), pa.array(grams.ravel(), pa.int32()))
-
-
-def _word_parts(held: DataFrame) -> DataFrame:
-    """Counts of words by shard."""
+    return read.mapInArrow(build, "lang string, n long, words binary, many binary, forward binary, backward binary")
+
+
+class _Shard:
+    """A shard as a task reads it: its words and their hashes, and its phrases length by length."""
+
+    def __init__(self, row: dict):
+        self.lang, self.row = row["lang"], row
+        self.words = zlib.decompress(row["words"]).split(b"\n")
+        key = hashlib.blake2b(self.lang.encode(), digest_size=32).digest()
+        self.hashes = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8, key=key).digest() for w in self.words), np.uint64)
+
+    def phrases(self, longest: int, tables: list[np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ids, hashes and counts of the phrases of 1, 2, … words of which all parts, and themselves where there is a table, pass."""
+        many = _unpacked(self.row["many"])
+        grams = np.flatnonzero(many)[:, None]
+        found, count = self.hashes[grams[:, 0]], many[grams[:, 0]]
+        index = None
+        for width in range(1, longest + 1):
+            if width <= len(tables):
+                good = bit_set(tables[width - 1], found, bits)
+                grams, found, count = grams[good], found[good], count[good]
+            yield grams, found, count
+            if width == longest or not len(grams):
+                return
+            index = index or PhraseIndex(_unpacked(self.row["forward"]), _unpacked(self.row["backward"]))
+            first, last, count = index.longer(grams)
+            grams = np.column_stack((grams[first], grams[last, -1]))
+            found = mixed(found[first] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[grams[:, -1]])
+
+
+def _shards_of(batches) -> Iterator[_Shard]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield _Shard(batch.slice(i, 1).to_pylist()[0])
+
+
+def _frequent_hashes(held: DataFrame, width: int, tables: list[np.ndarray], bits: int, top: int, min_count: int) -> np.ndarray:
+    """The table of frequent hashes of phrases of ``width`` words, given those of shorter ones."""
+    sent = held.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches):
-        for batch in batches:
-            for lang, shard, words, ids in zip(*batch.columns, strict=True):
-                many = np.bincount(_unpacked(ids.as_py()))
-                many[0] = 0
-                used = np.flatnonzero(many)
-                if len(used):
-                    found = pa.array(zlib.decompress(words.as_py()).split(b"\n"), pa.binary()).take(pa.array(used))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang.as_py()] * len(used)), pa.array(np.full(len(used), shard.as_py())), found.cast(pa.string()), _ids(used[:, None]), pa.array(many[used])],
-                        ["lang", "shard", "phrase", "ids", "n"],
-                    )
-
-    return held.select("lang", "shard", "words", "ids").mapInArrow(count, "lang string, shard long, phrase string, ids array<int>, n long")
-
-
-def _longer_parts(held: DataFrame, kept: DataFrame, width: int) -> DataFrame:
-    """Counts by shard of phrases of ``width`` words, each named by its first and last words' numbers (all but one of them).
-
-    ``kept`` has the shards' frequent phrases of one word less, as local ids, and their numbers in the corpus.
-    """
-
-    def extend(batches):
-        for batch in batches:
-            for shard, ids, kept in zip(*batch.columns, strict=True):
-                known = kept.values.field("ids").flatten().to_numpy().astype(np.int64).reshape(-1, width - 1)
-                number = kept.values.field("number").to_numpy()
-                first, last, count = PhraseIndex(_unpacked(ids.as_py()), width).longer(known)
-                if len(count):
-                    grams = np.column_stack((known[first], known[last, -1]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(count), shard.as_py())), pa.array(number[first]), pa.array(number[last]), _ids(grams), pa.array(count)],
-                        ["shard", "first", "last", "ids", "n"],
-                    )
-
-    by_shard = kept.groupBy("shard").agg(F.collect_list(F.struct("ids", "number")).alias("kept"))  # at most a shard's words
-    joined = held.select("shard", "ids").join(by_shard, "shard").select("shard", "ids", "kept")
-    return joined.mapInArrow(extend, "shard long, first long, last long, ids array<int>, n long")
+        for shard in _shards_of(batches):
+            *_, (grams, found, many) = shard.phrases(width, sent.value, bits)
+            if len(grams) and grams.shape[1] == width:
+                order = np.argsort(found)
+                found, many = found[order], many[order].astype(np.uint32)
+                short = ((found << np.uint64(top)) >> np.uint64(32)).astype(np.uint32)
+                edges = np.arange(1, 1 << top, dtype=np.uint64) << np.uint64(64 - top) if top else np.zeros(0, np.uint64)
+                cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
+                used, once = np.flatnonzero(np.diff(cuts)), many == 1
+                parts = [(short[a:b], once[a:b], many[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(used, pa.int32()), *[pa.array(x, pa.binary()) for x in (
+                        [h[o].tobytes() for h, o, _ in parts], [h[~o].tobytes() for h, o, _ in parts], [n[~o].tobytes() for _, o, n in parts])],
+                ], ["block", "once", "more", "counts"])
+
+    packed = held.mapInArrow(count, "block int, once binary, more binary, counts binary").withColumn("top", F.lit(top))
+    (table,) = bit_tables(packed, (min_count,), bits)
+    sent.destroy()
+    return table
+
+
+def _named(held: DataFrame, longest: int, tables: list[np.ndarray], bits: int) -> DataFrame:
+    """``lang, phrase, width, n`` by shard, of the phrases that pass the tables."""
+    sent = held.sparkSession.sparkContext.broadcast(tables)
+
+    def name(batches):
+        for shard in _shards_of(batches):
+            words = pa.array(shard.words, pa.binary())
+            for grams, _, many in shard.phrases(longest, sent.value, bits):
+                columns = [words.take(pa.array(c)) for c in grams.T]
+                phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard.lang] * len(many), pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(many), grams.shape[1]), pa.int32()), pa.array(many, pa.int64())],
+                    ["lang", "phrase", "width", "n"],
+                )
+
+    return held.mapInArrow(name, "lang string, phrase string, width int, n long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, width, f)`` of all phrases of 1 to ``longest`` words met ``min_count`` times, and ``(lang, n)``, all words."""
-    held = settle(shards(docs, shard_words))
-    parts, key = _word_parts(held), ["lang", "phrase"]
-    found: list[DataFrame] = []
-    for width in range(1, longest + 1):
-        if width > 1:
-            parts, key = _longer_parts(held, kept, width), ["first", "last"]
-            if width < longest:
-                parts = settle(parts)  # read again below
-        total = parts.groupBy(*key).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        total = settle(total.withColumn("number", F.monotonically_increasing_id()))
-        if width < longest:
-            kept = parts.join(total.select(*key, "number"), key).select("shard", "ids", "number")
-        if width > 1:  # frequent phrases only: their words by way of their parts
-            shorter = found[-1].select(F.col("number").alias("first"), "lang", F.col("phrase").alias("start"))
-            ends = found[-1].select(F.col("number").alias("last"), F.substring_index("phrase", " ", -1).alias("end"))
-            total = settle(total.join(shorter, "first").join(ends, "last").select("lang", F.concat_ws(" ", "start", "end").alias("phrase"), "f", "number"))
-        found.append(total)
-    counts = found[0].select("lang", "phrase", F.lit(1).alias("width"), "f")
-    for width, more in enumerate(found[1:], 2):
-        counts = counts.unionByName(more.select("lang", "phrase", F.lit(width).alias("width"), "f"))
-    return counts, held.groupBy("lang").agg(F.sum("n").alias("n"))
+    held = settle(shards(docs, shard_words, longest))
+    total = held.agg(F.sum("n")).first()[0] or 0
+    bits = int(np.clip(np.ceil(np.log2(total / WORDS_A_BIT + 1)), 16, MOST_BITS))
+    top = int(np.clip(np.ceil(np.log2(total / BLOCK_WORDS + 1)), 0, bits - 5))
+    tables: list[np.ndarray] = []
+    for width in range(1, longest):
+        tables.append(_frequent_hashes(held, width, tables, bits, top, min_count))
+    counts = _named(held, longest, tables, bits).groupBy("lang", "phrase", "width").agg(F.sum("n").alias("f"))
+    return settle(counts.where(F.col("f") >= min_count)), held.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _words(first: Column | int, count: Column | int) -> Column:
