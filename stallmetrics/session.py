@@ -46,3 +46,20 @@ def work_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="stallmetrics-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what lies directly in a folder; none where there is no such folder."""
+    fs, where = _file_system(spark, path)
+    return [f"{path.rstrip('/')}/{s.getPath().getName()}" for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote; nothing where there is none."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)

@@ -26,6 +26,11 @@ def stat_date_slice(day: date) -> Column:
     return F.col("stat_date") == F.lit(day)
 
 
+def keep_only_new_slice() -> Column:
+    """Everything."""
+    return F.lit(True)
+
+
 def rolling_month_slice(day: date) -> Column:
     """The day itself, and rows up to the same day last month."""
     return (F.col("stat_date") <= F.lit(month_back(day))) | stat_date_slice(day)
@@ -70,7 +75,7 @@ def replace_stat_date(existing: DataFrame, new: DataFrame, day: date, delete: bo
 
 def keep_only_new(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Drop everything old."""
-    return replace_where(existing, new, F.lit(True))
+    return replace_where(existing, new, keep_only_new_slice())
 
 
 def rolling_month(existing: DataFrame, new: DataFrame, day: date) -> DataFrame:

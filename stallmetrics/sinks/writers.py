@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stallmetrics.session import shared_dir
-from stallmetrics.sinks.rules import assert_unique_key
+from stallmetrics.sinks.publishing import publish, settled
+
+__all__ = ["append_jdbc", "overwrite_slices", "publish", "rewrite_jdbc", "rewrite_parquet"]
 
 
 def overwrite_slices(df: DataFrame, path: str, slices: Sequence[str]) -> None:
@@ -23,59 +21,12 @@ def overwrite_slices(df: DataFrame, path: str, slices: Sequence[str]) -> None:
     )
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """``df`` cut from the table it was read from, so that the table can be overwritten."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def rewrite_parquet(next_rows: DataFrame, path: str, slices: Sequence[str] = ()) -> None:
     """Replace a whole Parquet table by rows derived from it."""
-    writer = _settled(next_rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = settled(next_rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*slices) if slices else writer).parquet(path)
 
 
-def publish(new: DataFrame, table: str, gone: Column, keys: Sequence[str] = (), skip_empty: bool = False) -> None:
-    """Put a report into its partitioned Parquet table of the catalog: the key is checked, partitions with new rows are
-    replaced, other partitions that are ``gone`` are dropped, and all others keep their files.
-
-    ``gone`` is a slice of ``rules``, over the partition columns alone; a repeat changes nothing. New rows may be derived
-    from the table. Rows outside the slice are refused, as they would replace partitions that were to stay.
-    """
-    spark = new.sparkSession
-    columns = spark.catalog.listColumns(table)
-    slices = [c.name for c in columns if c.isPartition]
-    rows = _settled(new.select(*[c.name for c in columns]))
-    if skip_empty and rows.isEmpty():
-        return
-    if keys:
-        assert_unique_key(rows, keys)
-    stray = rows.filter(~F.coalesce(gone, F.lit(False))).select(*slices).first()
-    if stray is not None:
-        raise ValueError(f"rows outside the slice, e.g. {stray.asDict()}")
-    same = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in slices])
-    stale = spark.table(table).filter(gone).select(*slices).distinct().alias("a")
-    # one row for each partition that goes: as few as the table has partitions
-    stale = stale.join(rows.select(*slices).distinct().alias("b"), same, "left_anti").collect()
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-    for row in stale:
-        spec = ", ".join(f"`{c}` = {_literal(row[c])}" for c in slices)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-
-
-def _literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, int):
-        return str(value)
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def append_jdbc(df: DataFrame, options: Mapping[str, str], table: str, batch_rows: int = 1000) -> None:
     """Append over JDBC in batches."""
     df.write.format("jdbc").mode("append").options(**options).option("dbtable", table).option(
@@ -85,6 +36,6 @@ def append_jdbc(df: DataFrame, options: Mapping[str, str], table: str, batch_row
 
 def rewrite_jdbc(next_rows: DataFrame, options: Mapping[str, str], table: str) -> None:
     """Replace a whole JDBC table by rows derived from it, keeping its definition."""
-    _settled(next_rows).write.format("jdbc").mode("overwrite").options(**options).option("dbtable", table).option(
+    settled(next_rows).write.format("jdbc").mode("overwrite").options(**options).option("dbtable", table).option(
         "truncate", "true"
     ).save()
