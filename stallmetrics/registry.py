@@ -15,11 +15,11 @@ from stallmetrics.functions.rates import count_ratio, money_ratio, percent
 from stallmetrics.operators import catalog, refunds as rf, shaping, trade, traffic
 from stallmetrics.operators.windows import WIN, inside
 from stallmetrics.plans import analysis, labels_expand, merchant, overview, refund_ranks, sales
-from stallmetrics.session import work_folder
+from stallmetrics.session import remove_folder, work_folder
 from stallmetrics.sinks import rules
 from stallmetrics.sources import schemas
 from stallmetrics.sources.retail_binding import RetailTables
-from stallmetrics.streaming import hourly, into_table
+from stallmetrics.streaming import hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -475,11 +475,10 @@ def _hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
     orders = RetailTables(spark, folder).orders.select(*columns)
     orders.write.parquet(f"{work}/orders")
     stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 64).parquet(f"{work}/orders")
-    run = into_table.stream_to_parquet(
-        hourly.hourly_stream(stream), f"{work}/updates", f"{work}/progress", mode="update"
-    )
-    run.awaitTermination()
-    return hourly.hourly_report(spark.read.parquet(f"{work}/updates"), DAY)
+    hourly.stream_state(hourly.hourly_stream(stream), f"{work}/state", f"{work}/progress").awaitTermination()
+    remove_folder(spark, f"{work}/orders")
+    remove_folder(spark, f"{work}/progress")
+    return hourly.hourly_report(hourly.read_state(spark, f"{work}/state", DAY), DAY)
 
 
 QUERIES["hourly_gmv_stream"] = _hourly_stream
