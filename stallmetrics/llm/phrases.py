@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from stallmetrics.llm.shared import bit_set, bit_tables, mixed, rows_of, settle
 
-#: Words of a shard, about: a shard ends with the text that reaches it.
-SHARD_WORDS = 1 << 21
+#: Words of a shard, about: a shard ends with the text that reaches it. The larger, the fewer times a phrase is counted by several
+#: shards; a task holds about 60 bytes for each word of one.
+SHARD_WORDS = 6 << 20
 #: A phrase is kept from this many occurrences in its language, and is at most so many words long.
 MIN_COUNT, LONGEST = 30, 4
 #: A phrase goes when a longer one has at least so many hundredths of its occurrences.
@@ -70,20 +71,22 @@ def _packed(ids: np.ndarray) -> bytes:
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int32)
 
 
 def word_before(text: np.ndarray, depth: int) -> np.ndarray:
     """The word before every row of the index of ``text``: its Burrows-Wheeler transform, rows sorted by ``depth`` words."""
-    rank, width = text, 1
-    order = np.argsort(text) if depth == 1 else None
+    rank, width = text.astype(np.int32), 1
+    order = np.argsort(rank) if depth == 1 else None
     while width < depth:
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -width)
+        key = rank.astype(np.int64)
+        key *= int(rank.max()) + 1
+        key += np.roll(rank, -width)
         order, width = np.argsort(key), width * 2
         if width < depth:
-            key = key[order]
-            rank = np.empty(len(text), np.int64)
-            rank[order] = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
+            new = np.diff(key[order], prepend=-1) != 0
+            rank[order] = np.cumsum(new, dtype=np.int32)
+        del key
     return np.roll(text, 1)[order]
 
 
@@ -91,12 +94,14 @@ class _Half:
     """One direction of the index: the word before every row, and where a word's rows go when it is put in front."""
 
     def __init__(self, before: np.ndarray):
-        self.rows, self.before = len(before), before.astype(np.int32)
-        self.keys = np.sort(before * np.int64(self.rows + 1) + np.arange(self.rows))
+        self.rows, self.before = len(before), before
+        self.keys = before * np.int64(self.rows + 1)
+        self.keys += np.arange(self.rows)
+        self.keys.sort()
 
     def step(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
         """The row that ``word`` before the row's words has: rows of smaller words, and of this word before smaller rows."""
-        return np.searchsorted(self.keys, word * (self.rows + 1) + row)
+        return np.searchsorted(self.keys, word.astype(np.int64) * (self.rows + 1) + row)
 
     def intervals(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Rows that begin with the words of ``columns``, the last column searched first."""
@@ -156,7 +161,7 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) ->
         def rows():
             while held:
                 lang, (vocabulary, parts) = held.popitem()
-                ids = np.concatenate(parts).astype(np.int64)
+                ids = np.concatenate(parts)
                 many = np.bincount(ids)
                 many[0] = 0
                 yield pa.RecordBatch.from_pydict({
