@@ -6,10 +6,11 @@ import os
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics.functions import calendar as cal
+from stallmetrics.functions.casts import MONEY
 from stallmetrics.functions.labels import product_status_label, refund_reason_label
 from stallmetrics.functions.rates import count_ratio, money_ratio, percent
 from stallmetrics.operators import catalog, refunds as rf, shaping, trade, traffic
@@ -17,6 +18,7 @@ from stallmetrics.operators.windows import WIN, inside
 from stallmetrics.plans import analysis, labels_expand, merchant, overview, refund_ranks, sales
 from stallmetrics.session import remove_folder, work_folder
 from stallmetrics.sinks import rules
+from stallmetrics.sinks.writers import publish
 from stallmetrics.sources import schemas
 from stallmetrics.sources.retail_binding import RetailTables
 from stallmetrics.streaming import hourly
@@ -30,6 +32,11 @@ DAY = date(2024, 1, 30)
 QUERIES: dict[str, Query] = {}
 
 
+def _work_dir(spark: SparkSession) -> str:
+    """Fresh folder for what a run writes, below the shared folder where the cluster names one."""
+    return os.path.join(work_folder(spark), f"stallmetrics-{spark.sparkContext.applicationId}-{os.urandom(6).hex()}")
+
+
 def query(name: str) -> Callable[[Callable[[RetailTables], DataFrame]], Callable]:
     def add(build: Callable[[RetailTables], DataFrame]) -> Callable:
         QUERIES[name] = lambda spark, folder: build(RetailTables(spark, folder))
@@ -380,35 +387,53 @@ for _name, _windows in TIMED.items():
 
 
 # --- result tables ------------------------------------------------------------------------------------------------
-# Old rows are the report's own history over all days of the tables, so both sides grow with them.
+# Old rows are the report's own history over all days of the tables, so both sides grow with them. New rows are restated: one
+# more order and one more unit of money each, so that none of them equals the row it replaces. A rule runs as publishing does:
+# over a partitioned table of the catalog, whose partitions go or stay by name.
 
 
 def _history(t: RetailTables, back_days: int = 0) -> DataFrame:
     return merchant.paid_by_day(t.orders).withColumn("stat_date", F.date_sub("stat_date", back_days))
 
 
+def _restated(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        "pay_order_count": F.col("pay_order_count") + 1, "pay_actual_total": (F.col("pay_actual_total") + 1).cast(MONEY),
+    })
+
+
 def _today(t: RetailTables) -> DataFrame:
-    return merchant.paid_by_day(t.orders.filter(inside("pay_time", cal.whole_day(DAY))))
+    return _restated(merchant.paid_by_day(t.orders.filter(inside("pay_time", cal.whole_day(DAY)))))
+
+
+def _published(old: DataFrame, by: list[str], *slices: tuple[DataFrame, Column]) -> DataFrame:
+    """A table of ``old`` rows, partitioned ``by``, after each slice of new rows was published into it."""
+    spark = old.sparkSession
+    table = f"published_{os.urandom(6).hex()}"
+    old.write.partitionBy(*by).option("path", f"{_work_dir(spark)}/{table}").saveAsTable(table)
+    for new, gone in slices:
+        publish(new, table, gone)
+    return spark.table(table)
 
 
 @query("replace_stat_date")
 def _(t):
-    return rules.replace_stat_date(_history(t), _today(t), DAY)
+    return _published(_history(t), ["stat_date"], (_today(t), rules.stat_date_slice(DAY)))
 
 
 @query("keep_only_new")
 def _(t):
-    return rules.keep_only_new(_history(t), _today(t))
+    return _published(_history(t), ["stat_date"], (_today(t), rules.keep_only_new_slice()))
 
 
 @query("rolling_month")
 def _(t):
-    return rules.rolling_month(_history(t, 20), _today(t), DAY)
+    return _published(_history(t, 20), ["stat_date"], (_today(t), rules.rolling_month_slice(DAY)))
 
 
 @query("rolling_two_days")
 def _(t):
-    return rules.rolling_two_days(_history(t), _today(t), DAY, datetime(2024, 1, 30, 1, 5))
+    return _published(_history(t), ["stat_date"], (_today(t), rules.rolling_two_days_slice(DAY, datetime(2024, 1, 30, 1, 5))))
 
 
 def _period_rows(t: RetailTables, windows) -> DataFrame:
@@ -424,25 +449,26 @@ def _(t):
     earlier = [
         cal.period_to_date(datetime(2024, 1, d), p) for d in (23, 28, 29, 30) for p in ("day", "week", "month")
     ]
-    rows = _period_rows(t, earlier)
+    slices = []
     for p, number in (("day", 1), ("week", 2), ("month", 3)):
         w = cal.period_to_date(TODAY, p)
-        rows = rules.replace_period(rows, _period_rows(t, [w]), DAY, w.tag, number)
-    return rows.drop("time_period")
+        slices.append((_restated(_period_rows(t, [w]).drop("time_period")), rules.period_slice(DAY, w.tag, number)))
+    return _published(_period_rows(t, earlier).drop("time_period"), ["time_type", "date_time", "stat_date"], *slices)
 
 
 @query("replace_time_period")
 def _(t):
     rows = _period_rows(t, [w for d in (29, 30) for w in cal.standard_windows(datetime(2024, 1, d))])
-    for w in SPANS["all"]:
-        rows = rules.replace_time_period(rows, _period_rows(t, [w]), w.stat_date, w.tag)
-    return rows.drop("date_time")
+    slices = [
+        (_restated(_period_rows(t, [w]).drop("date_time")), rules.time_period_slice(w.stat_date, w.tag)) for w in SPANS["all"]
+    ]
+    return _published(rows.drop("date_time"), ["time_period", "stat_date"], *slices)
 
 
 @query("replace_all_or_month")
 def _(t):
     w = cal.month_window(AS_OF)
-    return rules.replace_all_or_month(_history(t, 20), _today(t), w.tag)
+    return _published(_history(t, 20), ["stat_date"], (_today(t), rules.all_or_month_slice(w.tag)))
 
 
 @query("replace_current_day")
@@ -450,7 +476,7 @@ def _(t):
     def by_day(rows):
         return rows.withColumnRenamed("stat_date", "current_day")
 
-    return rules.replace_current_day(by_day(_history(t)), by_day(_today(t)), DAY)
+    return _published(by_day(_history(t)), ["current_day"], (by_day(_today(t)), rules.current_day_slice(DAY)))
 
 
 @query("assert_unique_key")
@@ -464,11 +490,6 @@ def _(t):
 # --- streams ------------------------------------------------------------------------------------------------------
 
 
-def _work_dir(spark: SparkSession) -> str:
-    """Fresh folder for a streaming run, below the shared folder where the cluster names one."""
-    return os.path.join(work_folder(spark), f"stallmetrics-{spark.sparkContext.applicationId}-{os.urandom(6).hex()}")
-
-
 def _hourly_stream(spark: SparkSession, folder: str) -> DataFrame:
     work = _work_dir(spark)
     columns = ["order_id", "shop_id", "is_paid", "pay_time", "actual_total"]
