@@ -35,7 +35,7 @@ from stallmetrics.llm.shared import bit_set, bit_tables, mixed, rows_of, settle
 
 #: Words of a shard, about: a shard ends with the text that reaches it. The larger, the fewer times a phrase is counted by several
 #: shards; a task holds about 60 bytes for each word of one.
-SHARD_WORDS = 6 << 20
+SHARD_WORDS = 3 << 20
 #: A phrase is kept from this many occurrences in its language, and is at most so many words long.
 MIN_COUNT, LONGEST = 30, 4
 #: A phrase goes when a longer one has at least so many hundredths of its occurrences.
