@@ -16,15 +16,19 @@ SQL["exposure_visitors_by_shop"] = q(f"SELECT shop_id, count(DISTINCT cid) AS vi
 SQL["share_visits_by_shop"] = q(f"SELECT shop_id, count(*) AS share_visit FROM {_SEEN} AND shared GROUP BY 1")
 SQL["latest_product"] = q(f"{_CARDS} SELECT * FROM cards")
 SQL["latest_product_by_product"] = q(f"{_PCARDS} SELECT * FROM cards")
+# whole snapshot; the increment renames, revives deleted products, and adds new ids
 SQL["merge_snapshot_increment"] = q(f"""
 b AS (
-  SELECT *, 1 AS src FROM prd WHERE status > -1 AND update_time < TIMESTAMP '1998-01-01 00:00:00'
-  UNION ALL SELECT *, 2 FROM prd WHERE status > -1 AND dt = DATE '{DAY}')
+  SELECT prod_id, shop_id, prod_name, price, supplier_price, status, pic, update_time, 1 AS src FROM prd WHERE status > -1
+  UNION ALL SELECT prod_id, shop_id, 'new ' || prod_name, price, supplier_price, CASE status WHEN -1 THEN 1 ELSE status END, pic, update_time, 2
+  FROM prd WHERE dt = DATE '{DAY}'
+  UNION ALL SELECT prod_id + 10000000, shop_id, prod_name, price, supplier_price, status, pic, update_time, 2
+  FROM prd WHERE status > -1 AND dt = DATE '{DAY}')
 SELECT prod_id, shop_id, prod_name, price, supplier_price, status, pic FROM b
 QUALIFY row_number() OVER (PARTITION BY prod_id ORDER BY src, update_time DESC, shop_id DESC, supplier_price DESC) = 1
 """)
 SQL["merge_snapshot_increment_shops"] = q("""
-SELECT shop_id, CASE WHEN shop_id % 2 = 0 THEN shop_name ELSE 'new ' || shop_name END AS shop_name FROM shp
+SELECT shop_id, shop_name FROM shp UNION ALL SELECT shop_id + 1000000, shop_name FROM shp
 """)
 SQL["one_name_per_shop"] = q("""
 SELECT shop_id, CASE WHEN shop_id % 3 = 1 THEN 'A ' || shop_name ELSE shop_name END AS shop_name FROM shp

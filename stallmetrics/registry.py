@@ -19,7 +19,8 @@ from stallmetrics.plans import analysis, labels_expand, merchant, overview, refu
 from stallmetrics.session import remove_folder, work_folder
 from stallmetrics.sinks import rules
 from stallmetrics.sinks.writers import publish
-from stallmetrics.sources import schemas
+from stallmetrics.sources import Marketplace, schemas
+from stallmetrics.sources.raw_binding import RawRetail
 from stallmetrics.sources.retail_binding import RetailTables
 from stallmetrics.streaming import hourly
 
@@ -198,18 +199,6 @@ def _(t):
     return catalog.latest_product(t.products, ["prod_id"])
 
 
-@query("merge_snapshot_increment")
-def _(t):
-    older = t.products.filter(F.col("update_time") < F.lit("1998-01-01").cast("timestamp"))
-    return catalog.merged_products(older, t.products, DAY)
-
-
-@query("merge_snapshot_increment_shops")
-def _(t):
-    renamed = t.shops.withColumn("shop_name", F.concat(F.lit("new "), "shop_name"))
-    return catalog.merged_shops(t.shops.filter(F.col("shop_id") % 2 == 0), renamed, DAY)
-
-
 @query("one_name_per_shop")
 def _(t):
     second = t.shops.withColumn(
@@ -487,6 +476,59 @@ def _(t):
     return rules.duplicate_keys(rows)
 
 
+# --- through the raw layer ----------------------------------------------------------------------------------------
+# The same reports over text tables: every cast, spelling and renaming of the raw layer lies between the data and the result.
+
+
+def raw_query(name: str, changed: bool = False) -> Callable[[Callable[[Marketplace], DataFrame]], Callable]:
+    def add(build: Callable[[Marketplace], DataFrame]) -> Callable:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            raw = RawRetail(spark, folder)
+            return build(Marketplace.from_raw(raw.changed if changed else raw.read))
+
+        QUERIES[name] = run
+        return build
+
+    return add
+
+
+@raw_query("merge_snapshot_increment", changed=True)
+def _(m):
+    return catalog.merged_products(m.products, m.products_inc, DAY)
+
+
+@raw_query("merge_snapshot_increment_shops", changed=True)
+def _(m):
+    return catalog.merged_shops(m.shops, m.shops_inc, DAY)
+
+
+RAW_REPORTS: dict[str, Callable[[Marketplace], DataFrame]] = {
+    "merchant_paid_yesterday": lambda m: merchant.paid_by_shop(m.orders, DAY),
+    "merchant_hourly_gmv": lambda m: merchant.hourly_gmv(m.orders_inc, TODAY),
+    "merchant_daily_order_pay": lambda m: merchant.daily_order_pay(m.orders, m.refunds, TODAY),
+    "merchant_comprehensive_all": lambda m: merchant.comprehensive(m.orders, m.items, m.refunds, PERIODS["all"]),
+    "merchant_refund_stats": lambda m: merchant.refund_stats(m.orders, m.refunds, TODAY),
+    "refund_product_rank": lambda m: refund_ranks.product_rank(m.refunds, m.orders, m.items, m.products, TODAY),
+    "refund_reason_rank": lambda m: refund_ranks.reason_rank(m.refunds, m.orders, m.items, m.products, TODAY),
+    "product_overview_period_all": lambda m: overview.period_overview(m.orders, m.items, m.products, m.app_log, SPANS["all"]),
+    "product_overview_daily_intraday": lambda m: overview.intraday_overview(
+        m.orders_inc, m.items_inc, m.products_inc, m.app_log, cal.intraday_window(TODAY)),
+    "product_sales_rank_30": lambda m: sales.sales_rank(m.items, m.orders, m.products, m.shops, SPANS["30"]),
+    "product_visitor_conversion_30": lambda m: sales.visitor_conversion(m.app_log, m.items, m.orders, m.products, m.shops, SPANS["30"]),
+    "merchant_product_analysis_all": lambda m: analysis.merchant_analysis(
+        m.products, m.shops, m.app_log, m.orders, m.items, m.refunds, SPANS["all"]),
+    "merchant_product_analysis_today": lambda m: analysis.merchant_analysis_today(
+        m.products, m.shops, m.app_log, m.orders_inc, m.items_inc, m.refunds_inc, m.products_inc, DAY),
+    "platform_product_analysis_all": lambda m: analysis.platform_analysis(
+        m.products, m.shops, m.app_log, m.orders, m.items, m.refunds, SPANS["all"]),
+    "platform_product_analysis_today": lambda m: analysis.platform_analysis_today(
+        m.products, m.products_inc, m.shops, m.shops_inc, m.app_log, m.orders_inc, m.items_inc, m.refunds_inc, cal.intraday_window(TODAY)),
+    "app_log_label_expand": lambda m: labels_expand.expand_label(m.app_log, DAY, schema=schemas.LABEL),
+}
+for _name, _build in RAW_REPORTS.items():
+    raw_query(f"raw_{_name}")(_build)
+
+
 # --- streams ------------------------------------------------------------------------------------------------------
 
 
