@@ -5,13 +5,14 @@ A budget of tokens goes down the tree. Children share their parent's budget by w
 gets more than its subtree can use, so a shortage only reaches an ancestor when the siblings are full. This is solved for
 all parents of a level at once, by running sums over children in order of capacity per weight, in whole numbers.
 
-A leaf repeats whole epochs and takes a prefix of the last one: its documents in order of a seeded hash (another order in
-each epoch), as long as their tokens fit. The prefix is found in two steps, sums of hash ranges first and then the documents of
-the one range in which the budget ends, so that a leaf with a third of all rows is never sorted as a whole, and it is kept
-as one cut value a leaf: documents are selected where they are read.
+A leaf repeats whole epochs and takes a prefix of the last one: its documents in order of a seeded hash of id and text (another
+order in each epoch), as long as their tokens fit. The prefix is found in two steps, sums of hash ranges first and then the documents
+of the one range in which the budget ends, so that a leaf with a third of all rows is never sorted as a whole; the larger the
+largest leaf, the more ranges. Documents of equal id and text follow each other by their other columns; of rows that are equal
+in everything, as many are taken as fit. So a leaf misses its budget by less than one document, whatever its ids are.
 
 Defined cases: a null text has no tokens; a null level is a child of its own; a null id hashes like an empty one. Nodes without
-a given weight weigh 1, a weight of 0 gives nothing. Budgets are rounded down. Documents with equal id share their fate.
+a given weight weigh 1, a weight of 0 gives nothing. Budgets are rounded down.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ WEIGHTS = {"domain": {"domain0": 5, "domain1": 3, "domain2": 2}, "language": {"e
 #: Share of all tokens that is the budget, in hundredths, and the epochs a leaf may run.
 BUDGET_SHARE, EPOCHS = 70, 2
 SEED = 17
-#: Bits of the hash that number a range.
-RANGE_BITS = 12
-WIDE = "decimal(38,0)"
+#: Documents of one range of hashes, about: what one task sorts.
+RANGE_ROWS = 65_536
+HASH_BITS = 60
 
 
 def tokens(text: Column) -> Column:
@@ -49,8 +50,8 @@ def tree_of(lang: Column, source: Column) -> dict[str, Column]:
     }
 
 
-def _order(epoch: Column, key: Column, seed: int) -> Column:
-    return hash_bits(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), F.coalesce(key.cast("string"), F.lit(""))))
+def _order(epoch: Column, seed: int) -> Column:
+    return hash_bits(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("key").cast("string"), F.lit("")), "digest"))
 
 
 def _weight(level: str, weights: Mapping[str, Mapping[str, int]]) -> Column:
@@ -84,9 +85,8 @@ def share_out(children: DataFrame, parent: Sequence[str], name: str) -> DataFram
 
 def leaf_budgets(leaves: DataFrame, weights: Mapping[str, Mapping[str, int]], budget_share: int, epochs: int) -> DataFrame:
     """Per leaf (the levels, ``tokens``): the tokens it is to give, ``budget``."""
-    able = leaves.withColumn("able", F.col("tokens") * epochs)
-    root = F.least(F.floor(F.sum("tokens").over(Window.partitionBy(F.lit(0))).cast(WIDE) * budget_share / 100).cast("long"), F.sum("able").over(Window.partitionBy(F.lit(0))))
-    nodes = able.withColumn("budget", root)
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    nodes = leaves.withColumn("able", F.col("tokens") * epochs).withColumn("budget", F.lit(min(total * budget_share // 100, total * epochs)).cast("long"))
     for depth, level in enumerate(LEVELS):
         parent, path = LEVELS[:depth], LEVELS[: depth + 1]
         children = nodes.groupBy(*path).agg(F.sum("able").alias("able"), F.min("budget").alias("budget")).withColumn("weight", _weight(level, weights))
@@ -100,21 +100,26 @@ def mixture(
     budget_share: int = BUDGET_SHARE, epochs: int = EPOCHS, seed: int = SEED,
 ) -> DataFrame:
     """A row for each document and epoch selected: ``row`` (the document), the levels, ``n_tokens`` and ``epoch``."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c.lower() != text.lower()]
+    levels = list(LEVELS)
     rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(key).alias("key"), tokens(F.col(text)).alias("n_tokens"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"), F.xxhash64(F.to_json(F.struct(*others))).alias("of_row"),
         *[tree[level].alias(level) for level in LEVELS],
     )
-    narrow = rows.select("key", "n_tokens", *LEVELS)
-    leaves = settle(narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")))
+    narrow = rows.drop("row")
+    leaves = settle(narrow.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("documents")))
+    most = leaves.agg(F.max("documents")).first()[0] or 0
+    shift = HASH_BITS - min(40, (most // RANGE_ROWS).bit_length())
     # leaves of one tree: as many as combinations of the levels, not as documents
     budgets = settle(
-        leaf_budgets(leaves, weights, budget_share, epochs).withColumn("whole", F.expr("CASE WHEN tokens > 0 THEN budget div tokens ELSE 0L END"))
+        leaf_budgets(leaves.drop("documents"), weights, budget_share, epochs)
+        .withColumn("whole", F.expr("CASE WHEN tokens > 0 THEN budget div tokens ELSE 0L END"))
         .withColumn("left", F.expr("budget - whole * tokens"))
     )
-    levels = list(LEVELS)
     last = (
         narrow.join(budgets.where("left > 0").select(*levels, "whole", "left"), levels)
-        .withColumn("hash", _order(F.col("whole"), F.col("key"), seed)).withColumn("range", F.shiftright("hash", 60 - RANGE_BITS))
+        .withColumn("hash", _order(F.col("whole"), seed)).withColumn("range", F.shiftright("hash", shift))
     )
     ranges = last.groupBy(*levels, "left", "range").agg(F.sum("n_tokens").alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*levels).orderBy("range"))
@@ -123,19 +128,24 @@ def mixture(
         ranges.withColumn("upto", upto).where("upto > left").groupBy(*levels)
         .agg(F.min(F.struct("range", F.expr("left - (upto - n)").alias("room"))).alias("end")).select(*levels, "end.range", "end.room")
     )
-    inside = last.join(ends, [*levels, "range"])
-    run = F.sum("n_tokens").over(Window.partitionBy(*levels).orderBy("hash"))
-    cut = inside.withColumn("run", run).where("run <= room").groupBy(*levels).agg(F.max("hash").alias("cut"))
-    cuts = settle(
-        budgets.select(*levels, "whole").join(ends.select(*levels, "range"), levels, "left").join(cut, levels, "left")
-        # without a document that fits inside the last range, the cut lies just below the range
-        .select(*levels, "whole", F.coalesce("cut", F.shiftleft(F.col("range").cast("long"), 60 - RANGE_BITS) - 1).alias("cut"))
-    )
+    # in it, the first rows that no longer fit, equal ones as one, and how many of them do
+    equal = last.join(ends, [*levels, "range"]).groupBy(*levels, "room", "hash", "of_row").agg(
+        F.first("n_tokens").alias("each"), F.sum("n_tokens").alias("n"))
+    run = F.sum("n").over(Window.partitionBy(*levels).orderBy("hash", "of_row"))
+    cuts = equal.withColumn("run", run).where("run > room").groupBy(*levels).agg(
+        F.min(F.struct("hash", "of_row", F.expr("CASE WHEN each > 0 THEN (room - (run - n)) div each ELSE 0L END").alias("fit"))).alias("cut"))
+    cuts = settle(budgets.select(*levels, "whole").join(cuts, levels, "left"))
+    placed = rows.join(cuts, levels).withColumn("hash", _order(F.col("whole"), seed))
+    before = (F.col("hash") < F.col("cut.hash")) | ((F.col("hash") == F.col("cut.hash")) & (F.col("of_row") < F.col("cut.of_row")))
     chosen = F.concat(
         F.when(F.col("whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).otherwise(F.array().cast("array<bigint>")),
-        F.when(_order(F.col("whole"), F.col("key"), seed) <= F.col("cut"), F.array("whole")).otherwise(F.array().cast("array<bigint>")),
+        F.when(before, F.array("whole")).otherwise(F.array().cast("array<bigint>")),
     )
-    return rows.join(cuts, levels).select("row", *levels, "n_tokens", F.explode(chosen).alias("epoch"))
+    kept = placed.select("row", *levels, "n_tokens", F.explode(chosen).alias("epoch"))
+    at_cut = placed.where("cut.fit > 0 AND hash = cut.hash AND of_row = cut.of_row").groupBy(*levels, "whole", "cut.fit").agg(
+        F.first("row").alias("row"), F.first("n_tokens").alias("n_tokens"))
+    copies = at_cut.select("row", *levels, "n_tokens", F.col("whole").alias("epoch"), F.explode(F.sequence(F.lit(1).cast("long"), "fit")))
+    return kept.unionByName(copies.drop("col"))
 
 
 def mixing_report(documents: DataFrame) -> DataFrame:
@@ -166,14 +176,14 @@ given{depth} AS (SELECT {path}, CAST(CASE WHEN full_ THEN c ELSE (w * (b - cu))
 
 ORACLE = f"""
 WITH d AS (
-  SELECT doc_id, (coalesce(strlen(text), 0) + 3) // 4 AS n_tokens, coalesce(lang, '') AS language, coalesce(source, '') AS origin,
+  SELECT doc_id, md5(coalesce(text, '')) AS digest, (coalesce(strlen(text), 0) + 3) // 4 AS n_tokens, coalesce(lang, '') AS language, coalesce(source, '') AS origin,
     'domain' || CAST(coalesce(TRY_CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT), 0) % 3 AS VARCHAR) AS domain FROM documents),
 leaves AS (SELECT domain, language, origin, sum(n_tokens) AS t FROM d GROUP BY ALL),
 root AS (SELECT least(sum(t) * {BUDGET_SHARE} // 100, sum(t) * {EPOCHS}) AS b FROM leaves),
 {"".join(_sql_level(i) for i in range(3))}
 l AS (SELECT leaves.*, CASE WHEN t > 0 THEN given // t ELSE 0 END AS whole, CASE WHEN t > 0 THEN given - given // t * t ELSE 0 END AS room
   FROM leaves JOIN given2 USING (domain, language, origin)),
-h AS (SELECT d.*, whole, room, CAST('0x' || substr(md5('{SEED}-' || CAST(whole AS VARCHAR) || '-' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+h AS (SELECT d.*, whole, room, CAST('0x' || substr(md5('{SEED}-' || CAST(whole AS VARCHAR) || '-' || coalesce(CAST(doc_id AS VARCHAR), '') || '-' || digest), 1, 15) AS BIGINT) AS hash
   FROM d JOIN l USING (domain, language, origin)),
 s AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, language, origin ORDER BY hash) AS run FROM h)
 SELECT doc_id, epoch, domain, language, origin, n_tokens FROM (

@@ -364,6 +364,21 @@ def test_budgets_fill_siblings_first(spark):
     assert abs((given["a"] + given["b"]) / given["c"] - 3) < 0.02  # the sibling took what a lacked
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "equal rows"])
+@pytest.mark.parametrize("share", [10, 30, 50, 80, 130])
+def test_a_third_of_equal_ids_still_meets_the_budget(spark, ids, share):
+    number, third = F.col("id"), F.col("id") % 3 == 0
+    docs = spark.range(0, 3000, 1, 7).select(
+        F.when(third, F.lit(None if ids == "null" else 5).cast("long")).otherwise(number + 10).alias("doc_id"),
+        F.concat(F.rpad(F.lit("word"), 92, "x"), F.when(third & F.lit(ids == "equal rows"), "-------").otherwise(F.lpad(number.cast("string"), 7, "0"))).alias("text"),
+        F.lit("en").alias("lang"), F.lit("src0").alias("source"), F.when(F.lit(ids == "equal rows"), 1).otherwise(number).alias("n_chars"),
+    )
+    rows = mixing.mixture(docs, mixing.tree_of(F.col("lang"), F.col("source")), budget_share=share, epochs=2).collect()
+    given, budget = sum(r.n_tokens for r in rows), 3000 * 25 * share // 100
+    assert budget - 25 < given <= budget
+    assert max(r.epoch for r in rows) == (1 if share > 100 else 0)
+
+
 def test_mixture_of_awkward_documents(spark):
     docs = documents(spark)
     rows = mixing.mixture(docs, mixing.tree_of(F.col("lang"), F.col("source")), budget_share=150, epochs=2).collect()
