@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import bit_set, bit_tables, mixed, rows_of, settle
+from stallmetrics.llm.shared import bit_set, mixed, rows_of, settle
 
 #: Words of a shard, about: a shard ends with the text that reaches it. The larger, the fewer times a phrase is counted by several
 #: shards; a task holds about 60 bytes for each word of one.
@@ -66,14 +66,24 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(BYTES).replace(_MARK, _APART).split()
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    return zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+def _packed(numbers: np.ndarray, level: int = 6) -> bytes:
+    """32-bit numbers, their lowest bytes first and their highest last, compressed."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), level)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int32)
 
 
+def _steps(sorted_numbers: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as steps from one to the next, which take fewer bytes."""
+    return _packed(np.diff(sorted_numbers, prepend=np.uint32(0)), 1)
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data).view(np.uint32), dtype=np.uint32)
+
+
 def word_before(text: np.ndarray, depth: int) -> np.ndarray:
     """The word before every row of the index of ``text``: its Burrows-Wheeler transform, rows sorted by ``depth`` words."""
     rank, width = text.astype(np.int32), 1
@@ -167,7 +177,7 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) ->
                 yield pa.RecordBatch.from_pydict({
                     "lang": pa.array([lang]), "n": pa.array([int(many.sum())], pa.int64()),
                     **{name: pa.array([value], pa.binary()) for name, value in {
-                        "words": zlib.compress(b"\n".join(vocabulary), 1), "many": _packed(many),
+                        "words": zlib.compress(b"\n".join(vocabulary)), "many": _packed(many),
                         "forward": _packed(word_before(ids, longest)), "backward": _packed(word_before(ids[::-1], longest)),
                     }.items()},
                 })
@@ -193,14 +203,19 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) ->
     return read.mapInArrow(build, "lang string, n long, words binary, many binary, forward binary, backward binary")
 
 
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of a language's words."""
+    key = hashlib.blake2b(lang.encode(), digest_size=32).digest()
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8, key=key).digest() for w in words), np.uint64)
+
+
 class _Shard:
     """A shard as a task reads it: its words and their hashes, and its phrases length by length."""
 
     def __init__(self, row: dict):
         self.lang, self.row = row["lang"], row
         self.words = zlib.decompress(row["words"]).split(b"\n")
-        key = hashlib.blake2b(self.lang.encode(), digest_size=32).digest()
-        self.hashes = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8, key=key).digest() for w in self.words), np.uint64)
+        self.hashes = word_hashes(self.lang, self.words)
 
     def phrases(self, longest: int, tables: list[np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Ids, hashes and counts of the phrases of 1, 2, … words of which all parts, and themselves where there is a table, pass."""
@@ -227,6 +242,45 @@ def _shards_of(batches) -> Iterator[_Shard]:
             yield _Shard(batch.slice(i, 1).to_pylist()[0])
 
 
+_BLOCKS = "block int, once binary, more binary, counts binary"
+
+
+def _blocks(found: np.ndarray, many: np.ndarray, top: int) -> pa.RecordBatch:
+    """Distinct hashes and their counts by block (the hash's first ``top`` bits): of each the next 32 bits, those met once apart."""
+    order = np.argsort(found)
+    found, many = found[order], many[order].astype(np.uint32)
+    short = ((found << np.uint64(top)) >> np.uint64(32)).astype(np.uint32)
+    edges = np.arange(1, 1 << top, dtype=np.uint64) << np.uint64(64 - top) if top else np.zeros(0, np.uint64)
+    cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
+    used, once = np.flatnonzero(np.diff(cuts)), many == 1
+    parts = [(short[a:b], once[a:b], many[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
+    columns = [_steps(h[o]) for h, o, _ in parts], [_steps(h[~o]) for h, o, _ in parts], [_packed(n[~o], 1) for _, o, n in parts]
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["block", "once", "more", "counts"])
+
+
+def _table(packed: DataFrame, least: int, bits: int, top: int) -> np.ndarray:
+    """A bit for every beginning of ``bits`` bits of a hash: one hash that starts so was counted ``least`` times, over all tasks."""
+
+    def add_up(pdf):
+        import pandas as pd
+
+        once, more = (np.concatenate([_from_steps(x) for x in pdf[c]]) for c in ("once", "more"))
+        key = np.concatenate((once, more))
+        count = np.concatenate((np.ones(len(once), np.int64), *[_unpacked(x) for x in pdf["counts"]]))
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        held = np.zeros(1 << (bits - top), bool)
+        held[(key[new] >> np.uint32(32 - (bits - top)))[np.add.reduceat(count, new) >= least]] = True
+        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "part": [np.packbits(held).tobytes()]})
+
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for row in packed.groupBy("block").applyInPandas(add_up, "block int, part binary").collect():  # the table, cut by block
+        part = np.frombuffer(row.part, np.uint8)
+        table[row.block * len(part) : (row.block + 1) * len(part)] = part
+    return table
+
+
 def _frequent_hashes(held: DataFrame, width: int, tables: list[np.ndarray], bits: int, top: int, min_count: int) -> np.ndarray:
     """The table of frequent hashes of phrases of ``width`` words, given those of shorter ones."""
     sent = held.sparkSession.sparkContext.broadcast(tables)
@@ -235,44 +289,47 @@ def _frequent_hashes(held: DataFrame, width: int, tables: list[np.ndarray], bits
         for shard in _shards_of(batches):
             *_, (grams, found, many) = shard.phrases(width, sent.value, bits)
             if len(grams) and grams.shape[1] == width:
-                order = np.argsort(found)
-                found, many = found[order], many[order].astype(np.uint32)
-                short = ((found << np.uint64(top)) >> np.uint64(32)).astype(np.uint32)
-                edges = np.arange(1, 1 << top, dtype=np.uint64) << np.uint64(64 - top) if top else np.zeros(0, np.uint64)
-                cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
-                used, once = np.flatnonzero(np.diff(cuts)), many == 1
-                parts = [(short[a:b], once[a:b], many[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(used, pa.int32()), *[pa.array(x, pa.binary()) for x in (
-                        [h[o].tobytes() for h, o, _ in parts], [h[~o].tobytes() for h, o, _ in parts], [n[~o].tobytes() for _, o, n in parts])],
-                ], ["block", "once", "more", "counts"])
-
-    packed = held.mapInArrow(count, "block int, once binary, more binary, counts binary").withColumn("top", F.lit(top))
-    (table,) = bit_tables(packed, (min_count,), bits)
+                yield _blocks(found, many, top)
+
+    table = _table(held.mapInArrow(count, _BLOCKS), min_count, bits, top)
     sent.destroy()
     return table
 
 
-def _named(held: DataFrame, longest: int, tables: list[np.ndarray], bits: int) -> DataFrame:
-    """``lang, phrase, width, n`` by shard, of the phrases that pass the tables."""
+def _words_of(phrases: DataFrame, bits: int, top: int) -> np.ndarray:
+    """The table of the hashes of all words of ``phrases``."""
+
+    def words(batches):
+        for batch in batches:
+            of_lang = defaultdict(set)
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                of_lang[lang].update(phrase.split(b" "))
+            found = np.unique(np.concatenate([np.zeros(0, np.uint64), *[word_hashes(lang, sorted(w)) for lang, w in of_lang.items()]]))
+            if len(found):
+                yield _blocks(found, np.ones(len(found), np.uint32), top)
+
+    return _table(phrases.select("lang", "phrase").mapInArrow(words, _BLOCKS), 1, bits, top)
+
+
+def _named(held: DataFrame, widths: range, tables: list[np.ndarray], bits: int) -> DataFrame:
+    """``lang, phrase, n`` by shard, of the phrases of so many words that pass the tables."""
     sent = held.sparkSession.sparkContext.broadcast(tables)
 
     def name(batches):
         for shard in _shards_of(batches):
             words = pa.array(shard.words, pa.binary())
-            for grams, _, many in shard.phrases(longest, sent.value, bits):
-                columns = [words.take(pa.array(c)) for c in grams.T]
-                phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard.lang] * len(many), pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(many), grams.shape[1]), pa.int32()), pa.array(many, pa.int64())],
-                    ["lang", "phrase", "width", "n"],
-                )
+            for grams, _, many in shard.phrases(widths[-1], sent.value, bits):
+                if grams.shape[1] in widths:
+                    columns = [words.take(pa.array(c)) for c in grams.T]
+                    phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard.lang] * len(many), pa.string()), phrase.cast(pa.string()), pa.array(many, pa.int64())], ["lang", "phrase", "n"])
 
-    return held.mapInArrow(name, "lang string, phrase string, width int, n long")
+    return held.mapInArrow(name, "lang string, phrase string, n long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, phrase, width, f)`` of all phrases of 1 to ``longest`` words met ``min_count`` times, and ``(lang, n)``, all words."""
+    """``(lang, phrase, width, f)`` of phrases of 2 to ``longest`` words met ``min_count`` times and of their words, and ``(lang, n)``, all words."""
     held = settle(shards(docs, shard_words, longest))
     total = held.agg(F.sum("n")).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(total / WORDS_A_BIT + 1)), 16, MOST_BITS))
@@ -280,8 +337,14 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     tables: list[np.ndarray] = []
     for width in range(1, longest):
         tables.append(_frequent_hashes(held, width, tables, bits, top, min_count))
-    counts = _named(held, longest, tables, bits).groupBy("lang", "phrase", "width").agg(F.sum("n").alias("f"))
-    return settle(counts.where(F.col("f") >= min_count)), held.groupBy("lang").agg(F.sum("n").alias("n"))
+
+    def added_up(named: DataFrame) -> DataFrame:
+        sums = named.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+        return settle(sums.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("width"), "f"))
+
+    longer = added_up(_named(held, range(2, longest + 1), tables, bits))
+    words = added_up(_named(held, range(1, 2), [_words_of(longer, bits, top)], bits))
+    return longer.unionByName(words), held.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _words(first: Column | int, count: Column | int) -> Column:
