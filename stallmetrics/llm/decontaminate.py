@@ -13,15 +13,18 @@ one, the added one remains.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import ALNUM_LOWERED, by_position, rows_of, without
+from stallmetrics.llm.shared import ALNUM_LOWERED, by_position, drop_settled, rows_of, settle, without
 
-#: Bytes of benchmark text that are searched, and broadcast, at once.
-BLOCK_BYTES = 4_000_000
+#: Bytes of benchmark text in a block, and the blocks that are broadcast, and that a task holds, at once.
+BLOCK_BYTES, AT_ONCE = 4_000_000, 8
 #: Windows are searched in groups by their length in bytes, so that a short one does not shorten all jumps.
 LENGTH_GROUPS = (1, 6, 14, 28)
 #: Starting positions that one stretch of text covers.
@@ -169,40 +172,92 @@ def search(texts: list[bytes], blocks: list[Block]) -> tuple[np.ndarray, list[li
     return counts, spans, items
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, width: int) -> list[Block]:
-    """The benchmark in blocks of at most about ``BLOCK_BYTES``; a single longer item is a block of its own."""
-    rows = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).cast("binary").alias("text"))
-    blocks, ids, texts, size = [], [], [], 0
-    for row in rows.where("text is not null").toLocalIterator():
-        if texts and size + len(row.text) > BLOCK_BYTES:
-            blocks.append(Block(ids, texts, width))
-            ids, texts, size = [], [], 0
-        ids.append(row.id)
-        texts.append(bytes(row.text))
-        size += len(row.text)
-    return [*blocks, Block(ids, texts, width)] if texts else blocks
+def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, width: int) -> DataFrame:
+    """``(number, block)``: the benchmark in blocks of at most about ``BLOCK_BYTES``, built in tasks, ready to be searched.
+
+    A single longer item is a block of its own.
+    """
+    rows = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null")
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    def build(batches):
+        ids, held, many = [], [], 0
+
+        def block():
+            return pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(Block(ids, held, width))], pa.binary())], ["block"])
+
+        for batch, texts in rows_of(batches, "text"):
+            for key, found in zip(batch.column(0).to_pylist(), texts, strict=True):
+                if held and many + len(found) > BLOCK_BYTES:
+                    yield block()
+                    ids, held, many = [], [], 0
+                ids.append(key)
+                held.append(found)
+                many += len(found)
+        if held:
+            yield block()
+
+    blocks = rows.repartition(max(1, -(-size // BLOCK_BYTES))).mapInArrow(build, "block binary")
+    return settle(blocks.select(F.monotonically_increasing_id().alias("number"), "block"))
+
+
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges of words without overlaps, touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def find_leaks(
     documents: DataFrame, benchmark: DataFrame, *, width: int = 10, text: str = "text", item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """``documents`` with ``n_words``, ``hit_spans`` (ranges of word numbers, end exclusive) and ``items`` (ids as text)."""
+    """``documents`` with ``n_words``, ``hit_spans`` (ranges of word numbers, end exclusive) and ``items`` (ids as text).
+
+    A task holds ``AT_ONCE`` blocks. A benchmark of more blocks is searched in rounds, each over the settled rows of the one before.
+    """
     spark = documents.sparkSession
-    handles = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, item_id, item_text, width)]
-    source = without(documents, *ADDED)
+    blocks = benchmark_blocks(benchmark, item_id, item_text, width)
+    numbers = sorted(row.number for row in blocks.select("number").collect())  # a number for each block
+    out = without(documents, *ADDED)
+    columns = out.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+    schema = f"{fields}, n_words long, hit_spans array<struct<start:int,end:int>>, items array<string>"
+    rounds = [numbers[i : i + AT_ONCE] for i in range(0, len(numbers), AT_ONCE)] or [[]]
+    for turn, which in enumerate(rounds):
+        held = blocks.where(F.col("number").isin(which)).orderBy("number").collect() if which else []  # at most AT_ONCE blocks
+        sent = spark.sparkContext.broadcast([bytes(row.block) for row in held])
+        scanned = out.mapInArrow(_scan(sent, columns, text, turn > 0), schema)
+        if turn + 1 < len(rounds):
+            before, out = out, settle(scanned)
+            sent.destroy()
+            if turn:
+                drop_settled(before)
+    return scanned
+
+
+def _scan(sent, columns: list[str], text: str, again: bool):
+    """The search of the blocks that were ``sent``, added to what earlier rounds have found."""
+    names = [*columns, *ADDED]
 
     def scan(batches):
+        blocks = [pickle.loads(b) for b in sent.value]
         for batch, texts in rows_of(batches, text):
-            counts, spans, items = search(texts, [h.value for h in handles])
+            counts, spans, items = search(texts, blocks)
+            if again:
+                old = [[(s["start"], s["end"]) for s in x] for x in batch.column(names.index("hit_spans")).to_pylist()]
+                spans = [merged_spans(a + b) for a, b in zip(old, spans, strict=True)]
+                items = [sorted({*a, *b}) for a, b in zip(batch.column(names.index("items")).to_pylist(), items, strict=True)]
             spans = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], SPANS)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))],
-                [*batch.schema.names, *ADDED],
+                [*batch.columns[: len(columns)], pa.array(counts, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], names
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)
-    return source.mapInArrow(scan, f"{fields}, n_words long, hit_spans array<struct<start:int,end:int>>, items array<string>")
+    return scan
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

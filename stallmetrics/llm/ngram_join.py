@@ -10,6 +10,9 @@ Bounds by size come before every product: a row of which less than 75 % of the s
 nothing; rows of too different size do not meet; and the product of two rows runs over blocks of columns, stopping
 when the overlap so far plus the smaller block sizes to come cannot reach 75 % of the union.
 
+What is sent to be multiplied is sifted first: a row's shared columns dealt to ``CELLS`` cells by their hash, counted, bound its
+overlap with another row by the sum of the smaller counts, so most pairs that cannot link never send their columns.
+
 Copies are one row. Rows that share a column are first multiplied with the column's smallest row alone, its pivot, which
 joins most of a large group of near copies in linear work. The rows around one pivot that are not yet in its component
 are then multiplied, in tiles of bounded size, with each other and with the rest: a tile's overlap counts add up over blocks of
@@ -28,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import LOWERED, Words, bit_set, bit_tables, components, packed_slots, rows_of, settle, spanning, star_tiles
+from stallmetrics.llm.shared import (
+    LOWERED, Words, bit_set, bit_tables, components, drop_settled, packed_slots, rows_of, settle, spanning, star_tiles,
+)
 
 WIDTH = 5
 #: A link needs 100 * overlap >= SIMILARITY * union.
@@ -43,6 +48,8 @@ COLUMNS = 1_000_000
 STEPS = 8
 #: Rows and shingles of a tile, about, and the columns of one dense block of it.
 TILE_ROWS, TILE_SHINGLES, TILE_COLUMNS = 2048, 1_000_000, 1024
+#: Cells of a row's histogram, a byte each; a row with a fuller cell has none and is never sifted out.
+CELLS = 256
 
 
 def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
@@ -76,7 +83,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     def profile(batches):
         several, common = tables.value
         for batch, texts in rows_of(batches, "text"):
-            sizes, digests, first, shared = [], [], [], []
+            sizes, digests, first, shared, cells = [], [], [], [], []
             for grams in shingle_sets(texts, width):
                 n = len(grams)
                 met = grams[bit_set(several, grams, BITS)]
@@ -84,6 +91,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(n)
                 digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if links else None)
                 shared.append(met.view(np.int64) if links else [])
+                cells.append(histogram(met) if links else None)
                 if links:
                     many = bit_set(common, met, BITS)
                     ordered = np.concatenate((met[~many], met[many]))
@@ -92,12 +100,25 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                     first.append([])
             grams = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(first, grams), pa.array(shared, grams)],
-                ["id", "n", "digest", "first", "shared"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(first, grams), pa.array(shared, grams), pa.array(cells, pa.binary())],
+                ["id", "n", "digest", "first", "shared", "cells"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(profile, f"id {kind}, n long, digest binary, first array<long>, shared array<long>")
+    out = settle(docs.mapInArrow(profile, f"id {kind}, n long, digest binary, first array<long>, shared array<long>, cells binary"))
+    tables.destroy()
+    return out
+
+
+def histogram(hashes: np.ndarray) -> bytes | None:
+    """Counts of the hashes by cell, a byte each, or nothing where a byte is too small."""
+    counts = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return None if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The least overlap of linked rows of so many shingles."""
+    return -(-SIMILARITY * (n + m) // (100 + SIMILARITY))
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:
@@ -122,9 +143,24 @@ def overlap_reaches(x: np.ndarray, y: np.ndarray, n: int, m: int) -> bool:
 
 def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of the pairs ``(a, b)`` of nodes whose product reaches the similarity."""
+    kind = rows.schema["node"].dataType.simpleString()
+    small = rows.select("node", "n", "cells")
+
+    def sift(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            x, y = (batch.column(c).to_pylist() for c in ("xa", "xb"))
+            keep = np.array([p is None or q is None for p, q in zip(x, y, strict=True)], bool)
+            at = np.flatnonzero(~keep)
+            if len(at):
+                one, other = (np.frombuffer(b"".join(side[i] for i in at), np.uint8).reshape(-1, CELLS) for side in (x, y))
+                keep[at] = np.minimum(one, other).sum(axis=1, dtype=np.int64) >= _needed(n[at], m[at])
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    ends = [small.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("cells").alias(f"x{k}")) for k in ("a", "b")]
+    pairs = settle(pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(sift, f"a {kind}, b {kind}"))
     left = rows.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shared").alias("xa"))
     right = rows.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("xb"))
-    kind = rows.schema["node"].dataType.simpleString()
 
     def multiply(batches):
         for batch in batches:
@@ -136,7 +172,9 @@ def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(multiply, f"a {kind}, b {kind}"))
+    links = settle(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb").mapInArrow(multiply, f"a {kind}, b {kind}"))
+    drop_settled(pairs)
+    return links
 
 
 def tile_links(x: list[np.ndarray], y: list[np.ndarray], n: np.ndarray, m: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +217,27 @@ def tile_links(x: list[np.ndarray], y: list[np.ndarray], n: np.ndarray, m: np.nd
 def _star_links(stars: DataFrame, rows: DataFrame) -> DataFrame:
     """Links between rows around one pivot that lie in different components; ``stars`` has (pivot, node, root, own)."""
     sized = stars.join(rows.select("node", F.col("n").alias("size")), "node")
-    tiles = star_tiles(sized, TILE_ROWS, TILE_SHINGLES).join(rows.select("node", "n", "shared"), "node")
     kind = rows.schema["node"].dataType.simpleString()
+    meeting = ["pivot", "outer", "other", "inside"]
+    small = star_tiles(sized, TILE_ROWS, TILE_SHINGLES).join(rows.select("node", "n", "cells"), "node")
+
+    def sift(pdf):
+        sides = [np.flatnonzero(pdf["side"] == s) for s in (0, 1)]
+        if not pdf["inside"].iloc[0] and pdf["outer"].iloc[0] == pdf["other"].iloc[0]:
+            sides[1] = sides[0]
+        n, root = pdf["n"].to_numpy(), pdf["root"].to_numpy()
+        unbounded = np.array([c is None for c in pdf["cells"]], bool)
+        cells = np.frombuffer(b"".join(bytes(CELLS) if c is None else c for c in pdf["cells"]), np.uint8).reshape(-1, CELLS)
+        met = np.zeros(len(pdf), bool)
+        for i in sides[0]:
+            most = np.minimum(cells[i], cells[sides[1]]).sum(axis=1, dtype=np.int64)
+            good = (unbounded[i] | unbounded[sides[1]] | (most >= _needed(n[i], n[sides[1]]))) & (root[sides[1]] != root[i])
+            met[i] |= good.any()
+            met[sides[1][good]] = True
+        return pdf.loc[met, [*meeting, "side", "node", "root"]]
+
+    sifted = settle(small.groupBy(*meeting).applyInPandas(sift, f"pivot {kind}, outer int, other int, inside boolean, side int, node {kind}, root {kind}"))
+    tiles = sifted.join(rows.select("node", "n", "shared"), "node")
 
     def multiply(pdf):
         import pandas as pd
@@ -195,17 +252,18 @@ def _star_links(stars: DataFrame, rows: DataFrame) -> DataFrame:
         nodes = np.concatenate([s["node"].to_numpy() for s in sides])
         return pd.DataFrame({"a": nodes[i], "b": nodes[j]})
 
-    found = tiles.groupBy("pivot", "outer", "other", "inside").applyInPandas(multiply, f"a {kind}, b {kind}")
-    return settle(found.where("a <> b"))
+    found = settle(tiles.groupBy(*meeting).applyInPandas(multiply, f"a {kind}, b {kind}").where("a <> b"))
+    drop_settled(sifted)
+    return found
 
 
 def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable over links."""
     docs = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    profiles = settle(_profiles(docs, width))
+    profiles = _profiles(docs, width)
     rows = settle(
         profiles.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest")
-        .agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("shared").alias("shared"))
+        .agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("first").alias("first"), F.first("shared").alias("shared"), F.first("cells").alias("cells"))
     )
     entries = rows.select("node", "n", F.explode("first").alias("gram"))
     pivots = settle(
@@ -217,6 +275,7 @@ def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: st
         .select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
     )
     links = _links(near_pivot, rows)
+    drop_settled(near_pivot)
     roots = components(links)
     placed = entries.join(roots, "node", "left").select("gram", "node", "n", F.coalesce("root", "node").alias("root"))
     split = settle(
@@ -227,7 +286,9 @@ def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: st
     stars = settle(
         around.join(pivot_root, "pivot", "left").select("pivot", "node", "root", (F.col("root") == F.coalesce("of_pivot", "pivot")).alias("own"))
     )
-    roots = components(links.unionByName(_star_links(stars, rows)))
+    more = _star_links(stars, rows)
+    drop_settled(pivots, split, stars)
+    roots = components(links.unionByName(more))
     of_digest = settle(
         rows.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
     )
@@ -239,15 +300,15 @@ def jaccard_components(documents: DataFrame, *, doc_id: str = "doc_id", text: st
 def one_of_each(documents: DataFrame) -> DataFrame:
     """``documents`` without rows of which a near copy stays, each row judged by its own text.
 
-    Of every component of texts, told apart by 64-bit hashes, the row of the smallest id stays, nulls last, then that of the
+    Of every component of texts, told apart by 128-bit digests, the row of the smallest id stays, nulls last, then that of the
     smallest hash. Equal texts of one id are one document, whose rows stay or go together; of equal rows without id one stays.
     """
     columns = [F.col(f"`{c}`") for c in documents.columns]
     others = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "text"]
     rows = documents.select(
-        F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("of_text"), F.xxhash64(F.to_json(F.struct(*others))).alias("of_row")
+        F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.md5("text").alias("of_text"), F.xxhash64(F.to_json(F.struct(*others))).alias("of_row")
     )
-    texts = documents.select(F.xxhash64("text").alias("doc_id"), "text")
+    texts = documents.select(F.md5("text").alias("doc_id"), "text")
     groups = settle(jaccard_components(texts).where("n_shingles > 0").select(F.col("doc_id").alias("of_text"), F.col("component_id").alias("group")).distinct())
     # rows of an id and a text are one
     of_row = F.when(F.col("id").isNull(), F.col("of_row"))

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.shared import bit_set, mixed, rows_of, settle
+from stallmetrics.llm.shared import bit_set, mixed, packed_numbers, packed_steps, rows_of, settle, unpacked_numbers, unpacked_steps
 
 #: Words of a shard, about: a shard ends with the text that reaches it. The larger, the fewer times a phrase is counted by several
 #: shards; a task holds about 60 bytes for each word of one.
@@ -66,24 +66,6 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(BYTES).replace(_MARK, _APART).split()
 
 
-def _packed(numbers: np.ndarray, level: int = 6) -> bytes:
-    """32-bit numbers, their lowest bytes first and their highest last, compressed."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), level)
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int32)
-
-
-def _steps(sorted_numbers: np.ndarray) -> bytes:
-    """Ascending 32-bit numbers as steps from one to the next, which take fewer bytes."""
-    return _packed(np.diff(sorted_numbers, prepend=np.uint32(0)), 1)
-
-
-def _from_steps(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(data).view(np.uint32), dtype=np.uint32)
-
-
 def word_before(text: np.ndarray, depth: int) -> np.ndarray:
     """The word before every row of the index of ``text``: its Burrows-Wheeler transform, rows sorted by ``depth`` words."""
     rank, width = text.astype(np.int32), 1
@@ -177,8 +159,8 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) ->
                 yield pa.RecordBatch.from_pydict({
                     "lang": pa.array([lang]), "n": pa.array([int(many.sum())], pa.int64()),
                     **{name: pa.array([value], pa.binary()) for name, value in {
-                        "words": zlib.compress(b"\n".join(vocabulary)), "many": _packed(many),
-                        "forward": _packed(word_before(ids, longest)), "backward": _packed(word_before(ids[::-1], longest)),
+                        "words": zlib.compress(b"\n".join(vocabulary)), "many": packed_numbers(many, 6),
+                        "forward": packed_numbers(word_before(ids, longest), 6), "backward": packed_numbers(word_before(ids[::-1], longest), 6),
                     }.items()},
                 })
 
@@ -219,7 +201,7 @@ class _Shard:
 
     def phrases(self, longest: int, tables: list[np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Ids, hashes and counts of the phrases of 1, 2, … words of which all parts, and themselves where there is a table, pass."""
-        many = _unpacked(self.row["many"])
+        many = unpacked_numbers(self.row["many"])
         grams = np.flatnonzero(many)[:, None]
         found, count = self.hashes[grams[:, 0]], many[grams[:, 0]]
         index = None
@@ -230,7 +212,7 @@ class _Shard:
             yield grams, found, count
             if width == longest or not len(grams):
                 return
-            index = index or PhraseIndex(_unpacked(self.row["forward"]), _unpacked(self.row["backward"]))
+            index = index or PhraseIndex(*(unpacked_numbers(self.row[x]).view(np.int32) for x in ("forward", "backward")))
             first, last, count = index.longer(grams)
             grams = np.column_stack((grams[first], grams[last, -1]))
             found = mixed(found[first] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[grams[:, -1]])
@@ -254,7 +236,7 @@ def _blocks(found: np.ndarray, many: np.ndarray, top: int) -> pa.RecordBatch:
     cuts = np.concatenate(([0], np.searchsorted(found, edges), [len(found)]))
     used, once = np.flatnonzero(np.diff(cuts)), many == 1
     parts = [(short[a:b], once[a:b], many[a:b]) for a, b in zip(cuts[used], cuts[used + 1], strict=True)]
-    columns = [_steps(h[o]) for h, o, _ in parts], [_steps(h[~o]) for h, o, _ in parts], [_packed(n[~o], 1) for _, o, n in parts]
+    columns = [packed_steps(h[o]) for h, o, _ in parts], [packed_steps(h[~o]) for h, o, _ in parts], [packed_numbers(n[~o]) for _, o, n in parts]
     return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["block", "once", "more", "counts"])
 
 
@@ -264,9 +246,9 @@ def _table(packed: DataFrame, least: int, bits: int, top: int) -> np.ndarray:
     def add_up(pdf):
         import pandas as pd
 
-        once, more = (np.concatenate([_from_steps(x) for x in pdf[c]]) for c in ("once", "more"))
+        once, more = (np.concatenate([unpacked_steps(x) for x in pdf[c]]) for c in ("once", "more"))
         key = np.concatenate((once, more))
-        count = np.concatenate((np.ones(len(once), np.int64), *[_unpacked(x) for x in pdf["counts"]]))
+        count = np.concatenate((np.ones(len(once), np.int64), *[unpacked_numbers(x) for x in pdf["counts"]]))
         order = np.argsort(key)
         key, count = key[order], count[order]
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))

@@ -9,7 +9,7 @@ Votes are weighted so that the sample's labels count as often as among all learn
 
 Defined cases: a null text is an empty one; a text without terms, or without any similar neighbour, scores the share of
 label 1 among the rows learnt from (0.5 without such rows). Labels other than 0 and 1 and null ids teach nothing; of
-conflicting labels of an id the lower one counts. Of an input column named as an added one, the added one remains.
+conflicting labels of an id the lower one counts, of its texts the smallest. Of an input column named as an added one, the added one remains.
 """
 
 from __future__ import annotations
@@ -158,7 +158,9 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
     order = [F.xxhash64("doc_id", F.lit(SEED)), F.col("doc_id")]
     half = [known.where(F.col("label") == x).orderBy(*order).limit(sample // 2) for x in (0, 1)]
     chosen = settle(half[0].unionByName(half[1]))  # at most ``sample`` rows, so it may be broadcast
-    taught = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    # of texts of one id the smallest teaches
+    taught = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.min("label").alias("label")).select("doc_id", "text", "label")
 
     def sparse(batches):
         for batch, texts in rows_of(batches, "text", ROWS):
@@ -174,7 +176,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = taught.mapInArrow(sparse, f"doc_id {kind}, label int, terms binary, counts binary")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()  # at most ``sample`` rows of at most ``TERMS`` counts
+    rows = rows.orderBy("doc_id").collect()  # at most ``sample`` rows of at most ``TERMS`` counts
     counts = np.zeros((len(rows), TERMS), np.int64)
     for i, row in enumerate(rows):
         counts[i, np.frombuffer(row.terms, np.int32)] = np.frombuffer(row.counts, np.int32)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallmetrics.session import shared_dir
+from stallmetrics.session import remove_folder, shared_dir
 
 #: Bytes of text that one numpy step works on; a longer text is a step of its own.
 CHUNK_BYTES = 500_000
@@ -43,6 +44,32 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(*tables: DataFrame) -> None:
+    """Remove settled tables that nothing will read again."""
+    for table in tables:
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        if len(folders) == 1:
+            remove_folder(table.sparkSession, folders.pop())
+
+
+def packed_numbers(numbers: np.ndarray, level: int = 1) -> bytes:
+    """32-bit numbers, their lowest bytes first and their highest last, compressed."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), level)
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
+
+def packed_steps(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as steps from one to the next, which take fewer bytes."""
+    return packed_numbers(np.diff(ascending, prepend=np.uint32(0)))
+
+
+def unpacked_steps(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_numbers(data), dtype=np.uint32)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add, whatever their letter case."""
     taken = {n.lower() for n in names}
@@ -152,16 +179,18 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     )
     while not _are_stars(stars):
-        both = settle(stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = settle(
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
+        drop_settled(stars, least)
         least = settle(large.groupBy("u").agg(F.min("v").alias("m")))
         stars = settle(
             large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         )
+        drop_settled(large, least)
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
@@ -221,9 +250,9 @@ def packed_slots(df: DataFrame, hashes: Callable, tasks: float, bits: int) -> Da
             for b in np.flatnonzero(np.diff(cuts)):
                 part, once = short[cuts[b] : cuts[b + 1]], many[cuts[b] : cuts[b + 1]] == 1
                 rows["block"].append(int(b))
-                rows["once"].append(part[once].tobytes())
-                rows["more"].append(part[~once].tobytes())
-                rows["counts"].append(many[cuts[b] : cuts[b + 1]][~once].tobytes())
+                rows["once"].append(packed_steps(part[once]))
+                rows["more"].append(packed_steps(part[~once]))
+                rows["counts"].append(packed_numbers(many[cuts[b] : cuts[b + 1]][~once]))
             yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "block" else pa.binary()) for k, v in rows.items()})
 
     return df.mapInArrow(pack, "block int, once binary, more binary, counts binary").withColumn("top", F.lit(top))
@@ -236,9 +265,9 @@ def bit_tables(packed: DataFrame, least: tuple[int, ...], bits: int) -> list[np.
         import pandas as pd
 
         top = int(pdf["top"].iloc[0])
-        keys = [np.frombuffer(x, np.uint32) for column in ("once", "more") for x in pdf[column]]
-        counts = [np.ones(len(x) // 4, np.uint32) for x in pdf["once"]] + [np.frombuffer(x, np.uint32) for x in pdf["counts"]]
-        key, count = np.concatenate(keys), np.concatenate(counts)
+        once, more = ([unpacked_steps(x) for x in pdf[column]] for column in ("once", "more"))
+        key = np.concatenate(once + more)
+        count = np.concatenate([np.ones(len(x), np.uint32) for x in once] + [unpacked_numbers(x) for x in pdf["counts"]])
         order = np.argsort(key, kind="stable")
         key, count = key[order], count[order]
         new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))

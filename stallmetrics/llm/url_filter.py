@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.llm.shared import settle
 
-#: Listed keys at most: the bound on the size of a cascade, which travels with the query plan.
+#: Listed keys of one cascade at most; a longer list is dealt to several by the hash of its keys.
 MOST_KEYS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,19 +80,39 @@ class Cascade:
     """Exact membership of all keys of the universe that it was built over."""
 
     levels: tuple[Level, ...]
+    #: Cascades of a list too long for one, each for the keys whose hash falls to it.
+    parts: tuple[Cascade, ...] = ()
 
     def lists(self, key: Column) -> Column:
+        if self.parts:
+            part, listed = _part(key, len(self.parts)), F.lit(False)
+            for number, cascade in enumerate(self.parts):
+                listed = F.when(part == number, cascade.lists(key)).otherwise(listed)
+            return listed
         answer = F.lit(len(self.levels) % 2 == 1)  # held by all levels
         for number in range(len(self.levels) - 1, -1, -1):
             answer = F.when(self.levels[number].holds(key), answer).otherwise(F.lit(number % 2 == 1))
         return answer
 
 
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+
+
+def _falls_to(number: int, parts: int):
+    return lambda key: _part(key, parts) == number
+
+
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     """``listed``: distinct column ``key``; ``universe``: column ``keys``, an array for each row, with repeats."""
     n = listed.count()
     if n > MOST_KEYS:
-        raise ValueError(f"{n} listed keys; a cascade holds at most {MOST_KEYS}")
+        count = -(-2 * n // MOST_KEYS)  # half full on average, so that none is too long by chance
+        return Cascade((), tuple(
+            build_cascade(
+                listed.where(_part(F.col("key"), count) == i), universe.select(F.filter("keys", _falls_to(i, count)).alias("keys"))
+            ) for i in range(count)
+        ))
     if not n:
         return Cascade(())
     everything = universe.select(F.sum(F.size("keys"))).first()[0] or 0

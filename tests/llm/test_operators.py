@@ -29,6 +29,10 @@ def test_leaks_of_awkward_texts(spark):
     assert kept.columns == documents(spark).columns and {r.doc_id for r in kept.collect()} == {4, 5, 6, 7, None}
 
 
+def test_merged_spans():
+    assert decontaminate.merged_spans([(5, 7), (0, 2), (2, 3), (6, 9), (11, 12)]) == [(0, 3), (5, 9), (11, 12)]
+
+
 def test_filters_keep_columns_that_clash(spark):
     docs = spark.createDataFrame([(1, "a b c", 0.1, 5, "x"), (2, "leaked words here", 0.2, 6, None)], "doc_id long, text string, score double, n_words int, c0 string")
     bench = spark.createDataFrame([(1, "Leaked WORDS here")], "item_id long, text string")
@@ -52,6 +56,18 @@ def test_blocks_agree_with_one(spark, monkeypatch):
     assert sorted(map(str, whole)) == sorted(map(str, decontaminate.leak_report(documents(spark), bench).collect()))
 
 
+def test_rounds_of_blocks_agree_with_one(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, " ".join(f"token{j}" for j in range(i, i + 12))) for i in range(50)] + [(60, "Short ONE"), (61, LONG)], "item_id long, text string")
+    docs = documents(spark).withColumn("hit_spans", F.lit("x")).withColumn("block", F.lit(1))
+    whole = decontaminate.find_leaks(docs, bench)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 90)
+    monkeypatch.setattr(decontaminate, "AT_ONCE", 20)
+    assert decontaminate.benchmark_blocks(bench, "item_id", "text", 10).count() > 40
+    rounds = decontaminate.find_leaks(docs, bench)
+    assert rounds.dtypes == whole.dtypes and sorted(map(str, whole.collect())) == sorted(map(str, rounds.collect()))
+    assert whole.where("size(items) > 30").count()
+
+
 # --- 2 embeddings --------------------------------------------------------------------------------------------------
 
 
@@ -352,6 +368,34 @@ def test_votes_are_exact_neighbours_and_hold_out(spark):
     assert {r.score for r in none} == {0.5} and quality.quality_report(docs.limit(0), labels).count() == 0
 
 
+def test_votes_are_those_of_the_nearest(spark):
+    """Scores equal a plain loop over all labelled vectors."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    rows = docs.select("doc_id", "text").collect()
+    got = {r.doc_id: r.score for r in quality.score(docs.select("doc_id", "text"), model).collect()}
+    checked = 0
+    for row in rows[:80]:
+        vector = quality._unit(quality._weighted(quality.term_counts([row.text.encode()]), model.idf) @ model.axes)[0]
+        near = sorted(((sum(float(x) * float(y) for x, y in zip(v, vector, strict=True)), i) for i, v in enumerate(model.vectors)), reverse=True)
+        k = quality.NEIGHBOURS
+        if near[k - 1][0] - near[k][0] < 1e-5:
+            continue  # a tie: either may vote
+        votes = [(max(0.0, c) * model.weights[i], model.labels[i]) for c, i in near[:k]]
+        total = sum(w for w, _ in votes)
+        want = sum(w for w, label in votes if label == 1) / total if total else model.share
+        assert abs(got[row.doc_id] - want) < 1e-4, (row.doc_id, got[row.doc_id], want)
+        checked += 1
+    assert checked > 40
+
+
+def test_of_texts_of_one_id_the_smallest_teaches(spark):
+    docs = spark.createDataFrame([(i, t) for i in range(40) for t in (("good words here " * 9, "zz $$$ ### " * 9) if i % 2 else ("%%% !!! ### " * 9, "zzz"))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    models = [quality.fit(d, labels) for d in (docs, docs.orderBy(F.desc("text")).repartition(5))]
+    assert np.array_equal(models[0].vectors, models[1].vectors)
+
+
 # --- 9 mixing ------------------------------------------------------------------------------------------------------
 
 
@@ -390,6 +434,16 @@ def test_mixture_of_awkward_documents(spark):
 # --- 10 urls -------------------------------------------------------------------------------------------------------
 
 
+def test_long_lists_are_dealt_to_several_cascades(spark, monkeypatch):
+    listed = spark.range(0, 300, 3).select(F.concat(F.lit("k"), "id").alias("key"))
+    universe = spark.range(300).select(F.array(F.concat(F.lit("k"), "id"), F.concat(F.lit("x"), "id")).alias("keys"))
+    monkeypatch.setattr(url_filter, "MOST_KEYS", 60)
+    cascade = url_filter.build_cascade(listed, universe)
+    assert len(cascade.parts) == 4 and not cascade.levels
+    found = universe.select(F.explode("keys").alias("key")).where(cascade.lists(F.col("key")))
+    assert sorted(r.key for r in found.collect()) == sorted(f"k{i}" for i in range(0, 300, 3))
+
+
 def test_urls_by_rule(spark):
     urls = {
         "http://a.com": (None, "allow"), "http://A.COM/x": ("com/", "allow"), "https://example.com/en/1?q": ("example.com/en/", "block"),
