@@ -5,8 +5,10 @@ classes, ids and roles of its ancestors), of its hashed words, and of its length
 reads the vectors of a page in both directions, so that every block is judged with the whole document as context.
 
 There are no labelled pages, so the network learns from rules on paths (main containers hold text, the named kinds of
-boilerplate do not) applied to a bounded sample of pages (``SAMPLE`` rows, ``PAGE_BLOCKS`` of each in lessons spread over it) and to as many pages made up from their blocks, in
-which containers of all kinds the rules know are mixed. Training takes place once on the driver, on vectors of the sample.
+boilerplate do not) applied to a bounded sample of pages (``SAMPLE`` rows, ``PAGE_BLOCKS`` of each in lessons spread over it) and to
+pages made up from their blocks, in which containers of all kinds the rules know are mixed: main blocks of the sample stand in main
+containers, boilerplate in the others. In a share of them (``RENAMED``) the names that the rules go by are replaced by names of
+no list, so that words, length, links and neighbours have to tell. Training takes place once on the driver, on vectors of the sample.
 
 Defined cases: a null page is an empty one; a page without main text has an empty text. Comments, declarations and the content of
 scripts, styles and the like are never blocks. An unclosed comment, script or title ends with the page. A head needs no end tag: what
@@ -29,6 +31,8 @@ from stallmetrics.llm.shared import ALNUM_LOWERED, Words, rows_of, without
 
 #: Pages that are learnt from at most, and made-up pages besides.
 SAMPLE, MADE_UP = 160, 960
+#: Share of made-up pages, and of sampled ones learnt from once more, whose names are in no list.
+RENAMED = 0.4
 PATH_SIZE, WORD_SIZE, HIDDEN = 192, 8, 16
 PATH_SLOTS, WORD_SLOTS = 4096, 512
 EPOCHS, BATCH, RATE, SEED = 14, 32, 0.02, 5
@@ -282,19 +286,27 @@ def _padded(vectors: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, lengths
 
 
-def made_up_pages(pages: list[list[tuple[tuple[str, ...], np.ndarray]]], count: int) -> list[list[tuple[tuple[str, ...], np.ndarray]]]:
-    """Pages of the blocks' vectors under random containers, main ones and boilerplate, as the rules know them."""
+Page = list[tuple[tuple[str, ...], np.ndarray]]
+
+
+def made_up_pages(pages: list[Page], count: int) -> list[Page]:
+    """Pages of the blocks' vectors under random containers: main blocks in main ones, others in boilerplate, as the rules know them."""
     random = np.random.default_rng(SEED)
-    pool = [v for page in pages for _, v in page]
-    if not pool:
+    pools: tuple[list, list] = ([], [])
+    for page in pages:
+        for label, (_, vector) in zip(labels_by_rule([p for p, _ in page]), page, strict=True):
+            pools[label].append(vector)
+    if not pools[0] and not pools[1]:
         return []
+    pools = pools[0] or pools[1], pools[1] or pools[0]
     boiler, main, inner = sorted(BOILERPLATE), sorted(MAIN), ["p", "p", "p", "h2", "li", "div", "td", "blockquote"]
     outer = [("div",), ("div", ".wrapper"), ("section",), ("div", ".row"), ()]
 
-    def some(container: tuple[str, ...], most: int) -> list:
+    def some(container: tuple[str, ...], most: int, label: int) -> list:
         out = []
         for _ in range(int(random.integers(1, most + 1))):
             leaf = inner[random.integers(len(inner))]
+            pool = pools[label]
             out.append(((*container, *(("ul", leaf) if leaf == "li" else (leaf,))), pool[random.integers(len(pool))]))
         return out
 
@@ -308,17 +320,29 @@ def made_up_pages(pages: list[list[tuple[tuple[str, ...], np.ndarray]]], count:
         body = (*base, *name(main)) if random.random() < 0.85 else base
         page = []
         for _ in range(int(random.integers(0, 4))):
-            page += some((*base, *name(boiler)), 6)
+            page += some((*base, *name(boiler)), 6, 0)
         for _ in range(int(random.integers(1, 4))):
-            page += some(body, 14)
+            page += some(body, 14, 1)
             if random.random() < 0.4:
-                page += some((*body, *name(boiler)), 5)
+                page += some((*body, *name(boiler)), 5, 0)
         for _ in range(int(random.integers(0, 4))):
-            page += some((*base, *name(boiler)), 6)
+            page += some((*base, *name(boiler)), 6, 0)
         made.append(page)
     return made
 
 
+def renamed(paths: list[tuple[str, ...]], random: np.random.Generator) -> list[tuple[str, ...]]:
+    """The paths of a page with every name that a rule goes by replaced: elements by ``div``, names by one of no list."""
+    names: dict[str, str] = {}
+
+    def other(name: str) -> str:
+        if name.lstrip(".") not in BOILERPLATE | MAIN:
+            return name
+        return names.setdefault(name, f".x{random.integers(1 << 30)}" if name[0] == "." else "div")
+
+    return [tuple(other(n) for n in path) for path in paths]
+
+
 def lesson_blocks(blocks: int, most: int = PAGE_BLOCKS) -> np.ndarray:
     """Numbers of the blocks to learn from: all, or whole lessons from the first block to the last, at even distances."""
     if blocks <= most:
@@ -330,15 +354,17 @@ def lesson_blocks(blocks: int, most: int = PAGE_BLOCKS) -> np.ndarray:
 
 def train(pages: list[list[tuple[tuple[str, ...], np.ndarray]]]) -> Labeller:
     """A labeller from pages of (path, vector); the path part of a vector is made from the path."""
-    everything = [p for p in [*pages, *made_up_pages(pages, MADE_UP)] if p]
+    made = made_up_pages(pages, MADE_UP)
+    blank = int(RENAMED * len(made))
+    everything = [(p, False) for p in [*pages, *made[blank:]] if p] + [(p, True) for p in [*pages, *made[:blank]] if p]
     model = Labeller.fresh()
     if not everything:
         return model
-    vectors, targets = [], []
-    for page in everything:
-        rows = np.array([v for _, v in page], np.float32)
-        rows[:, :PATH_SIZE] = [path_vector(path) for path, _ in page]
-        labels = np.array(labels_by_rule([p for p, _ in page]), np.float32)
+    vectors, targets, chance = [], [], np.random.default_rng(SEED + 1)
+    for page, nameless in everything:
+        rows, paths = np.array([v for _, v in page], np.float32), [p for p, _ in page]
+        rows[:, :PATH_SIZE] = [path_vector(p) for p in (renamed(paths, chance) if nameless else paths)]
+        labels = np.array(labels_by_rule(paths), np.float32)
         for start in range(0, len(page), LESSON):
             vectors.append(rows[start : start + LESSON])
             targets.append(labels[start : start + LESSON])
@@ -363,7 +389,7 @@ def train(pages: list[list[tuple[tuple[str, ...], np.ndarray]]]) -> Labeller:
 
 def fit(pages: DataFrame, *, html: str = "html", key: str = "page_id", sample: int = SAMPLE, most: int = PAGE_BLOCKS) -> Labeller:
     """A labeller learnt from at most ``sample`` of the pages, picked by a hash of their key, and ``most`` blocks of each."""
-    chosen = pages.where(F.col(html).isNotNull()).orderBy(F.xxhash64(key, F.lit(SEED)), key).limit(sample).select(F.col(html).alias("html"))
+    chosen = pages.where(F.col(html).isNotNull()).orderBy(F.xxhash64(key, F.lit(SEED)), key, F.xxhash64(html)).limit(sample).select(F.col(html).alias("html"))
 
     def vectors(batches):
         seen: dict = {}

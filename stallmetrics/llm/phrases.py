@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,7 @@ from stallmetrics.llm.shared import bit_set, mixed, packed_numbers, packed_steps
 
 #: Words of a shard, about: a shard ends with the text that reaches it. The larger, the fewer times a phrase is counted by several
 #: shards; a task holds about 60 bytes for each word of one.
-SHARD_WORDS = 3 << 20
+SHARD_WORDS = 2 << 20
 #: A phrase is kept from this many occurrences in its language, and is at most so many words long.
 MIN_COUNT, LONGEST = 30, 4
 #: A phrase goes when a longer one has at least so many hundredths of its occurrences.
@@ -50,6 +50,9 @@ WORDS_A_BIT, MOST_BITS = 4, 30
 #: Words of the corpus for each block of the hash space that one task adds up, about.
 BLOCK_WORDS = 4_000_000
 
+#: Phrases that a task adds up before it passes them on.
+HELD = 400_000
+
 #: A byte of no UTF-8 text stands for every mark that ends a piece.
 END = 255
 _BYTES = bytearray(range(256))
@@ -159,8 +162,8 @@ def shards(docs: DataFrame, most: int = SHARD_WORDS, longest: int = LONGEST) ->
                 yield pa.RecordBatch.from_pydict({
                     "lang": pa.array([lang]), "n": pa.array([int(many.sum())], pa.int64()),
                     **{name: pa.array([value], pa.binary()) for name, value in {
-                        "words": zlib.compress(b"\n".join(vocabulary)), "many": packed_numbers(many, 6),
-                        "forward": packed_numbers(word_before(ids, longest), 6), "backward": packed_numbers(word_before(ids[::-1], longest), 6),
+                        "words": zlib.compress(b"\n".join(vocabulary), 1), "many": packed_numbers(many),
+                        "forward": packed_numbers(word_before(ids, longest)), "backward": packed_numbers(word_before(ids[::-1], longest)),
                     }.items()},
                 })
 
@@ -293,21 +296,40 @@ def _words_of(phrases: DataFrame, bits: int, top: int) -> np.ndarray:
     return _table(phrases.select("lang", "phrase").mapInArrow(words, _BLOCKS), 1, bits, top)
 
 
-def _named(held: DataFrame, widths: range, tables: list[np.ndarray], bits: int) -> DataFrame:
-    """``lang, phrase, n`` by shard, of the phrases of so many words that pass the tables."""
+def _summed(held: DataFrame, widths: range, tables: list[np.ndarray], bits: int, min_count: int) -> DataFrame:
+    """``lang, phrase, width, f`` of the phrases of so many words that pass the tables and have ``min_count`` occurrences.
+
+    A task adds up its own shards before it passes names on, in order, which the shuffle packs better.
+    """
     sent = held.sparkSession.sparkContext.broadcast(tables)
 
     def name(batches):
+        sums: dict[str, Counter] = defaultdict(Counter)
+
+        def rows():
+            for lang, counts in sums.items():
+                phrases = sorted(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array([counts[p] for p in phrases], pa.int64())],
+                    ["lang", "phrase", "n"])
+            sums.clear()
+
         for shard in _shards_of(batches):
             words = pa.array(shard.words, pa.binary())
             for grams, _, many in shard.phrases(widths[-1], sent.value, bits):
                 if grams.shape[1] in widths:
                     columns = [words.take(pa.array(c)) for c in grams.T]
                     phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([shard.lang] * len(many), pa.string()), phrase.cast(pa.string()), pa.array(many, pa.int64())], ["lang", "phrase", "n"])
+                    sums[shard.lang].update(dict(zip(phrase.to_pylist(), many.tolist(), strict=True)))
+            if sum(map(len, sums.values())) >= HELD:
+                yield from rows()
+        yield from rows()
 
-    return held.mapInArrow(name, "lang string, phrase string, n long")
+    named = held.mapInArrow(name, "lang string, phrase string, n long")
+    found = named.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    found = settle(found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("width"), "f"))
+    sent.destroy()
+    return found
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -320,12 +342,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     for width in range(1, longest):
         tables.append(_frequent_hashes(held, width, tables, bits, top, min_count))
 
-    def added_up(named: DataFrame) -> DataFrame:
-        sums = named.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        return settle(sums.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("width"), "f"))
-
-    longer = added_up(_named(held, range(2, longest + 1), tables, bits))
-    words = added_up(_named(held, range(1, 2), [_words_of(longer, bits, top)], bits))
+    longer = _summed(held, range(2, longest + 1), tables, bits, min_count)
+    words = _summed(held, range(1, 2), [_words_of(longer, bits, top)], bits, min_count)
     return longer.unionByName(words), held.groupBy("lang").agg(F.sum("n").alias("n"))
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from cases import LONG, documents, edit_distance
 
-from stallmetrics.llm import phrases, pii, variants
+from stallmetrics.llm import html_extract, phrases, pii, variants
 
 SCHEMA = "doc_id long, text string, lang string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -237,3 +237,64 @@ def test_reliabilities_find_the_better_labeler():
     of = {tuple(p): q for p, q in zip(patterns.tolist(), likely, strict=True)}
     assert np.mean([(of[tuple(v)] >= 0.5) == t for v, t in zip(votes.tolist(), truth, strict=True)]) > 0.95
     assert rates[0, 1, pii.YES] > rates[3, 1, pii.YES] and 0.3 < share < 0.5
+
+
+# --- 3 pages, with names of no list --------------------------------------------------------------------------------
+
+PAGES = "/root/testdata/sf0.001/pages.parquet"
+
+
+@pytest.fixture(scope="module")
+def taught(spark):
+    """A model of the sample's pages, and pages it has not seen."""
+    rows = [r.html for r in spark.read.parquet(PAGES).orderBy("page_id").collect()]
+    parsed = [p for p in map(html_extract.blocks_of, rows) if p]
+    learn = [list(zip([b.path for b in p], html_extract.block_vectors(p, {}), strict=True)) for p in parsed[: len(parsed) // 2]]
+    return html_extract.train(learn), parsed[len(parsed) // 2 :]
+
+
+def _marks(model, pages, change=None, chance=None):
+    out = []
+    for blocks in pages:
+        vectors = html_extract.block_vectors(blocks, {})
+        if chance is not None:
+            vectors[:, : html_extract.PATH_SIZE] = [html_extract.path_vector(p) for p in html_extract.renamed([b.path for b in blocks], chance)]
+        if change is not None:
+            vectors[:, change] = 0
+        out.append(model.probabilities(*html_extract._padded([vectors]))[: len(blocks), 0] >= 0.5)
+    return np.concatenate(out)
+
+
+def test_pages_of_unknown_names(taught):
+    model, pages = taught
+    truth = np.concatenate([html_extract.labels_by_rule([b.path for b in p]) for p in pages]).astype(bool)
+    assert (_marks(model, pages) == truth).mean() > 0.99
+    nameless = _marks(model, pages, chance=np.random.default_rng(3))
+    assert (nameless == truth).mean() > 0.95
+    words = slice(html_extract.PATH_SIZE, html_extract.PATH_SIZE + html_extract.WORD_SIZE)
+    assert (_marks(model, pages, words, np.random.default_rng(3)) != nameless).any()
+    assert (_marks(model, pages, slice(html_extract.PATH_SIZE, -1), np.random.default_rng(3)) != nameless).mean() > 0.02
+
+
+def test_made_up_pages_keep_main_and_other_blocks_apart():
+    page = [(("html", "article", "p"), np.full(html_extract.INPUT, 1, np.float32)), (("html", "nav", "li"), np.full(html_extract.INPUT, 2, np.float32))]
+    for made in html_extract.made_up_pages([page], 60):
+        for label, (_, vector) in zip(html_extract.labels_by_rule([p for p, _ in made]), made, strict=True):
+            assert vector[0] == (1 if label else 2)
+
+
+def test_extraction_report_of_awkward_pages(spark):
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(PAGES).orderBy("page_id").limit(60).collect()]
+    long = "<article>" + "".join(f"<p>Paragraph {i} of a very long article about nothing much.</p>" for i in range(4000)) + "</article><footer>End</footer>"
+    rows += [(None, None, None), (None, "u", ""), (None, "u", rows[0][2]), (7, "u", rows[0][2]), (7, "u", rows[0][2]), (9000, "long", long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as main_text", "'x' as text", "2 as vectors").repartition(5)
+    got = Counter((r.page_id, r.url, r.text, r.n_chars) for r in html_extract.extraction_report(pages).collect())
+    want = Counter()
+    for key, url, page in rows:
+        blocks = html_extract.blocks_of(page or "")
+        text = " ".join(b.text for b, label in zip(blocks, html_extract.labels_by_rule([b.path for b in blocks]), strict=True) if label)
+        want[(key, url, text, len(text))] += 1
+    assert got == want
+    again = html_extract.extraction_report(pages.repartition(3))
+    assert Counter((r.page_id, r.url, r.text, r.n_chars) for r in again.collect()) == got
+    assert html_extract.extraction_report(pages.limit(0)).count() == 0
