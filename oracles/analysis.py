@@ -127,7 +127,7 @@ r AS (SELECT prod_id, shop_id, {_REFUND_COUNTS} FROM (
         WHERE r.refund_type = 1 AND CAST(o.create_time AS DATE) {_ON}) GROUP BY 1, 2),
 snap AS (SELECT DISTINCT i.prod_id, o.shop_id, i.prod_name AS iname, i.price AS iprice, i.status AS istatus
          FROM od o JOIN id i ON i.order_number = o.order_number),
-pin AS (SELECT DISTINCT prod_id, shop_id, status AS tstatus FROM prd WHERE dt {_ON}),
+pin AS (SELECT DISTINCT prod_id, shop_id, status AS tstatus FROM prd WHERE NOT is_deleted AND dt {_ON}),
 x AS (SELECT cards.*, e.ex, e.exp, o.ou, o.oc, o.oa, p.pu, p.pc, p.pa, r.rn, r.rp, r.sn, r.sp, r.sa, iname, iprice,
              coalesce(tstatus, istatus, cards.status, 0) AS st
       FROM cards LEFT JOIN e USING (prod_id, shop_id) LEFT JOIN o USING (prod_id, shop_id) LEFT JOIN p USING (prod_id, shop_id)

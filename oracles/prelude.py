@@ -4,14 +4,15 @@ from __future__ import annotations
 
 BINDING = """
 WITH hdr AS (
-  SELECT o_orderkey, user_id, is_paid, dt, CAST(dt AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INT)) AS create_time
+  SELECT o_orderkey, user_id, is_paid, dt, CAST(dt AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INT)) AS create_time,
+         CAST(dt AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 + o_orderkey % 5 * 7 AS INT)) AS paid_time
   FROM (
     SELECT o_orderkey, o_custkey AS user_id, o_orderstatus IN ('F', 'P') AS is_paid,
            DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 AS INT) AS dt
     FROM orders)
 ),
 ln AS (
-  SELECT l.*, h.user_id, h.is_paid, h.dt, h.create_time,
+  SELECT l.*, h.user_id, h.is_paid, h.dt, h.create_time, h.paid_time,
          CAST(l_quantity AS INT) AS qty, CAST(l_extendedprice AS DECIMAL(18,2)) AS amt,
          concat_ws('-', l_orderkey, l_suppkey) AS order_number,
          l_orderkey * 100000 + l_suppkey AS order_id,
@@ -30,9 +31,9 @@ itmn AS (
 ),
 ord AS (
   SELECT order_id, order_number, user_id, l_suppkey AS shop_id, create_time,
-         CASE WHEN is_paid THEN create_time END AS pay_time, is_paid,
+         CASE WHEN is_paid THEN paid_time END AS pay_time, is_paid,
          CAST(sum(amt) AS DECIMAL(18,2)) AS actual_total, CASE WHEN is_paid THEN 2 ELSE 1 END AS status, dt
-  FROM ln GROUP BY order_id, order_number, user_id, l_suppkey, create_time, is_paid, dt
+  FROM ln GROUP BY order_id, order_number, user_id, l_suppkey, create_time, paid_time, is_paid, dt
 ),
 rfd AS (
   SELECT item_key AS refund_id, order_id, CASE WHEN l_linestatus = 'O' THEN item_key END AS order_item_id, user_id,
@@ -49,17 +50,18 @@ prd AS (
          CAST(p_retailprice AS DECIMAL(18,2)) AS price, CAST(l_extendedprice AS DECIMAL(18,2)) AS supplier_price,
          p_size % 9 - 1 AS status, 'pic/' || l_partkey AS pic,
          CAST(DATE '2024-01-01' + CAST(l_partkey % 30 AS INT) AS TIMESTAMP) AS create_time,
-         CAST(l_shipdate AS TIMESTAMP) AS update_time, DATE '2024-01-01' + CAST(l_partkey % 30 AS INT) AS dt
+         CAST(l_shipdate AS TIMESTAMP) AS update_time, DATE '2024-01-01' + CAST(l_partkey % 30 AS INT) AS dt,
+         l_partkey % 11 = 0 AS is_deleted
   FROM lineitem JOIN part ON p_partkey = l_partkey
 ),
 shp AS (SELECT s_suppkey AS shop_id, s_name AS shop_name FROM supplier),
 app AS (
   SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS prod_id, event_id % 10 AS shop_id,
          CAST(user_id AS VARCHAR) AS cid, CASE WHEN event_type = 'view' THEN 'enter' ELSE event_type END AS action,
-         event_id % 3 = 0 AS shared, CAST(ts AS DATE) AS dt
+         event_id % 7 <> 0 AS on_page, event_id % 3 = 0 AND event_id % 5 <> 0 AS shared, CAST(ts AS DATE) AS dt
   FROM events
 ),
-seen AS (SELECT * FROM app WHERE action = 'enter')
+seen AS (SELECT * FROM app WHERE action = 'enter' AND on_page)
 """
 
 # windows the reports are asked for: name -> (first day, last day, tag, stat date)

@@ -60,14 +60,14 @@ for _key, _build in (
     SQL[f"{_key}_all"] = q(" UNION ALL ".join(_build(*a) for a in SPANS.values()))
 
 
-def _daily(where: str, log_where: str) -> str:
+def _daily(where: str, log_where: str, live: str = "true") -> str:
     return f"""
 o AS (
   SELECT o.shop_id, CAST(o.create_time AS DATE) AS d, sum(i.prod_count) AS n,
          sum(i.prod_count) FILTER (WHERE o.is_paid) AS pn, count(DISTINCT i.prod_id) AS ds
   FROM ord o LEFT JOIN itm i ON i.order_number = o.order_number WHERE {where.format(t='o.create_time')} GROUP BY 1, 2),
 p AS (SELECT shop_id, CAST(create_time AS DATE) AS d, count(prod_id) AS np FROM prd
-      WHERE status <> -1 AND {where.format(t='create_time')} GROUP BY 1, 2),
+      WHERE status <> -1 AND {live} AND {where.format(t='create_time')} GROUP BY 1, 2),
 e AS (SELECT shop_id, dt AS d, count(DISTINCT prod_id) AS vp, count(*) AS ex, count(DISTINCT cid) AS vis,
              count(*) FILTER (WHERE shared) AS sv FROM seen WHERE {log_where} GROUP BY 1, 2)
 SELECT shop_id, d AS current_day, {whole('np')} AS new_prod, {whole('vp')} AS visited_prod, {whole('ds')} AS dynamic_sale,
@@ -78,15 +78,16 @@ FROM o FULL JOIN p USING (shop_id, d) LEFT JOIN e USING (shop_id, d)
 
 
 SQL["product_overview_daily"] = q(_daily(f"CAST({{t}} AS DATE) = DATE '{DAY}'", f"dt = DATE '{DAY}'"))
-SQL["product_overview_daily_intraday"] = SQL["product_overview_daily"]
+SQL["product_overview_daily_intraday"] = q(_daily(f"CAST({{t}} AS DATE) = DATE '{DAY}'", f"dt = DATE '{DAY}'", "NOT is_deleted"))
 SQL["product_overview_backfill"] = q(
     _daily("CAST({t} AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'", "dt BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'")
 )
 
 SQL["app_log_label_expand"] = f"""
 SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS prod_id, event_id % 10 AS shop_id, CAST(user_id AS VARCHAR) AS cid,
-       CASE WHEN event_type = 'view' THEN 'enter' ELSE event_type END AS action, '1005' AS page_id, 'AppViewScreen' AS event,
+       CASE WHEN event_type = 'view' THEN 'enter' ELSE event_type END AS action, '1005' AS page_id,
+       CASE WHEN event_id % 5 = 0 THEN 'AppClick' ELSE 'AppViewScreen' END AS event,
        CAST(ts AS DATE) AS dt, CASE WHEN event_id % 3 = 0 THEN '1' ELSE '0' END AS "isShare"
-FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}'
+FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}' AND event_id % 7 <> 0
 """
 SQL["app_log_label_expand_inferred"] = SQL["app_log_label_expand"]

@@ -37,7 +37,7 @@ SQL["latest_item_snapshot"] = q(f"""
 SELECT DISTINCT i.prod_id, o.shop_id, i.prod_name AS item_name, i.price AS item_price, i.status AS item_status
 FROM itmn i JOIN ord o ON o.order_number = i.order_number WHERE o.dt = DATE '{DAY}' AND i.dt = DATE '{DAY}'
 """)
-SQL["latest_status_today"] = q(f"SELECT DISTINCT prod_id, shop_id, status AS today_status FROM prd WHERE dt = DATE '{DAY}'")
+SQL["latest_status_today"] = q(f"SELECT DISTINCT prod_id, shop_id, status AS today_status FROM prd WHERE NOT is_deleted AND dt = DATE '{DAY}'")
 
 _LINES = "ord o JOIN itm i ON i.order_number = o.order_number"
 SQL["order_metrics_by_product"] = q(f"""

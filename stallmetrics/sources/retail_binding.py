@@ -56,7 +56,8 @@ class RetailTables:
             F.col("o_orderkey").alias("l_orderkey"),
             F.col("o_custkey").alias("user_id"),
             placed.alias("create_time"),
-            F.when(paid, placed).alias("pay_time"),
+            # up to 28 hours later, so that orders are paid on the next day and the one after
+            F.when(paid, placed + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 5 * 7).cast("int"))).alias("pay_time"),
             paid.alias("is_paid"),
             day.alias("dt"),
         )
@@ -171,7 +172,7 @@ class RetailTables:
             F.concat(F.lit("pic/"), F.col("l_partkey")).alias("pic"),
             created.cast("timestamp").alias("create_time"),
             F.col("l_shipdate").cast("timestamp").alias("update_time"),
-            F.lit(False).alias("is_deleted"),
+            (F.col("l_partkey") % 11 == 0).alias("is_deleted"),
             created.alias("dt"),
         )
 
@@ -190,8 +191,8 @@ class RetailTables:
             (F.col("event_id") % 10).alias("shop_id"),
             F.col("user_id").cast("string").alias("cid"),
             F.when(F.col("event_type") == "view", "enter").otherwise(F.col("event_type")).alias("action"),
-            F.lit("1005").alias("page_id"),
-            F.lit("AppViewScreen").alias("event"),
+            F.when(F.col("event_id") % 7 == 0, "1006").otherwise("1005").alias("page_id"),
+            F.when(F.col("event_id") % 5 == 0, "AppClick").otherwise("AppViewScreen").alias("event"),
             F.concat(F.lit('{"isShare":"'), share, F.lit('"}')).alias("label"),
             F.col("ts").cast("date").alias("dt"),
         )
