@@ -33,6 +33,8 @@ from stallmetrics.llm.shared import ALNUM_LOWERED, Words, rows_of, without
 SAMPLE, MADE_UP = 160, 960
 #: Share of made-up pages, and of sampled ones learnt from once more, whose names are in no list.
 RENAMED = 0.4
+#: A page of the sample is given so many times under unknown names, other ones each time.
+UNKNOWN = 3
 PATH_SIZE, WORD_SIZE, HIDDEN = 192, 8, 16
 PATH_SLOTS, WORD_SLOTS = 4096, 512
 EPOCHS, BATCH, RATE, SEED = 14, 32, 0.02, 5
@@ -306,6 +308,8 @@ def made_up_pages(pages: list[Page], count: int) -> list[Page]:
         out = []
         for _ in range(int(random.integers(1, most + 1))):
             leaf = inner[random.integers(len(inner))]
+            if leaf == "div" and container == bare:
+                leaf = "p"  # without a main container only plain text is main
             pool = pools[label]
             out.append(((*container, *(("ul", leaf) if leaf == "li" else (leaf,))), pool[random.integers(len(pool))]))
         return out
@@ -314,10 +318,11 @@ def made_up_pages(pages: list[Page], count: int) -> list[Page]:
         word = choice[random.integers(len(choice))]
         return (word,) if random.random() < 0.5 else (("div", "section")[random.integers(2)], "." + word)
 
-    made = []
+    made, bare = [], ()
     for _ in range(count):
         base = ("html", "body", *outer[random.integers(len(outer))])
         body = (*base, *name(main)) if random.random() < 0.85 else base
+        bare = base
         page = []
         for _ in range(int(random.integers(0, 4))):
             page += some((*base, *name(boiler)), 6, 0)
@@ -356,7 +361,7 @@ def train(pages: list[list[tuple[tuple[str, ...], np.ndarray]]]) -> Labeller:
     """A labeller from pages of (path, vector); the path part of a vector is made from the path."""
     made = made_up_pages(pages, MADE_UP)
     blank = int(RENAMED * len(made))
-    everything = [(p, False) for p in [*pages, *made[blank:]] if p] + [(p, True) for p in [*pages, *made[:blank]] if p]
+    everything = [(p, False) for p in [*pages, *made[blank:]] if p] + [(p, True) for p in [*pages * UNKNOWN, *made[:blank]] if p]
     model = Labeller.fresh()
     if not everything:
         return model
