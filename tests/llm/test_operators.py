@@ -344,6 +344,14 @@ def test_long_near_lines_against_all_pairs():
         assert not found or {key for key, of in keys[0] if of == k} & {key for key, of in keys[1] if of == k}
 
 
+def test_probes_that_meet_nothing_have_no_pairs():
+    """Of a batch none of whose probes is indexed, nothing comes out; before, its empty mask was of floats."""
+    none = line_dedup._pairs(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert none.num_rows == 0 and none.schema.names == ["key", "line"]
+    some = line_dedup._pairs(np.array([7, 7, 3], np.uint64), np.array([1, 1, 2]))
+    assert some.to_pydict() == {"key": [3, 7], "line": [2, 1]}
+
+
 def test_short_lines_go_when_repeated(spark):
     rows = [(1, "Share\nMenu\nA line of its own, longer than the others"), (2, " Share \nx\nMenu"), (3, "x\nShark\n\n"), (4, "Share this page\n\n"), (5, "Share that page")]
     got = {r.doc_id: r.kept_text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
