@@ -352,6 +352,45 @@ def test_probes_that_meet_nothing_have_no_pairs():
     assert some.to_pydict() == {"key": [3, 7], "line": [2, 1]}
 
 
+def test_lines_looked_at_in_several_passes(spark, monkeypatch):
+    """Bands whose keys would fill one table get several, with the same result."""
+    rng = random.Random(11)
+    bases = ["".join(rng.choice("abcdef ") for _ in range(n)) for n in (13, 23, 24, 40, 63, 64, 71, 72, 90, 161, 162, 240, 400)]
+    rows = [(i, "\n".join(edited(rng.choice(bases), rng.randrange(0, 4), rng) for _ in range(4))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(line_dedup.drop_repeated_lines(df).collect())
+    monkeypatch.setattr(line_dedup, "TABLE_KEYS", 100)
+    passes = line_dedup._passes(df.select("text"))
+    assert len(passes) > 3 and all(a[0].stop <= b[0].start for a, b in zip(passes, passes[1:], strict=False))
+    assert sorted(line_dedup.drop_repeated_lines(df).collect()) == whole and sum(r.n_dropped for r in whole) > 0
+
+
+def test_joining_lines_join_all_that_near_lines_join(monkeypatch):
+    """What is joined already is compared no more, and nothing near stays apart."""
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcd ef") for _ in range(120))
+    lines = [edited(base, rng.randrange(0, 9), rng) for _ in range(24)] + ["".join(rng.choice("abcd ef") for _ in range(120)) for _ in range(4)]
+    codes, (i, j) = line_dedup.Codes(lines), np.triu_indices(len(lines), 1)
+    compared, near_lines = [], line_dedup.near_lines
+    monkeypatch.setattr(line_dedup, "FEWEST", 20)
+    monkeypatch.setattr(line_dedup, "near_lines", lambda x, y, i, j: compared.append(len(i)) or near_lines(x, y, i, j))
+    keep = near_lines(codes, codes, i, j)
+    want = root_of(range(len(lines)), zip(i[keep].tolist(), j[keep].tolist(), strict=True))
+    u, v = line_dedup.joining_lines(codes, i, j, np.arange(len(lines)))
+    assert root_of(range(len(lines)), zip(u.tolist(), v.tolist(), strict=True)) == want and sum(compared) < len(i) // 2
+
+
+def test_keys_of_a_full_table_are_told_apart(spark):
+    """At 20 bits for a key hardly any other one passes, and none of its own is missing; of two bits a key, one in a hundred passed."""
+    from stallmetrics.llm.shared import bit_tables, bits_set, packed_slots
+
+    bits, ways, keys = 20, line_dedup.WAYS, np.random.default_rng(5).integers(0, 1 << 64, 150_000, np.uint64)
+    mine, others = keys[:52_000], keys[52_000:]
+    packed = packed_slots(spark.range(1, numPartitions=1), lambda batches: (x for x in [mine] if list(batches)), 16, bits)
+    table = bit_tables(packed, (1,), bits, ways)[0]
+    assert len(bits_set(table, mine, bits, 4, ways)) == len(mine) and len(bits_set(table, others, bits, 4, ways)) < len(others) / 500
+
+
 def test_short_lines_go_when_repeated(spark):
     rows = [(1, "Share\nMenu\nA line of its own, longer than the others"), (2, " Share \nx\nMenu"), (3, "x\nShark\n\n"), (4, "Share this page\n\n"), (5, "Share that page")]
     got = {r.doc_id: r.kept_text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
