@@ -391,6 +391,18 @@ def test_keys_of_a_full_table_are_told_apart(spark):
     assert len(bits_set(table, mine, bits, 4, ways)) == len(mine) and len(bits_set(table, others, bits, 4, ways)) < len(others) / 500
 
 
+def test_bit_tables_reach_the_driver_block_by_block(spark, monkeypatch):
+    """Not all blocks of all tables at once, besides the tables made of them."""
+    from stallmetrics.llm.shared import bit_set, bit_tables, packed_slots
+
+    keys = np.random.default_rng(6).integers(0, 1 << 64, 1000, np.uint64)
+    packed = packed_slots(spark.range(1, numPartitions=1), lambda batches: (x for x in [np.repeat(keys, 2)] if list(batches)), 8, 16)
+    frame = type(packed)
+    monkeypatch.setattr(frame, "collect", lambda self: pytest.fail("collected as a whole"))
+    twice, often = bit_tables(packed, (2, 3), 16)
+    assert bit_set(twice, keys, 16).all() and not often.any()
+
+
 def test_short_lines_go_when_repeated(spark):
     rows = [(1, "Share\nMenu\nA line of its own, longer than the others"), (2, " Share \nx\nMenu"), (3, "x\nShark\n\n"), (4, "Share this page\n\n"), (5, "Share that page")]
     got = {r.doc_id: r.kept_text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
