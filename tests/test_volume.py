@@ -1,5 +1,6 @@
 """Rows that are dealt: each once where one pass can serve several steps, and no wider than they have to be."""
 
+import re
 from datetime import datetime
 
 import micro as m
@@ -9,7 +10,7 @@ from test_skew import final_plan, shops, small_pieces
 
 from stallmetrics.functions import calendar as cal
 from stallmetrics.operators.ranking import rank_in_group
-from stallmetrics.plans import sales
+from stallmetrics.plans import refund_ranks, sales
 
 T = "2024-01-30 10:00:00"
 WINDOWS = cal.standard_windows(datetime(2024, 1, 31, 9))
@@ -53,3 +54,14 @@ def test_a_ranking_deals_its_rows_once(spark):
     # the rows of all windows are dealt by their bands alone: names have been met before
     dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(win" in x and "REPARTITION" in x]
     assert len(dealt) == 1 and "_band" in dealt[0]
+
+
+def test_refunded_items_and_refunds_are_dealt_by_item_alone(spark):
+    orders, items, refunds, products = _trade(spark)
+    with small_pieces(spark):
+        out = refund_ranks.product_rank(
+            refunds.withColumn("goods_num", F.lit(1)), orders, items.repartition("prod_id"), products, datetime(2024, 1, 30, 12))
+        plan = final_plan(out)
+        assert {r.prod_id: r.refund_count for r in out.collect()} == {3: 1, 4: 1}
+    # no other shuffle is spent on leaving out their copies
+    assert not re.search(r"Exchange hashpartitioning\((prod_id#\d+L, order_|order_id#\d+L, refund_type)", plan)
