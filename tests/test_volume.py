@@ -10,7 +10,7 @@ from test_skew import final_plan, shops, small_pieces
 
 from stallmetrics.functions import calendar as cal
 from stallmetrics.operators.ranking import rank_in_group
-from stallmetrics.plans import refund_ranks, sales
+from stallmetrics.plans import analysis, refund_ranks, sales
 
 T = "2024-01-30 10:00:00"
 WINDOWS = cal.standard_windows(datetime(2024, 1, 31, 9))
@@ -35,6 +35,22 @@ def _trade(spark):
     return orders, items, refunds, products
 
 
+def test_orders_and_refunds_meet_items_in_one_pass(spark):
+    orders, items, refunds, products = _trade(spark)
+    log = m.app_log(spark, dict(prod_id=3, shop_id=1, cid="a", dt="2024-01-30"))
+    with small_pieces(spark):
+        out = analysis.platform_analysis(products, shops(spark), log, orders, items.repartition("prod_id"), refunds, WINDOWS)
+        plan = final_plan(out)
+        got = {r.prod_id: r for r in out.filter("status_filter = '0' AND time_period = '30'").collect()}
+    # items are dealt once, under both keys, and lines are folded where they are dealt
+    assert "Exchange hashpartitioning(order_number" not in plan and plan.count("Exchange hashpartitioning(_by_order") == 2
+    measures = (
+        "place_order_person", "place_order_num", "place_order_amount", "pay_person", "pay_num", "pay_amount",
+        "refund_num", "refund_person", "refund_success_num", "refund_success_person", "refund_success_amount",
+    )
+    assert [tuple(int(got[p][x]) for x in measures) for p in (3, 4)] == [(1, 6, 9, 0, 2, 4, 3, 1, 1, 0, 4), (0, 2, 5, 0, 2, 5, 1, 1, 1, 1, 4)]
+
+
 def test_crowded_bands_are_ranked_by_cells(spark):
     ids = spark.range(30000).withColumn("g", F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 11))
     value = F.when(F.col("id") % 5 < 2, F.lit(19.99)).when(F.col("id") % 5 == 2, F.lit(0)).otherwise(F.hash("id") % 1000 + 1000)
