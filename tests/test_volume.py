@@ -67,7 +67,7 @@ def test_a_ranking_deals_its_rows_once(spark):
         out = sales.sales_rank(items, orders, products, shops(spark), WINDOWS)
         plan = final_plan(out)
         assert {(r.prod_id, r.shop_name, r.rank_num) for r in out.collect()} == {(3, "shop 1", 2), (4, "shop 1", 1)}
-    # the rows of all windows are dealt by their bands alone: names have been met before
+    # the rows of all windows are dealt by their bands, and their cells are not shuffled beside them
     dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(win" in x and "REPARTITION" in x]
     assert len(dealt) == 1 and "_band" in dealt[0]
 
