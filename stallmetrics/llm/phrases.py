@@ -10,8 +10,8 @@ frequent is lost.
 Which phrases are frequent is decided by sums over all shards, length by length. A shard first gives the hashes of its phrases
 with their counts, four bytes each, which are added up by block of the hash space into a table of bits: a phrase whose hash starts
 so is frequent. The tables grow with the corpus up to ``MOST_BITS`` (128 MB, the bound of what is sent to every task); a bit too
-many costs work, never a phrase, and none is missing. At the end every shard gives the phrases that pass the tables by name, and their
-sums are exact. No shard is ever shuffled, and no list of phrases is held by the driver.
+many costs work, never a phrase, and none is missing. At the end every shard gives the phrases that pass the tables by name, packed by
+block of a hash of the phrase, and their sums by name are exact. No shard is ever shuffled, and no list of phrases is held by the driver.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count again. Texts without words yield nothing. A
 word is whatever stands between blanks, digits and control characters included. Only ``text`` and ``lang`` are read, so
@@ -52,6 +52,8 @@ BLOCK_WORDS = 4_000_000
 
 #: Phrases that a task adds up before it passes them on.
 HELD = 400_000
+#: Words of the shards that a task adds up before it passes their phrases on, at most: a count takes 32 bits.
+MOST_WORDS = 1 << 31
 
 #: A byte of no UTF-8 text stands for every mark that ends a piece.
 END = 255
@@ -296,37 +298,61 @@ def _words_of(phrases: DataFrame, bits: int, top: int) -> np.ndarray:
     return _table(phrases.select("lang", "phrase").mapInArrow(words, _BLOCKS), 1, bits, top)
 
 
-def _summed(held: DataFrame, widths: range, tables: list[np.ndarray], bits: int, min_count: int) -> DataFrame:
+def _packed_names(counts: dict[bytes, int], top: int) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Blocks of phrases (the first ``top`` bits of a hash), of each the phrases in order and their counts, packed."""
+    of_block: dict[int, list[bytes]] = defaultdict(list)
+    for phrase in sorted(counts):
+        of_block[zlib.crc32(phrase) >> (32 - top)].append(phrase)
+    names = [zlib.compress(b"\n".join(phrases)) for phrases in of_block.values()]
+    return list(of_block), names, [packed_numbers(np.array([counts[p] for p in phrases])) for phrases in of_block.values()]
+
+
+def _summed(held: DataFrame, widths: range, tables: list[np.ndarray], bits: int, top: int, min_count: int) -> DataFrame:
     """``lang, phrase, width, f`` of the phrases of so many words that pass the tables and have ``min_count`` occurrences.
 
-    A task adds up its own shards before it passes names on, in order, which the shuffle packs better.
+    A task adds up its own shards before it passes names on, packed by block of the phrases' hashes; blocks add them up by name.
     """
     sent = held.sparkSession.sparkContext.broadcast(tables)
 
     def name(batches):
         sums: dict[str, Counter] = defaultdict(Counter)
+        size = 0
 
         def rows():
             for lang, counts in sums.items():
-                phrases = sorted(counts)
+                blocks, names, many = _packed_names(counts, top)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array([counts[p] for p in phrases], pa.int64())],
-                    ["lang", "phrase", "n"])
+                    [pa.array([lang] * len(blocks), pa.string()), pa.array(blocks, pa.int32()), pa.array(names, pa.binary()), pa.array(many, pa.binary())],
+                    ["lang", "block", "names", "counts"])
             sums.clear()
 
         for shard in _shards_of(batches):
+            if size + shard.row["n"] > MOST_WORDS:
+                yield from rows()
+                size = 0
+            size += shard.row["n"]
             words = pa.array(shard.words, pa.binary())
             for grams, _, many in shard.phrases(widths[-1], sent.value, bits):
-                if grams.shape[1] in widths:
+                if len(grams) and grams.shape[1] in widths:
                     columns = [words.take(pa.array(c)) for c in grams.T]
                     phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
                     sums[shard.lang].update(dict(zip(phrase.to_pylist(), many.tolist(), strict=True)))
             if sum(map(len, sums.values())) >= HELD:
                 yield from rows()
+                size = 0
         yield from rows()
 
-    named = held.mapInArrow(name, "lang string, phrase string, n long")
-    found = named.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    def add_up(key, packed):
+        names, counts = (packed.column(c).to_pylist() for c in ("names", "counts"))
+        phrase = pa.array([p for x in names for p in zlib.decompress(x).split(b"\n")], pa.binary())
+        many = pa.array(np.concatenate([unpacked_numbers(x) for x in counts]), pa.int64())
+        found = pa.table({"phrase": phrase, "f": many}).group_by("phrase").aggregate([("f", "sum")])
+        found = found.filter(pc.greater_equal(found["f_sum"], min_count))
+        lang = pa.array([key[0].as_py()] * len(found), pa.string())
+        return pa.table({"lang": lang, "phrase": found["phrase"].cast(pa.string()), "f": found["f_sum"]})
+
+    named = held.mapInArrow(name, "lang string, block int, names binary, counts binary")
+    found = named.groupBy("lang", "block").applyInArrow(add_up, "lang string, phrase string, f long")
     found = settle(found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("width"), "f"))
     sent.destroy()
     return found
@@ -342,8 +368,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     for width in range(1, longest):
         tables.append(_frequent_hashes(held, width, tables, bits, top, min_count))
 
-    longer = _summed(held, range(2, longest + 1), tables, bits, min_count)
-    words = _summed(held, range(1, 2), [_words_of(longer, bits, top)], bits, min_count)
+    longer = _summed(held, range(2, longest + 1), tables, bits, top, min_count)
+    words = _summed(held, range(1, 2), [_words_of(longer, bits, top)], bits, top, min_count)
     return longer.unionByName(words), held.groupBy("lang").agg(F.sum("n").alias("n"))
 
 

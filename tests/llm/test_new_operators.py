@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -62,6 +63,20 @@ def test_phrases_against_counting(spark, size):
     assert got == want and len(want) > 100 and {r[0] for r in want} == {"en", "de", "und"}
 
 
+def test_names_of_phrases_are_packed_by_block(spark, monkeypatch):
+    counts = {f"the {i} of".encode(): i + 1 for i in range(5000)}
+    blocks, names, many = phrases._packed_names(counts, 3)
+    assert sorted(blocks) == list(range(8)) and sum(map(len, names)) < 5 * len(counts)
+    unpacked = [(p, n) for x, y in zip(names, many, strict=True) for p, n in zip(zlib.decompress(x).split(b"\n"), phrases.unpacked_numbers(y).tolist(), strict=True)]
+    assert dict(unpacked) == counts and len(unpacked) == len(counts)
+    assert phrases._packed_names(counts, 0)[0] == [0]
+    monkeypatch.setattr(phrases, "BLOCK_WORDS", 50)
+    monkeypatch.setattr(phrases, "HELD", 20)
+    rows = some_texts(random.Random(7))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert sorted(tuple(r) for r in phrases.phrase_report(docs, min_count=4, shard_words=100).collect()) == brute_phrases(rows, 4)
+
+
 def test_only_the_best_phrases_are_ranked(spark):
     rows = some_texts(random.Random(6))
     got = sorted(tuple(r) for r in phrases.phrase_report(spark.createDataFrame(rows, SCHEMA), top=5, min_count=3, dominated=50).collect())
