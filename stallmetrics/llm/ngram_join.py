@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.llm.shared import (
-    LOWERED, Words, bit_set, bit_tables, components, drop_settled, packed_slots, rows_of, settle, spanning, star_tiles,
+    LOWERED, Words, bit_set, bit_tables, components, drop_settled, packed_slots, parted, rows_of, settle, spanning, star_tiles,
 )
 
 WIDTH = 5
@@ -237,7 +237,9 @@ def _star_links(stars: DataFrame, rows: DataFrame) -> DataFrame:
         return pdf.loc[met, [*meeting, "side", "node", "root"]]
 
     sifted = settle(small.groupBy(*meeting).applyInPandas(sift, f"pivot {kind}, outer int, other int, inside boolean, side int, node {kind}, root {kind}"))
-    tiles = sifted.join(rows.select("node", "n", "shared"), "node")
+    # rows without a meeting left keep their columns to themselves
+    few, _ = parted(rows, sifted, "node")
+    tiles = sifted.join(few.select("node", "n", "shared"), "node")
 
     def multiply(pdf):
         import pandas as pd
@@ -323,10 +325,12 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     def met(x, y):
         return x["of_text"].eqNullSafe(y["of_text"]) & x["id"].eqNullSafe(y["id"]) & x["of_row"].eqNullSafe(y["of_row"])
 
-    kept = keyed.join(gone, met(keyed, gone), "left_anti").select("row.*")
+    # only rows that may go are shuffled with their texts
+    asked, clear = parted(keyed, gone, "of_text", "id", "of_row")
+    kept = asked.join(gone, met(asked, gone), "left_anti").select("row.*")
     twice = gone.where("stays").select("of_text", "of_row")
-    once = keyed.where("id IS NULL").join(twice, ["of_text", "of_row"], "left_semi").groupBy("of_text", "of_row").agg(F.first("row").alias("row"))
-    return kept.unionByName(once.select("row.*"))
+    once = asked.where("id IS NULL").join(twice, ["of_text", "of_row"], "left_semi").groupBy("of_text", "of_row").agg(F.first("row").alias("row"))
+    return clear.select("row.*").unionByName(kept).unionByName(once.select("row.*"))
 
 
 ORACLE = r"""

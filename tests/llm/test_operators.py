@@ -10,7 +10,7 @@ from cases import BASE, LONG, NEAR, documents, edit_distance, edited, root_of
 from pyspark.sql import functions as F
 
 from stallmetrics.llm import chat, decontaminate, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, quality, sharding, url_filter
-from stallmetrics.llm.shared import components
+from stallmetrics.llm.shared import components, parted, settle
 
 
 # --- 1 decontamination ---------------------------------------------------------------------------------------------
@@ -227,6 +227,25 @@ def test_one_of_each_judges_rows(spark):
     assert [x[1] for x in found].count(other) == 1 and [x[2] for x in found if not x[1]] == ["e", "e", "f"]
 
 
+def test_only_rows_that_may_go_are_shuffled_with_their_texts(spark, monkeypatch):
+    rows = [(i if i % 7 else None, " ".join(f"w{i}x{k}" for k in range(9)), "s") for i in range(600)]
+    docs = spark.createDataFrame([*rows, (1000, rows[1][1], "s"), (None, rows[9][1], "s"), (None, rows[7][1], "s")], "doc_id long, text string, source string")
+    sides = []
+    monkeypatch.setattr(ngram_join, "parted", lambda *a: sides.append(parted(*a)) or sides[-1])
+    kept = sorted(map(str, ngram_join.one_of_each(docs).collect()))
+    assert kept == sorted(map(str, spark.createDataFrame(rows, docs.schema).collect()))
+    assert [side.count() for side in sides[-1]] == [4, 599]
+
+
+def test_rows_are_parted_by_keys(spark):
+    rows = spark.createDataFrame([(i if i % 3 else None, str(i % 5)) for i in range(300)], "a long, b string")
+    wanted = settle(rows.where("a > 250 OR a IS NULL AND b = '2'").distinct())
+    may, no = parted(rows, wanted, "a", "b")
+    assert may.columns == no.columns == rows.columns and sorted(map(str, may.unionByName(no).collect())) == sorted(map(str, rows.collect()))
+    assert {(r.a, r.b) for r in wanted.collect()} == {(r.a, r.b) for r in may.collect()}
+    assert [x.count() for x in parted(rows, settle(wanted.limit(0)), "a", "b")] == [0, 300]
+
+
 # --- 5 chat --------------------------------------------------------------------------------------------------------
 
 
