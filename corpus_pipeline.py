@@ -1,7 +1,7 @@
 """The corpus pipeline: documents that a training run should see, in shards.
 
 Every stage reads what its predecessor kept, as a table in the folder that all executors share, and returns the columns of
-``documents``; the last one adds its shards.
+``documents``; the last one adds its shards. What earlier stages left on the driver is collected before the next one begins.
 """
 
 from __future__ import annotations
@@ -11,31 +11,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stallmetrics.llm import decontaminate, mixing, ngram_join, quality, sharding
-from stallmetrics.llm.shared import settle
+from stallmetrics.llm.shared import settle, tidy
 
 
 def _keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    tidy(spark)
     return quality.drop_poor(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def _keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies."""
+    tidy(spark)
     return ngram_join.one_of_each(docs)
 
 
 def _keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
+    tidy(spark)
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a single epoch, mixed to the target weights."""
+    tidy(spark)
     return mixing.mix(docs)
 
 
 def _shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their bytes and their shard."""
+    tidy(spark)
     return sharding.assign_shards(docs)
 
 

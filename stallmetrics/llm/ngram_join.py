@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics.llm.shared import (
-    LOWERED, Words, bit_set, bit_tables, components, drop_settled, packed_slots, parted, rows_of, settle, spanning, star_tiles,
+    LOWERED, Words, bit_set, bit_tables, components, drop_settled, packed_slots, parted, rows_of, settle, spanning, star_tiles, tidy,
 )
 
 WIDTH = 5
@@ -107,6 +107,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
     out = settle(docs.mapInArrow(profile, f"id {kind}, n long, digest binary, first array<long>, shared array<long>, cells binary"))
     tables.destroy()
+    tidy(spark)
     return out
 
 

@@ -177,16 +177,18 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = taught.mapInArrow(sparse, f"doc_id {kind}, label int, terms binary, counts binary")
     rows = rows.orderBy("doc_id").collect()  # at most ``sample`` rows of at most ``TERMS`` counts
-    counts = np.zeros((len(rows), TERMS), np.int64)
-    for i, row in enumerate(rows):
-        counts[i, np.frombuffer(row.terms, np.int32)] = np.frombuffer(row.counts, np.int32)
     idf = inverse_frequencies(documents)
     given = np.array([row.label for row in rows], np.float64)
     all_rows = sum(of_label.values())
     share = of_label.get(1, 0) / all_rows if all_rows else 0.5
     if not len(rows):
         return Model(idf, np.zeros((TERMS, 0), np.float32), np.zeros((0, 0), np.float32), given, given, share)
-    matrix = _weighted(counts, idf)
+    matrix = np.zeros((len(rows), TERMS), np.float32)
+    for start in range(0, len(rows), ROWS):  # dense counts of a few rows at once
+        counts = np.zeros((len(rows[start : start + ROWS]), TERMS), np.int64)
+        for i, row in enumerate(rows[start : start + ROWS]):
+            counts[i, np.frombuffer(row.terms, np.int32)] = np.frombuffer(row.counts, np.int32)
+        matrix[start : start + ROWS] = _weighted(counts, idf)
     axes = _axes(matrix, AXES)
     weights = np.where(given == 1, share / max(1, (given == 1).sum()), (1 - share) / max(1, (given == 0).sum()))
     return Model(idf, axes, _unit(matrix @ axes), given, weights, share)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -52,6 +53,15 @@ def drop_settled(*tables: DataFrame) -> None:
             remove_folder(table.sparkSession, folders.pop())
 
 
+def tidy(spark: SparkSession) -> None:
+    """Have the driver collect its garbage now, of which a row of many small queries leaves much.
+
+    Spark removes the shuffle files and broadcasts of earlier queries only when what named them on the driver has been collected.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def packed_numbers(numbers: np.ndarray, level: int = 1) -> bytes:
     """32-bit numbers, their lowest bytes first and their highest last, compressed."""
     return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), level)
@@ -191,6 +201,7 @@ def components(links: DataFrame) -> DataFrame:
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         )
         drop_settled(large, least)
+    tidy(links.sparkSession)
     return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
