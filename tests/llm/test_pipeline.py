@@ -1,6 +1,9 @@
 """The stages as a whole: what goes, what stays, and the columns in between."""
 
+from types import SimpleNamespace
+
 import corpus_pipeline
+import numpy as np
 from cases import BASE, documents
 from pyspark.sql import functions as F
 
@@ -45,3 +48,24 @@ def test_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_the_driver_is_tidied_before_every_stage(monkeypatch):
+    calls, parts = [], [("quality", "drop_poor"), ("ngram_join", "one_of_each"), ("decontaminate", "drop_leaks"), ("mixing", "mix"), ("sharding", "assign_shards")]
+    monkeypatch.setattr(corpus_pipeline, "tidy", lambda spark: calls.append("tidy"))
+    for module, name in parts:
+        monkeypatch.setattr(getattr(corpus_pipeline, module), name, lambda docs, *_, name=name: calls.append(name) or docs)
+    session = SimpleNamespace(read=SimpleNamespace(parquet=lambda path: path))
+    assert [stage(session, "docs", "folder") for _, stage in corpus_pipeline.STAGES] == ["docs"] * 5
+    assert calls == [x for _, name in parts for x in ("tidy", name)]
+
+
+def test_labelled_texts_are_weighted_in_parts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 7} of, {'some ' * i}words") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    whole, sizes, weighted = quality.fit(docs, labels), [], quality._weighted
+    monkeypatch.setattr(quality, "ROWS", 3)
+    monkeypatch.setattr(quality, "_weighted", lambda counts, idf: sizes.append(len(counts)) or weighted(counts, idf))
+    parts = quality.fit(docs, labels)
+    assert max(sizes) == 3 and sum(sizes) == len(parts.labels) > 20
+    assert all(np.array_equal(getattr(whole, x), getattr(parts, x)) for x in ("idf", "axes", "vectors", "labels", "weights")) and whole.share == parts.share
